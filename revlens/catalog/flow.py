@@ -322,16 +322,26 @@ def q_top_categories(spark, sf):
     return FE.top_categories(FX.business_raw(Tables(spark, sf)), n=10, exclude=["ring"])
 
 
+def _active_dummies(df, prefix: str):
+    """Long form (business_id, feature) of the 0/1 columns that are 1."""
+    cols = [c for c in df.columns if c.startswith(prefix)]
+    long = df.unpivot(["business_id"], cols, "feature", "value")
+    return long.where(F.col("value") == 1).select("business_id", "feature")
+
+
+_SQL_ITEMS = ("SELECT business_id, trim(unnest(string_split(categories, ','))) AS category "
+              "FROM rv_business")
+_SQL_VOCAB = ("SELECT category FROM items WHERE category NOT IN ('', 'None', 'ring') "
+              "GROUP BY category ORDER BY count(*) DESC, category LIMIT 5")
+
+
 @register("multi_hot_categories", sql_with(
-    "SELECT business_id, " + ", ".join(
-        f"CAST(list_contains(list_transform(string_split(categories, ','), lambda x: trim(x)), '{w}') "
-        f"AS INTEGER) AS category_{w}"
-        for w in ["small", "hot", "widget", "gear", "plate"]) + " FROM rv_business",
-    "rv_business"))
+    "SELECT DISTINCT i.business_id, 'category_' || i.category AS feature FROM items i "
+    "JOIN vocab v ON i.category = v.category", "rv_business",
+    extra={"items": _SQL_ITEMS, "vocab": _SQL_VOCAB}))
 def q_multi_hot_categories(spark, sf):
     b = FX.business_raw(Tables(spark, sf))
-    out = FE.multi_hot_categories(b, n=5, exclude=["ring"])
-    return out.select("business_id", *[c for c in out.columns if c.startswith("category_")])
+    return _active_dummies(FE.multi_hot_categories(b, n=5, exclude=["ring"]), "category_")
 
 
 _KEY_RE = "['\"]([^'\"]+)['\"]\\s*:"
@@ -345,19 +355,19 @@ def q_key_union(spark, sf):
     return FE.dict_key_union(FX.business_raw(Tables(spark, sf)), "attributes_Ambience")
 
 
+_SQL_TRUE_KEYS = (
+    "SELECT business_id, unnest(regexp_extract_all(attributes_Ambience, "
+    "'[''\"]([^''\"]+)[''\"]\\s*:\\s*True\\b', 1)) AS k FROM rv_business "
+    "WHERE attributes_Ambience LIKE '{%}'")
+
+
 @register("multi_hot_dict_keys", sql_with(
-    "SELECT business_id, "
-    "CAST(attributes_Ambience LIKE '{%}' AND regexp_matches(attributes_Ambience, "
-    "'[''\"]economy[''\"]\\s*:\\s*True') AS INTEGER) AS ambience_economy, "
-    "CAST(attributes_Ambience LIKE '{%}' AND regexp_matches(attributes_Ambience, "
-    "'[''\"]brand 17[''\"]\\s*:\\s*True') AS INTEGER) AS ambience_brand_17, "
-    "CAST(attributes_Ambience LIKE '{%}' AND regexp_matches(attributes_Ambience, "
-    "'[''\"]lot[''\"]\\s*:\\s*True') AS INTEGER) AS ambience_lot "
-    "FROM rv_business", "rv_business"))
+    "SELECT DISTINCT business_id, 'ambience_' || trim(regexp_replace(lower(k), '[^a-z0-9]+', '_', 'g'), '_') "
+    "AS feature FROM tk", "rv_business", extra={"tk": _SQL_TRUE_KEYS}))
 def q_multi_hot_dict_keys(spark, sf):
     b = FX.business_raw(Tables(spark, sf))
     out = FE.multi_hot_dict_keys(b, {"attributes_Ambience": "ambience"})
-    return out.select("business_id", "ambience_economy", "ambience_brand_17", "ambience_lot")
+    return _active_dummies(out, "ambience_")
 
 
 def _sql_hours_parts(src: str) -> tuple[str, str]:
@@ -405,18 +415,26 @@ def q_hours_features(spark, sf):
 
 
 @register("business_features", sql_with(
-    "SELECT h.business_id, h.hours_total_weekly_open_hours, c.category_small, c.category_hot "
-    "FROM (" + _hours_sql() + ") h JOIN (SELECT business_id, "
-    "CAST(list_contains(list_transform(string_split(categories, ','), lambda x: trim(x)), 'small') AS INTEGER) "
-    "AS category_small, CAST(list_contains(list_transform(string_split(categories, ','), lambda x: trim(x)), "
-    "'hot') AS INTEGER) AS category_hot FROM rv_business) c ON h.business_id = c.business_id",
-    "rv_business"))
+    "SELECT h.business_id, h.hours_total_weekly_open_hours, "
+    "CAST(coalesce(c.n_categories, 0) AS INTEGER) AS n_categories, "
+    "CAST(coalesce(a.n_ambience, 0) AS INTEGER) AS n_ambience "
+    "FROM (" + _hours_sql() + ") h "
+    "LEFT JOIN (SELECT i.business_id, count(DISTINCT i.category) AS n_categories FROM items i "
+    "JOIN vocab2 v ON i.category = v.category GROUP BY 1) c ON h.business_id = c.business_id "
+    "LEFT JOIN (SELECT business_id, count(DISTINCT k) AS n_ambience FROM tk GROUP BY 1) a "
+    "ON h.business_id = a.business_id",
+    "rv_business", extra={"items": _SQL_ITEMS, "vocab2": _SQL_VOCAB.replace("LIMIT 5", "LIMIT 2"),
+                          "tk": _SQL_TRUE_KEYS}))
 def q_business_features(spark, sf):
     b = FX.business_raw(Tables(spark, sf))
     out = FE.business_features(b, top_n=2, exclude=["ring"],
                                attribute_sources={"attributes_Ambience": "ambience"})
-    return out.select("business_id", "hours_total_weekly_open_hours", "category_small",
-                      "category_hot")
+    cats = [F.col(c) for c in out.columns if c.startswith("category_")]
+    amb = [F.col(c) for c in out.columns if c.startswith("ambience_")]
+    total = lambda cs: sum(cs[1:], cs[0]) if cs else F.lit(0)
+    return out.select("business_id", "hours_total_weekly_open_hours",
+                      total(cats).cast("int").alias("n_categories"),
+                      total(amb).cast("int").alias("n_ambience"))
 
 
 # ---------------------------------------------------------------------------

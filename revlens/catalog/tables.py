@@ -303,7 +303,7 @@ CAT_COLS = ["city", "state", "attributes_RestaurantsPriceRange2", "station"]
     + " AS top_level_percent, " + RS("nmiss * 100.0 / total", 2) + " AS missing_percent FROM ("
     + " UNION ALL ".join(
         f"SELECT '{c}' AS variable, count(*) AS levels, "
-        f"arg_min(v, (-n, coalesce(v, ''))) AS top_level, max(n) AS top_n, "
+        f"arg_min_null(v, (-n, coalesce(v, ''))) AS top_level, max(n) AS top_n, "
         f"coalesce(sum(CASE WHEN v IS NULL THEN n END), 0) AS nmiss, "
         f"(SELECT count(*) FROM rv_fact) AS total "
         f"FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM rv_fact GROUP BY 1)"

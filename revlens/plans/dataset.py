@@ -47,8 +47,9 @@ def enriched_fact(t: Tables, weather: bool = True, business_subfeatures: bool =
     fact = E.clean_values(fact)
     if weather:
         fact = W.normalize_keys(fact, "wx_city", "wx_state", "review_date")
+        # de-duplicated weather is unique per key by construction: no check job
         fact = W.weather_join(fact, clean_weather(t), keys=("wx_city", "wx_state", "review_date"),
-                              right_keys=("city", "state", "review_date"))
+                              right_keys=("city", "state", "review_date"), check_unique=False)
     return fact
 
 
