@@ -238,7 +238,7 @@ def q_rename_and_label(spark, sf):
 def q_prune_before_join(spark, sf):
     t = Tables(spark, sf)
     b, r, u = FE.rename_and_label(FX.business_raw(t), FX.review_raw(t), FX.user_raw(t))
-    return FE.prune_before_join(b, r, u)[1]
+    return FE.prune_before_join(b, r, u)[1].drop("review_id")
 
 
 @register("checkin_features", fact_sql("SELECT * FROM rv_ck"))

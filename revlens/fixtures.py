@@ -41,6 +41,7 @@ def review_raw(t: Tables) -> DataFrame:
     return (
         l.join(o, l.l_orderkey == o.o_orderkey, "inner")
         .select(
+            F.xxhash64(*[l[c] for c in l.columns]).alias("review_id"),
             F.col("l_partkey").alias("business_id"),
             F.col("o_custkey").alias("user_id"),
             F.substring("o_orderpriority", 1, 1).cast("int").alias("stars"),
