@@ -212,7 +212,7 @@ def q_dedupe_weather(spark, sf):
     "SELECT business_id, user_id, review_date, wx_city, station, weather_prcp, weather_tmax, "
     "is_rainy, is_hot, weather_available FROM rv_fact"))
 def q_weather_join(spark, sf):
-    return D.load(spark, sf).select("business_id", "user_id", "review_date", "wx_city", "station",
+    return D.load(spark, sf, reuse=False).select("business_id", "user_id", "review_date", "wx_city", "station",
                                     "weather_prcp", "weather_tmax", "is_rainy", "is_hot",
                                     "weather_available")
 
@@ -276,7 +276,7 @@ FACT_COLUMNS = ["business_id", "user_id", "review_stars", "review_date", "review
 
 @register("enrich_fact", fact_sql("SELECT " + ", ".join(FACT_COLUMNS) + " FROM rv_fact"))
 def q_enrich_fact(spark, sf):
-    return D.load(spark, sf).select(*FACT_COLUMNS)
+    return D.load(spark, sf, reuse=False).select(*FACT_COLUMNS)
 
 
 @register("select_model_columns", fact_sql(

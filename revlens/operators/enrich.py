@@ -1,15 +1,15 @@
 """Fact enrichment, cleaning, standardisation and scope jobs.
 
-Join plan of :func:`enrich_fact`: the three activity feature tables are
-already one row per business, so they are joined to the business dimension
-*on the business grain* (full outer, keeping feature rows of businesses the
-dimension lacks, exactly as chained left joins from the fact would), and the
-fact then meets one business-grain table and the user table: two fact-sized
-joins instead of five.  Neither dimension is hinted: AQE broadcasts a side
-whose *measured* size is under ``spark.sql.autoBroadcastJoinThreshold`` and
-falls back to a sort-merge join otherwise; skewed business keys are split by
-AQE's skew-join handling.  Literal lookup tables (scope pairs, city aliases)
-have a fixed size and are broadcast explicitly.
+Join plan of :func:`enrich_fact`: the activity features (check-ins, tips,
+photos) are computed in one aggregation at business grain and joined to the
+business dimension *on the business grain* (full outer, keeping feature rows
+of businesses the dimension lacks, exactly as chained left joins from the
+fact would).  The fact then meets one business-grain table and the user
+table: two fact-sized joins instead of five.  The business-grain table is
+broadcast only after a bounded row-count probe proves it small
+(:func:`broadcast_if_small`); otherwise, like the user join, it is a
+sort-merge join whose skewed keys AQE splits.  Literal lookup tables (scope
+pairs, city aliases) have a fixed size and are broadcast explicitly.
 """
 
 from __future__ import annotations
@@ -43,16 +43,38 @@ def business_dimension(business: DataFrame, *features: DataFrame,
     return reduce(lambda acc, f: acc.join(f, key, "full"), features, business)
 
 
+# A dimension is broadcast only when a bounded count proves it has at most
+# this many rows; above it the join stays a sort-merge join (AQE splits
+# skewed keys).  Business rows are ~1 KB wide, so the bound is ~0.5 GB.
+BROADCAST_MAX_ROWS = 500_000
+
+
+def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(dim)`` if ``dim`` has at most ``max_rows`` rows, else ``dim``.
+
+    The check reads at most ``max_rows + 1`` rows (``limit`` stops early), so
+    a big dimension costs a bounded probe, not a full count."""
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim
+
+
 def enrich_fact(reviews: DataFrame, business: DataFrame, users: DataFrame,
                 checkin_f: DataFrame | None = None, tip_f: DataFrame | None = None,
-                photo_f: DataFrame | None = None) -> DataFrame:
+                photo_f: DataFrame | None = None, broadcast_max_rows: int | None = None,
+                activity: DataFrame | None = None) -> DataFrame:
     """One wide row per review: review LEFT business(+features) LEFT user.
 
     Right sides are not required to be unique: duplicate keys fan out, as in
     the chained left joins this replaces.  NULL keys never match.
+    ``activity`` is the combined per-business feature table
+    (:func:`revlens.operators.features.activity_features`) and replaces the
+    three separate ones.
     """
-    feats = [f for f in (checkin_f, tip_f, photo_f) if f is not None]
+    feats = [f for f in (activity, checkin_f, tip_f, photo_f) if f is not None]
     dim = business_dimension(business, *feats)
+    if broadcast_max_rows:
+        dim = broadcast_if_small(dim, broadcast_max_rows)
+        users = broadcast_if_small(users, broadcast_max_rows)
     return reviews.join(dim, "business_id", "left").join(users, "user_id", "left")
 
 

@@ -16,6 +16,7 @@ from revlens import fixtures as FX
 from revlens.operators import enrich as E
 from revlens.operators import features as FE
 from revlens.sources import weather as W
+from revlens.session import cut_lineage
 from revlens.sources.tables import Tables
 
 REVIEW_KEEP = FE.REVIEW_KEEP + ["wx_city", "wx_state", "amount"]
@@ -39,10 +40,8 @@ def clean_weather(t: Tables) -> DataFrame:
 def enriched_fact(t: Tables, weather: bool = True, business_subfeatures: bool = False,
                   top_n: int = 10, exclude=("ring",)) -> DataFrame:
     b, r, u = core_tables(t, business_subfeatures, top_n, exclude)
-    fact = E.enrich_fact(r, b, u,
-                         FE.checkin_features(FX.checkin_raw(t)),
-                         FE.tip_features(FX.tip_raw(t)),
-                         FE.photo_features(FX.photo_raw(t)))
+    activity = FE.activity_features(FX.checkin_raw(t), FX.tip_raw(t), FX.photo_raw(t))
+    fact = E.enrich_fact(r, b, u, activity=activity, broadcast_max_rows=E.BROADCAST_MAX_ROWS)
     fact = E.normalize_attribute_levels(fact)
     fact = E.clean_values(fact)
     if weather:
@@ -53,8 +52,24 @@ def enriched_fact(t: Tables, weather: bool = True, business_subfeatures: bool =
     return fact
 
 
-def load(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    return enriched_fact(Tables(spark, sf_dir), **kw)
+_MATERIALIZED: dict[tuple, DataFrame] = {}
+
+
+def load(spark: SparkSession, sf_dir: str, reuse: bool = True, **kw) -> DataFrame:
+    """The enriched dataset of ``sf_dir``.
+
+    With ``reuse`` (the default for the analysis jobs), it is built once per
+    Spark application and kept as a reliable checkpoint in the shared
+    ``spark.checkpoint.dir``: every later descriptive/modelling job starts from
+    the materialised table, like the analysed workload's saved dataset, and a
+    lost executor re-reads checkpoint files instead of re-running the joins.
+    """
+    if not reuse:
+        return enriched_fact(Tables(spark, sf_dir), **kw)
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items())))
+    if key not in _MATERIALIZED:
+        _MATERIALIZED[key] = cut_lineage(enriched_fact(Tables(spark, sf_dir), **kw))
+    return _MATERIALIZED[key]
 
 
 # ---------------------------------------------------------------------------
