@@ -30,7 +30,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     # imported for their registrations
     from revlens.catalog import flow, tables  # noqa: F401
-    for optional in ("screening", "evaluation", "modelling"):
+    for optional in ("screening", "evaluation", "modelling", "io"):
         try:
             __import__(f"revlens.catalog.{optional}")
         except ModuleNotFoundError as exc:  # pragma: no cover - partial checkouts
