@@ -275,22 +275,30 @@ def numeric_summary(df: DataFrame, cols: list[str], exact: bool = True,
                     digits: int = 6) -> DataFrame:
     """count / mean / std / min / 25% / 50% / 75% / max per column.
 
-    ``exact`` uses ``percentile`` (linear interpolation, like pandas); it keeps
-    a value->count map per column, which is fine for counts and low-cardinality
-    measures.  For high-cardinality measures at scale pass ``exact=False``
-    (``percentile_approx`` with a 1e-4 relative error bound).
+    ``exact`` quantiles interpolate linearly like pandas
+    (:func:`revlens.operators.quantiles.quantiles_checked`: ``percentile`` for
+    columns with a measured, bounded number of distinct values, the
+    distributed exact job for the rest, so no column is ever held by one
+    task); ``exact=False`` uses ``percentile_approx`` in the same single scan.
     """
     cols = [c for c in cols if c in df.columns]
     aggs = []
     for c in cols:
         v = F.col(c).cast("double")
-        q = (F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-             else F.percentile_approx(v, [0.25, 0.5, 0.75], 10000))
         aggs += [F.count(v).alias(f"{c}__n"), F.avg(v).alias(f"{c}__mean"),
                  F.stddev_samp(v).alias(f"{c}__std"), F.min(v).alias(f"{c}__min"),
-                 q.alias(f"{c}__q"), F.max(v).alias(f"{c}__max")]
-    long = _stack(df.agg(*aggs), cols, ["n", "mean", "std", "min", "q", "max"],
-                  ["n", "mean", "std", "mn", "q", "mx"])
+                 F.max(v).alias(f"{c}__max")]
+        if not exact:
+            aggs.append(F.percentile_approx(v, [0.25, 0.5, 0.75], 10000).alias(f"{c}__q"))
+    fields = ["n", "mean", "std", "min", "max"] + ([] if exact else ["q"])
+    long = _stack(df.agg(*aggs), cols, fields, ["n", "mean", "std", "mn", "mx"] +
+                  ([] if exact else ["q"]))
+    if exact:
+        from revlens.operators.quantiles import quantiles_checked
+        qs = quantiles_checked(df, cols, [0.25, 0.5, 0.75])
+        lookup = F.create_map(*[x for c in cols for x in (
+            F.lit(c), F.array(*[F.lit(v).cast("double") for v in qs[c]]))])
+        long = long.withColumn("q", F.element_at(lookup, F.col("variable")))
     return long.select(
         "variable", F.col("n").alias("count"), R("mean", digits).alias("mean"),
         R("std", digits).alias("std"), F.col("mn").alias("min"),

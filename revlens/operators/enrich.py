@@ -5,10 +5,11 @@ photos) are computed in one aggregation at business grain and joined to the
 business dimension *on the business grain* (full outer, keeping feature rows
 of businesses the dimension lacks, exactly as chained left joins from the
 fact would).  The fact then meets one business-grain table and the user
-table: two fact-sized joins instead of five.  The business-grain table is
-broadcast only after a bounded row-count probe proves it small
-(:func:`broadcast_if_small`); otherwise, like the user join, it is a
-sort-merge join whose skewed keys AQE splits.  Literal lookup tables (scope
+table: two fact-sized joins instead of five.  Each dimension is broadcast
+only after a bounded probe (``limit(bound + 1).count()``) proves it within the
+bound (:func:`broadcast_if_small`); otherwise the join is a sort-merge join
+whose skewed keys AQE splits.  The daily weather table (cities x days) is
+left to AQE's measured-size rule.  Literal lookup tables (scope
 pairs, city aliases) have a fixed size and are broadcast explicitly.
 """
 

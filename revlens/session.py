@@ -71,6 +71,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
+
+    Unlike ``checkpoint()`` (serialized rows), later jobs get column pruning
+    and filter pushdown on the materialized table, and a lost executor
+    re-reads files instead of recomputing the lineage.
+    """
+    import uuid
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/revlens-tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))
