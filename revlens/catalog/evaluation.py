@@ -219,8 +219,9 @@ def q_stratified_split(spark, sf):
 
 
 @register("stratified_folds", f"""
-    SELECT o_orderkey, o_orderstatus, CAST((row_number() OVER (PARTITION BY o_orderstatus
-           ORDER BY {HASH_SQL}, o_orderkey) - 1) % 3 AS INTEGER) AS fold FROM orders""")
+    SELECT o_orderkey, o_orderstatus, CAST(floor((row_number() OVER (PARTITION BY o_orderstatus
+           ORDER BY {HASH_SQL}, o_orderkey) - 1) * 3 / count(*) OVER (PARTITION BY o_orderstatus))
+           AS INTEGER) AS fold FROM orders""")
 def q_stratified_folds(spark, sf):
     o = Tables(spark, sf).orders.select("o_orderkey", "o_orderstatus")
     return SP.stratified_folds(o, "o_orderstatus", ["o_orderkey"])

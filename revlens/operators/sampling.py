@@ -1,10 +1,14 @@
 """Deterministic exact-size sampling, stratified splits and folds.
 
 Selection is by the rank of a seeded hash (``md5`` of the key columns and
-the seed, hex text) inside each class, computed with the two-level
-distributed rank -- never a class-partitioned window, which would put half
-the table into one task.  ``DataFrame.sample`` / ``sampleBy`` are only
-approximately sized, so they are not used where an exact count is required.
+the seed, hex text; ties by key) inside each class.  Ranking every row would
+move the whole table; instead :func:`rank_cutoffs` finds only the exact
+cutoff rows (a verified narrow band around each expected position, ranked by
+the two-level distributed rank), and the table is then labelled by comparing
+each row with its class's cutoffs -- one filter/projection, no shuffle of the
+table, no class-partitioned window.  ``DataFrame.sample`` / ``sampleBy`` are
+only approximately sized, so they are not used where an exact count is
+required.
 
 Per-class quotas follow the largest-remainder rule (ties to the smaller
 class label); class counts are one tiny aggregate.
@@ -44,26 +48,103 @@ def _class_counts(df: DataFrame, y: str) -> dict:
     return {r[y]: r["n"] for r in df.groupBy(y).agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def hash_rank(df: DataFrame, keys: list[str], by: list[str] = (), seed: int = RANDOM_STATE,
-              partitions: int | None = None) -> DataFrame:
+U_MAX = 1 << 60
+
+
+def _order_parts(keys: list[str], seed: int):
     h = seeded_hash(keys, seed)
-    with_h = df.withColumn("__h", h)
-    return global_rank(with_h, [F.col("__h")] + [F.col(k) for k in keys], list(by), partitions,
-                       name="__rank").drop("__h")
+    u = F.conv(F.substring(h, 1, 15), 16, 10).cast("long")   # uniform 60-bit prefix of h
+    return h, u
+
+
+def rank_cutoffs(df: DataFrame, keys: list[str], y: str | None, counts: dict,
+                 targets: list[tuple], seed: int = RANDOM_STATE, partitions: int | None = None,
+                 margin: float = 6.0) -> dict:
+    """Exact r-th smallest row in (md5, keys) order inside class c, for every
+    (c, r) in ``targets``; returns {(c, r): (md5, key values)}.
+
+    The md5 prefix ``u`` is uniform, so the r-th row of a class of N rows sits
+    near u = r / N.  One aggregate counts, per target, the rows below and up to
+    a band of +-``margin`` binomial standard deviations around that position;
+    if the band provably contains the r-th row (below < r <= up to), only the
+    band's rows are ranked (a tiny distributed job) -- otherwise the band is
+    widened and checked again.  Nothing else of the table is moved.
+    """
+    h, u = _order_parts(keys, seed)
+    cls = F.col(y) if y else F.lit(0)
+    proj = df.select(*keys, cls.alias("__y"), h.alias("__h"), u.alias("__u"))
+    todo = [(c, r) for c, r in targets if 0 < r < counts.get(c, 0)]
+    out: dict = {}
+    while todo:
+        bands = []
+        for c, r in todo:
+            n = counts[c]
+            p = r / n
+            sd = math.sqrt(n * p * (1 - p)) + 1
+            lo_r, hi_r = max(0.0, r - margin * sd - 2), min(float(n), r + margin * sd + 2)
+            t_lo = 0 if lo_r <= 0 else int(lo_r / n * U_MAX)
+            t_hi = U_MAX if hi_r >= n else min(U_MAX, int(math.ceil(hi_r / n * U_MAX)))
+            bands.append((c, r, t_lo, t_hi))
+        aggs = []
+        for i, (c, _, t_lo, t_hi) in enumerate(bands):
+            in_c = F.col("__y") == F.lit(c)
+            aggs += [F.count(F.when(in_c & (F.col("__u") < t_lo), 1)).alias(f"b{i}"),
+                     F.count(F.when(in_c & (F.col("__u") <= t_hi), 1)).alias(f"u{i}")]
+        cnt = proj.agg(*aggs).first()
+        ok = [(i, b) for i, b in enumerate(bands) if cnt[f"b{i}"] < b[1] <= cnt[f"u{i}"]]
+        if ok:
+            tags = F.array(*[F.when((F.col("__y") == F.lit(b[0])) & (F.col("__u") >= b[2])
+                                    & (F.col("__u") <= b[3]), F.lit(i)) for i, b in ok])
+            band = proj.select(*keys, "__h", F.explode(tags).alias("__t")) \
+                .where(F.col("__t").isNotNull())
+            ranked = global_rank(band, [F.col("__h")] + [F.col(k) for k in keys], ["__t"],
+                                 partitions, name="__r")
+            want = F.lit(False)
+            for i, b in ok:
+                want = want | ((F.col("__t") == i) & (F.col("__r") == b[1] - cnt[f"b{i}"]))
+            for row in ranked.where(want).collect():        # one row per target
+                c, r = bands[row["__t"]][0], bands[row["__t"]][1]
+                out[(c, r)] = (row["__h"],) + tuple(row[k] for k in keys)
+        done = {(bands[i][0], bands[i][1]) for i, _ in ok}
+        todo = [t for t in todo if t not in done]
+        margin *= 4
+    return out
 
 
-def sample_n(df: DataFrame, n: int, keys: list[str], seed: int = RANDOM_STATE,
-             partitions: int | None = None) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows without replacement (the n smallest hashes)."""
-    return hash_rank(df, keys, (), seed, partitions).where(F.col("__rank") <= n).drop("__rank")
+def _not_after(keys: list[str], seed: int, cut: tuple, types: dict):
+    """Row is at or before ``cut`` in (md5, keys) order."""
+    h, _ = _order_parts(keys, seed)
+    row = F.struct(h.alias("h"), *[F.col(k).alias(k) for k in keys])
+    lit = F.struct(F.lit(cut[0]).alias("h"),
+                   *[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, cut[1:])])
+    return row <= lit
+
+
+def _within_quota(df, keys, y, counts, quota, seed, partitions):
+    """Boolean column: row is among the first quota[c] rows of its class."""
+    cuts = rank_cutoffs(df, keys, y, counts, [(c, q) for c, q in quota.items()], seed, partitions)
+    types = dict(df.dtypes)
+    expr = F.lit(False)
+    for c, q in quota.items():
+        in_c = (F.col(y) == F.lit(c)) if y else F.lit(True)
+        if q >= counts.get(c, 0):
+            cond = in_c
+        elif q <= 0:
+            continue
+        else:
+            cond = in_c & _not_after(keys, seed, cuts[(c, q)], types)
+        expr = expr | cond
+    return expr
 
 
-def _quota_col(q: dict, y: str) -> Column:
-    expr = None
-    for k, v in q.items():
-        cond = F.col(y) == F.lit(k)
-        expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
-    return expr if expr is not None else F.lit(0)
+def sample_n(df: DataFrame, n: int, keys: list[str], seed: int = RANDOM_STATE,
+             partitions: int | None = None) -> DataFrame:
+    """Exactly ``min(n, rows)`` rows without replacement: the n smallest
+    (md5(key, seed), key), selected by comparison with the exact cutoff row."""
+    total = df.count()
+    if n >= total:
+        return df
+    return df.where(_within_quota(df, keys, None, {0: total}, {0: n}, seed, partitions))
 
 
 def stratified_sample(df: DataFrame, y: str, n: int, keys: list[str],
@@ -73,8 +154,7 @@ def stratified_sample(df: DataFrame, y: str, n: int, keys: list[str],
     if n >= sum(counts.values()):
         return df
     q = quotas(counts, n)
-    ranked = hash_rank(df, keys, [y], seed, partitions)
-    return ranked.where(F.col("__rank") <= _quota_col(q, y)).drop("__rank")
+    return df.where(_within_quota(df, keys, y, counts, q, seed, partitions))
 
 
 def stratified_split(df: DataFrame, y: str, keys: list[str], test_size: float = 0.2,
@@ -83,17 +163,31 @@ def stratified_split(df: DataFrame, y: str, keys: list[str], test_size: float =
     counts = _class_counts(df, y)
     n_test = math.ceil(test_size * sum(counts.values()))
     q = quotas(counts, n_test)
-    ranked = hash_rank(df, keys, [y], seed, partitions)
-    return ranked.withColumn("is_test", (F.col("__rank") <= _quota_col(q, y)).cast("int")) \
-        .drop("__rank")
+    return df.withColumn("is_test", _within_quota(df, keys, y, counts, q, seed, partitions)
+                         .cast("int"))
 
 
 def stratified_folds(df: DataFrame, y: str, keys: list[str], k: int = 3,
                      seed: int = RANDOM_STATE, partitions: int | None = None) -> DataFrame:
-    """Adds ``fold`` in 0..k-1: hash rank within class, dealt round-robin, so
-    every fold holds the class shares to within one row."""
-    ranked = hash_rank(df, keys, [y], seed, partitions)
-    return ranked.withColumn("fold", ((F.col("__rank") - 1) % k).cast("int")).drop("__rank")
+    """Adds ``fold`` = floor((rank - 1) * k / n_class) for the row's rank in
+    (md5, key) order within its class: k contiguous hash ranges per class,
+    so every fold holds each class share to within one row."""
+    counts = _class_counts(df, y)
+    targets = {}
+    for c, n in counts.items():
+        # last rank of fold j is floor(((j + 1) * n - 1) / k) + 1
+        targets[c] = [((j + 1) * n - 1) // k + 1 for j in range(k - 1)]
+    cuts = rank_cutoffs(df, keys, y, counts, [(c, r) for c, rs in targets.items() for r in rs],
+                        seed, partitions)
+    types = dict(df.dtypes)
+    fold = F.lit(0)
+    for c, rs in targets.items():
+        for r in rs:
+            if r >= counts[c]:
+                continue
+            after = ~_not_after(keys, seed, cuts[(c, r)], types)
+            fold = fold + ((F.col(y) == F.lit(c)) & after).cast("int")
+    return df.withColumn("fold", fold.cast("int"))
 
 
 def class_weights(df: DataFrame, y: str, name: str = "weight") -> DataFrame:

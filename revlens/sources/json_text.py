@@ -126,8 +126,9 @@ def extract_distinct_users(users: DataFrame, reviews: DataFrame, business: DataF
     """
     biz = extract_by_category(business, category, json_col).select(
         json_field(json_col, "business_id").alias("__b")).distinct()
-    rev = reviews.select(json_field(json_col, "business_id").alias("__b"),
-                         json_field(json_col, "user_id").alias("__u"))
+    # one parse per review text for both keys
+    rev = reviews.select(F.json_tuple(F.col(json_col), "business_id", "user_id")
+                         .alias("__b", "__u"))
     user_keys = rev.join(biz, "__b", "left_semi").select("__u").distinct()
     u = users.withColumn("__u", json_field(json_col, "user_id"))
     return u.join(user_keys, "__u", "left_semi").select(json_col).distinct()

@@ -70,3 +70,50 @@ def test_bootstrap_self_difference_is_zero(spark):
     two = base.withColumn("model", F.lit("a")).unionByName(base.withColumn("model", F.lit("b")))
     res = {r.model: r for r in BS.paired_bootstrap(two, "a", replicates=20).collect()}
     assert res["b"].delta_lo == 0 and res["b"].delta_hi == 0
+
+
+def test_rank_cutoffs_match_brute_force_and_widen(spark):
+    import hashlib
+    rows = [(i, "a" if i % 7 else "b") for i in range(700)]
+    df = spark.createDataFrame(rows, "id long, y string")
+    counts = {"a": 600, "b": 100}
+    targets = [("a", 1), ("a", 123), ("a", 599), ("b", 50), ("b", 99)]
+    for margin in (6.0, 0.001):          # the tiny margin forces the widening loop
+        cuts = SP.rank_cutoffs(df, ["id"], "y", counts, targets, margin=margin)
+        for c, r in targets:
+            ordered = sorted((hashlib.md5(f"{i}|42".encode()).hexdigest(), i)
+                             for i, cc in rows if cc == c)
+            assert cuts[(c, r)] == ordered[r - 1]
+
+
+def test_exact_quantiles_match_numpy(spark):
+    from revlens.operators.quantiles import exact_quantiles, quantiles_checked
+    rng = np.random.default_rng(3)
+    vals = np.round(rng.normal(size=301), 1)
+    pdf = pd.DataFrame({"a": vals, "b": np.where(np.arange(301) % 5 == 0, np.nan, vals * 3)})
+    df = spark.createDataFrame(pdf).withColumn("b", F.nanvl("b", F.lit(None).cast("double")))
+    got = {r.variable: (r.q0, r.q1, r.q2) for r in
+           exact_quantiles(df, ["a", "b"], [0.25, 0.5, 0.9], partitions=5).collect()}
+    for c in ("a", "b"):
+        exp = np.nanquantile(pdf[c].to_numpy(), [0.25, 0.5, 0.9])
+        assert np.allclose(got[c], exp)
+    fast = quantiles_checked(df, ["a", "b"], [0.25, 0.5, 0.9])
+    slow = quantiles_checked(df, ["a", "b"], [0.25, 0.5, 0.9], max_distinct=1)
+    assert np.allclose(fast["a"], slow["a"]) and np.allclose(fast["b"], slow["b"])
+
+
+def test_knn_matches_brute_force(spark):
+    from revlens.operators.knn import knn_scores
+    rng = np.random.default_rng(5)
+    tr = rng.normal(size=(120, 4))
+    qs = rng.normal(size=(30, 4))
+    lab = (rng.random(120) < 0.4).astype(int)
+    train = spark.createDataFrame([(i, tr[i].tolist(), int(lab[i])) for i in range(120)],
+                                  "tid long, vec array<double>, label int").repartition(4)
+    query = spark.createDataFrame([(i, qs[i].tolist()) for i in range(30)],
+                                  "qid long, vec array<double>")
+    got = {r.qid: r.score for r in knn_scores(train, query, k=7, block_rows=8).collect()}
+    for i in range(30):
+        d = ((tr - qs[i]) ** 2).sum(axis=1)
+        nn = np.lexsort((np.arange(120), d))[:7]
+        assert abs(got[i] - lab[nn].mean()) < 1e-12
