@@ -13,10 +13,10 @@ trapezoids for PR, so it is not used.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from revlens.functions.expr import round_half_even
-from revlens.operators.ranking import cumulative, global_rank
+from revlens.operators.ranking import TOPK_MAX_ROWS, cumulative, global_rank
 
 
 def score_histogram(df: DataFrame, y: str = "y", score: str = "score", by=(),
@@ -122,21 +122,48 @@ def top_decile_lift(df: DataFrame, y: str = "y", score: str = "score", key: str
                     partitions: int | None = None, digits: int | None = 6) -> DataFrame:
     """Positive rate among the top ``k = max(1, round(n * fraction))`` scores
     (ties broken by ``key``) divided by the base rate; NULL when the base is 0.
-    ``round`` is Python's half-to-even."""
+    ``round`` is Python's half-to-even.
+
+    Rows are never ranked one by one: the descending cumulative histogram of
+    distinct scores locates the boundary score per group (everything above it
+    is in the top k), and only the rows *at* the boundary score are ranked by
+    key to take the remaining m rows."""
     by = list(by)
+    single = not by
+    if single:                      # one group: a constant key keeps every join an equi-join
+        df, by = df.withColumn("__g", F.lit(0)), ["__g"]
     hit = (F.col(y) == pos_label).cast("double")
-    ranked = global_rank(df.select(*by, y, score, key), [F.col(score).desc(), F.col(key)],
-                         by, partitions, name="__r")
-    if by:
-        base = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"), F.avg(hit).alias("__base"))
-        joined = ranked.join(base, by, "inner")
+    d = df.select(*by, key, score, hit.alias("__hit"))
+    h = (d.groupBy(*by, score)
+         .agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("__hit").alias("p")))
+    c = cumulative(h, [F.col(score).desc()], ["n", "p"], by, partitions)
+    tot = h.groupBy(*by).agg(F.sum("n").alias("__n"), F.sum("p").alias("__p"))
+    c = c.join(F.broadcast(tot), by, "inner")      # one row per group
+    k = F.greatest(F.lit(1.0), F.bround(F.col("__n") * fraction, 0))
+    # boundary = first distinct score whose cumulative count reaches k
+    bnd = (c.where(F.col("cum_n") >= k)
+           .groupBy(*by)
+           .agg(F.max_by(F.struct(score, (F.col("cum_n") - F.col("n")).alias("n_above"),
+                                  (F.col("cum_p") - F.col("p")).alias("p_above"),
+                                  k.alias("k"), F.col("__n").alias("total"),
+                                  F.col("__p").alias("pos"), F.col("n").alias("n_tie")),
+                        F.col(score)).alias("b"))
+           .select(*by, "b.*").withColumnRenamed(score, "__bscore"))
+    ties = d.join(F.broadcast(bnd), by, "inner")   # one row per group
+    ties = ties.where(F.col(score) == F.col("__bscore"))
+    # the tie group's size is known: a bounded group is ranked by a plain window
+    largest_tie = bnd.agg(F.max("n_tie")).first()[0] or 0
+    if largest_tie <= TOPK_MAX_ROWS:
+        ranked = ties.withColumn("__r", F.row_number().over(
+            Window.partitionBy(*by).orderBy(F.col(key))))
     else:
-        joined = ranked.withColumns({"__n": df.select(F.count(F.lit(1))).scalar(),
-                                     "__base": df.select(F.avg(hit)).scalar()})
-    k = F.greatest(F.lit(1), F.bround(F.col("__n") * fraction, 0).cast("long"))
-    top = joined.where(F.col("__r") <= k).groupBy(*by).agg(
-        F.avg((F.col(y) == pos_label).cast("double")).alias("__top"),
-        F.first("__base").alias("__base"))
-    lift = F.when(F.col("__base") > 0, F.col("__top") / F.col("__base"))
-    return top.select(*by, (round_half_even(lift, digits) if digits is not None else lift)
+        ranked = global_rank(ties, [F.col(key)], by, partitions, name="__r")
+    m_pos = (ranked.where(F.col("__r") <= F.col("k") - F.col("n_above"))
+             .groupBy(*by).agg(F.sum("__hit").alias("__mp")))
+    res = bnd.join(m_pos, by, "left")
+    top_rate = (F.col("p_above") + F.coalesce(F.col("__mp"), F.lit(0.0))) / F.col("k")
+    base = F.col("pos") / F.col("total")
+    lift = F.when(base > 0, top_rate / base)
+    out_by = [] if single else by
+    return res.select(*out_by, (round_half_even(lift, digits) if digits is not None else lift)
                       .alias("lift"))

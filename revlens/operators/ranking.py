@@ -142,10 +142,23 @@ def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
                                                                for c in rest])
 
 
+# Up to this many rows a top-k is Spark's TakeOrderedAndProject: each task
+# keeps its own k best and one task merges k x tasks rows.  Beyond it the
+# merge would be too large for one task, so the distributed rank is used.
+TOPK_MAX_ROWS = 100_000
+
+
+def top_k(df: DataFrame, order: list[Column | str], k: int,
+          partitions: int | None = None) -> DataFrame:
+    """First k rows in ``order`` (a total order)."""
+    if k <= TOPK_MAX_ROWS:
+        return df.orderBy(*order).limit(k)
+    ranked = global_rank(df, order, partitions=partitions, name="__r")
+    return ranked.where(F.col("__r") <= k).drop("__r")
+
+
 def lift_topk(df: DataFrame, score: str, k: int, key: str,
               partitions: int | None = None) -> DataFrame:
-    """The k highest scores, ties broken by ``key`` (distributed rank, no single-task top-k)."""
-    ranked = global_rank(df, [F.col(score).desc(), F.col(key)], partitions=partitions,
-                         name="__r")
-    return ranked.where(F.col("__r") <= k).drop("__r")
+    """The k highest scores, ties broken by ``key``."""
+    return top_k(df, [F.col(score).desc(), F.col(key)], k, partitions)
 

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from revlens.operators.ranking import global_rank
+from revlens.operators.ranking import top_k
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -15,9 +15,8 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def top_keys(ranking: DataFrame, key: str, value: str, k: int) -> DataFrame:
-    """Keys of the k largest values (ties by key), via the distributed rank."""
-    r = global_rank(ranking.select(key, value), [F.col(value).desc(), F.col(key)], name="__r")
-    return r.where(F.col("__r") <= k).select(key)
+    """Keys of the k largest values (ties by key)."""
+    return top_k(ranking.select(key, value), [F.col(value).desc(), F.col(key)], k).select(key)
 
 
 def overlap_and_difference(a: DataFrame, b: DataFrame, key: str, value: str,
