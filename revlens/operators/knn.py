@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark.ml import Estimator, Model
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from revlens.operators.ranking import global_rank
@@ -63,3 +65,41 @@ def knn_scores(train: DataFrame, query: DataFrame, k: int = 25, block_rows: int
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select("qid", (F.col("s") / F.col("n")).alias("score"))
+
+
+class KNNModel(Model):
+    """Scores rows by :func:`knn_scores` against the kept training vectors and
+    joins the scores back on a deterministic row key."""
+
+    def __init__(self, train: DataFrame, k: int, id_col: str, features_col: str,
+                 block_rows: int):
+        super().__init__()
+        self.train, self.k, self.id_col = train, k, id_col
+        self.features_col, self.block_rows = features_col, block_rows
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        query = df.select(F.col(self.id_col).alias("qid"),
+                          vector_to_array(self.features_col).alias("vec"))
+        s = knn_scores(self.train, query, self.k, self.block_rows)
+        out = df.join(s.withColumnRenamed("qid", self.id_col), self.id_col, "left")
+        return out.withColumns({
+            "probability": array_to_vector(F.array(1 - F.col("score"), F.col("score"))),
+            "prediction": (F.col("score") >= 0.5).cast("double")}).drop("score")
+
+
+class KNNClassifier(Estimator):
+    """Pipeline stage: ``fit`` materializes the assembled training vectors in
+    the shared checkpoint folder; the model scores by exact k-NN."""
+
+    def __init__(self, k: int = 25, idCol: str = "id", featuresCol: str = "features",
+                 labelCol: str = "satisfied", blockRows: int = 20000):
+        super().__init__()
+        self.k, self.id_col, self.features_col = k, idCol, featuresCol
+        self.label_col, self.block_rows = labelCol, blockRows
+
+    def _fit(self, df: DataFrame) -> KNNModel:
+        from revlens.session import materialize
+        train = materialize(df.select(F.col(self.id_col).alias("tid"),
+                                      vector_to_array(self.features_col).alias("vec"),
+                                      F.col(self.label_col).alias("label")), "knn-train")
+        return KNNModel(train, self.k, self.id_col, self.features_col, self.block_rows)

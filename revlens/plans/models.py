@@ -17,9 +17,10 @@ Mapping to Spark ML (differences are documented, not hidden):
   leaf-size caps; bagging = a forest with ``featureSubsetStrategy='all'``;
 * gradient boosting: ``GBTClassifier`` (depth-capped trees instead of a leaf
   cap, no native NULL handling: median-imputed inputs);
-* k-nearest neighbours: :func:`revlens.operators.knn.knn_scores` (exact,
-  bounded query blocks against the distributed training rows; it works on an
-  assembled vector, e.g. the output of the scaled preprocessor).
+* k-nearest neighbours: :class:`revlens.operators.knn.KNNClassifier`, a
+  pipeline stage around the exact distributed job
+  :func:`revlens.operators.knn.knn_scores` (bounded query blocks against the
+  distributed training rows, on the scaled preprocessor's vectors).
 
 Balanced class weights (n / (2 n_class)) are a column used through
 ``weightCol`` wherever Spark supports it (not by the MLP and naive Bayes).
@@ -40,7 +41,7 @@ SEED = 42
 UNKNOWN = "Unknown"
 INFREQUENT = "__infrequent__"
 MIN_FREQUENCY = 50
-MODEL_NAMES = ["logistic_regression", "svm_linear", "naive_bayes", "neural_net",
+MODEL_NAMES = ["logistic_regression", "svm_linear", "knn", "naive_bayes", "neural_net",
                "decision_tree", "bagging", "random_forest", "hist_gradient_boosting"]
 
 
@@ -200,6 +201,10 @@ def build_models(train: DataFrame, num: list[str], cat: list[str], binary: list[
         out["svm_linear"] = Pipeline(stages=scaled() + [LinearSVC(
             weightCol=weight, regParam=1.0 / (c * n), maxIter=p("svm_linear", "maxIter", 100),
             standardization=False, **common)])
+    if "knn" in names:
+        from revlens.operators.knn import KNNClassifier
+        out["knn"] = Pipeline(stages=scaled() + [KNNClassifier(
+            k=p("knn", "n_neighbors", 25), idCol=p("knn", "idCol", "id"), labelCol=label)])
     if "naive_bayes" in names:
         out["naive_bayes"] = Pipeline(stages=binned_preprocessor(num, list(binary), cat) + [
             NaiveBayes(modelType="bernoulli", smoothing=p("naive_bayes", "alpha", 1.0), **common)])
