@@ -159,7 +159,7 @@ def _one_model(name):
 
 
 for _id, _name in [("model_logistic", "logistic_regression"), ("model_linear_svm", "svm_linear"),
-                   ("model_knn_pipeline", "knn"),
+                   ("model_knn_classifier", "knn"),
                    ("model_naive_bayes", "naive_bayes"), ("model_mlp", "neural_net"),
                    ("model_tree", "decision_tree"), ("model_bagging", "bagging"),
                    ("model_forest", "random_forest"), ("model_boosting", "hist_gradient_boosting")]:
