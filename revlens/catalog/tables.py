@@ -8,6 +8,7 @@ from revlens.catalog import register
 from revlens.functions.expr import sql_round_half_even as RS
 from revlens.operators import describe as S
 from revlens.plans import dataset as D
+from revlens.plans.modeldata import DROP_FOR_REDUNDANCY
 
 fact_sql = D.fact_sql
 
@@ -231,7 +232,7 @@ def _avail_sql() -> str:
             f"count(*) - count({c}) - {unmatched} AS station_gap, "
             + RS(f"avg({c})", 6) + f" AS mean, CAST(min({c}) AS DOUBLE) AS min, "
             f"CAST(max({c}) AS DOUBLE) AS max, "
-            f"'{'no' if c == 'weather_temp_range' else 'yes'}' AS in_model FROM rv_fact")
+            f"'{'no' if c in DROP_FOR_REDUNDANCY else 'yes'}' AS in_model FROM rv_fact")
     return fact_sql(" UNION ALL ".join(parts))
 
 

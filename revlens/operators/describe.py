@@ -239,8 +239,12 @@ def dropped_profile(df: DataFrame, dropped: list[str]) -> DataFrame:
 
 
 def availability_profile(df: DataFrame, numeric=None, binary=None, units=None,
-                         not_in_model=("weather_temp_range",), digits: int = 6) -> DataFrame:
-    """Per weather column: role, unit, present/missing, missing %, station gap, mean/min/max."""
+                         not_in_model=None, digits: int = 6) -> DataFrame:
+    """Per weather column: role, unit, present/missing, missing %, station gap, mean/min/max,
+    and whether the column survives the redundancy drop (``in_model``)."""
+    if not_in_model is None:
+        from revlens.plans.modeldata import DROP_FOR_REDUNDANCY
+        not_in_model = DROP_FOR_REDUNDANCY
     numeric = [c for c in (numeric or WEATHER_NUMERIC_COLS) if c in df.columns]
     binary = [c for c in (binary or WEATHER_BINARY_COLS) if c in df.columns]
     units = units or WEATHER_UNITS
