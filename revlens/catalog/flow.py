@@ -477,23 +477,27 @@ def q_standardize_city(spark, sf):
     return E.standardize_city(_dirty_users(t), _aliases(t))
 
 
-_VARIANTS = ["  NATION_3 ", "St.  NATION_3", "NATION_3", "nation_3"]
+_VARIANTS = ["NATION_3", "St.  NATION_3", "nation_3", "NATION_13", "nation_13"]
+_CANONICAL = ["NATION_3", "nation_3"]
+_SQL_RAW = ("SELECT user_id, " + D.sql_trim("coalesce(city, 'Unknown')") + " AS city FROM dirty")
+_SQL_VARIANT_WHERE = ("city IN ('NATION_3', 'St.  NATION_3', 'nation_3', 'NATION_13', 'nation_13') "
+                      "AND city NOT IN ('NATION_3', 'nation_3')")
 
 
 @register("variant_filter", sql_with(
-    "SELECT user_id, city FROM dirty WHERE city IN ('  NATION_3 ', 'St.  NATION_3', 'NATION_3', "
-    "'nation_3') AND city <> 'NATION_3'", "rv_user", extra={"dirty": SQL_DIRTY_USERS}))
+    f"SELECT user_id, city FROM raw WHERE {_SQL_VARIANT_WHERE}", "rv_user",
+    extra={"dirty": SQL_DIRTY_USERS, "raw": _SQL_RAW}))
 def q_variant_filter(spark, sf):
-    return E.variant_filter(_dirty_users(Tables(spark, sf)), _VARIANTS, "NATION_3").select(
+    return E.variant_filter(_dirty_users(Tables(spark, sf)), _VARIANTS, _CANONICAL).select(
         "user_id", "city")
 
 
 @register("variant_counts", sql_with(
-    "SELECT city, count(*) AS reviews FROM dirty WHERE city IN ('  NATION_3 ', 'St.  NATION_3', "
-    "'NATION_3', 'nation_3') AND city <> 'NATION_3' GROUP BY city ORDER BY reviews DESC, city "
-    "LIMIT 12", "rv_user", extra={"dirty": SQL_DIRTY_USERS}))
+    f"SELECT city, count(*) AS reviews FROM raw WHERE {_SQL_VARIANT_WHERE} GROUP BY city "
+    "ORDER BY reviews DESC, city LIMIT 12", "rv_user",
+    extra={"dirty": SQL_DIRTY_USERS, "raw": _SQL_RAW}))
 def q_variant_counts(spark, sf):
-    return E.variant_counts(_dirty_users(Tables(spark, sf)), _VARIANTS, "NATION_3")
+    return E.variant_counts(_dirty_users(Tables(spark, sf)), _VARIANTS, _CANONICAL)
 
 
 SCOPE = [(f"NATION_{i}", r) for i, r in
@@ -553,8 +557,12 @@ def q_scope_summary_by_year(spark, sf):
     return E.year_summary(f)
 
 
+_SQL_LABEL = (D.sql_trim("coalesce(city, 'Unknown')") + " || ', ' || "
+              + D.sql_trim("coalesce(state, 'Unknown')"))
+
+
 @register("market_topn", fact_sql(
-    "SELECT coalesce(city, '') || ', ' || coalesce(state, '') AS market, count(*) AS reviews "
+    "SELECT " + _SQL_LABEL + " AS market, count(*) AS reviews "
     "FROM rv_fact WHERE review_year >= 1990 GROUP BY 1 ORDER BY reviews DESC, market LIMIT 15"))
 def q_market_topn(spark, sf):
     return E.market_topn(D.load(spark, sf, weather=False), min_year=1990)

@@ -95,7 +95,8 @@ def q_write_result(spark, sf):
 
 @register("topn_then_resort", D.fact_sql(
     "SELECT market, reviews, row_number() OVER (ORDER BY market) AS position FROM ("
-    "SELECT coalesce(city, '') || ', ' || coalesce(state, '') AS market, count(*) AS reviews "
+    "SELECT " + D.sql_trim("coalesce(city, 'Unknown')") + " || ', ' || "
+    + D.sql_trim("coalesce(state, 'Unknown')") + " AS market, count(*) AS reviews "
     "FROM rv_fact GROUP BY 1 ORDER BY reviews DESC, market LIMIT 10)"))
 def q_topn_then_resort(spark, sf):
     top = E.market_topn(D.load(spark, sf), top_n=10, min_year=None)

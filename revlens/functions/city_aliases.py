@@ -122,3 +122,33 @@ SCOPE_PAIRS = [
 ]
 
 MIN_REVIEW_YEAR = 2010
+
+# FIXED VALUES: raw spellings inspected by the variant report, and the
+# spellings of the same city that count as canonical there.
+PHILADELPHIA_VARIANTS = [
+    "Bala Cynwyd",
+    "Center City",
+    "Chestnut Hill",
+    "East Passyunk",
+    "Fishtown",
+    "Manayunk",
+    "Mount Airy",
+    "Mt Airy",
+    "Northern Liberties",
+    "Old City",
+    "Passyunk Square",
+    "Phialdelphia",
+    "Phila",
+    "PHILADELPHIA",
+    "philadelphia",
+    "Philadelphia ",
+    "Philadelphia",
+    "Philly",
+    "Queen Village",
+    "Rittenhouse",
+    "Rittenhouse Square",
+    "Roxborough",
+    "South Philadelphia",
+    "University City",
+]
+CANONICAL_PHILADELPHIA = ["Philadelphia", "PHILADELPHIA", "philadelphia"]

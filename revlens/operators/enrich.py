@@ -20,7 +20,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from revlens.functions import expr as X
-from revlens.functions.city_aliases import CITY_ALIASES, MIN_REVIEW_YEAR, SCOPE_PAIRS
+from revlens.functions.city_aliases import (CANONICAL_PHILADELPHIA, CITY_ALIASES, MIN_REVIEW_YEAR,
+                                           PHILADELPHIA_VARIANTS, SCOPE_PAIRS)
 from revlens.operators.features import ENGINEERED_BUSINESS_PREFIXES
 
 # Columns that get the 'Unknown' level, and zero-filled counts.
@@ -149,13 +150,22 @@ def standardize_city(df: DataFrame, aliases: DataFrame | None = None,
             .drop("__variant", "__canonical"))
 
 
-def variant_filter(df: DataFrame, variants: list[str], canonical: str,
+def _raw_city(city: str):
+    return X.trim_ws(F.coalesce(F.col(city).cast("string"), F.lit("Unknown")))
+
+
+def variant_filter(df: DataFrame, variants=None, canonical=None,
                    city: str = "city") -> DataFrame:
-    """Rows whose raw city is one of ``variants`` but not the canonical spelling."""
-    return df.where(F.col(city).isin(*variants) & (F.col(city) != canonical))
+    """Rows whose stripped raw city (NULL -> 'Unknown') is one of ``variants``
+    but none of the ``canonical`` spellings; the city is returned stripped."""
+    variants = PHILADELPHIA_VARIANTS if variants is None else variants
+    canonical = CANONICAL_PHILADELPHIA if canonical is None else canonical
+    raw = _raw_city(city)
+    return (df.withColumn(city, raw)
+            .where(F.col(city).isin(*variants) & ~F.col(city).isin(*canonical)))
 
 
-def variant_counts(df: DataFrame, variants: list[str], canonical: str, city: str = "city",
+def variant_counts(df: DataFrame, variants=None, canonical=None, city: str = "city",
                    top_n: int = 12) -> DataFrame:
     return (variant_filter(df, variants, canonical, city)
             .groupBy(city).agg(F.count(F.lit(1)).alias("reviews"))
@@ -205,11 +215,11 @@ def year_summary(df: DataFrame, year_col: str = "review_year") -> DataFrame:
 def market_topn(df: DataFrame, city: str = "city", state: str = "state", top_n: int = 15,
                 min_year: int | None = MIN_REVIEW_YEAR,
                 year_col: str = "review_year") -> DataFrame:
-    """Top markets by review count: label 'city, state', ties by label."""
+    """Top markets by review count: label 'city, state' (each part stripped,
+    NULL -> 'Unknown'), ties by label."""
     if min_year is not None:
         df = df.where(F.col(year_col) >= min_year)
-    label = F.concat_ws(", ", F.coalesce(F.col(city).cast("string"), F.lit("")),
-                        F.coalesce(F.col(state).cast("string"), F.lit("")))
+    label = F.concat_ws(", ", _raw_city(city), _raw_city(state))
     return (df.groupBy(label.alias("market")).agg(F.count(F.lit(1)).alias("reviews"))
             .orderBy(F.col("reviews").desc(), F.col("market")).limit(top_n))
 
