@@ -136,6 +136,15 @@ def q_top_decile_lift(spark, sf):
     return M.top_decile_lift(scored(spark, sf), by=["model"])
 
 
+@register("top_decile_lift_dissatisfied", _with(
+    "SELECT model, " + RS("avg(CASE WHEN rk <= greatest(1, round_even(n * 0.1, 0)) THEN 1 - y END) "
+                          "FILTER (WHERE rk <= greatest(1, round_even(n * 0.1, 0))) / avg(1 - y)", 6)
+    + " AS lift FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY score ASC, id) "
+      "AS rk, count(*) OVER (PARTITION BY model) AS n FROM scored) GROUP BY model"))
+def q_top_decile_lift_dissatisfied(spark, sf):
+    return M.top_decile_lift(scored(spark, sf), by=["model"], pos_label=0)
+
+
 @register("lift_topk", _with(
     "SELECT model, id, y, score, pred FROM scored WHERE model = 'm_price' "
     "ORDER BY score DESC, id LIMIT 100"))

@@ -120,9 +120,10 @@ def classification_metrics(df: DataFrame, y: str = "y", pred: str = "pred", by=(
 def top_decile_lift(df: DataFrame, y: str = "y", score: str = "score", key: str = "id",
                     fraction: float = 0.1, pos_label: int = 1, by=(),
                     partitions: int | None = None, digits: int | None = 6) -> DataFrame:
-    """Positive rate among the top ``k = max(1, round(n * fraction))`` scores
-    (ties broken by ``key``) divided by the base rate; NULL when the base is 0.
-    ``round`` is Python's half-to-even.
+    """Rate of ``pos_label`` among the top ``k = max(1, round(n * fraction))``
+    cases divided by its base rate; NULL when the base is 0.  Cases are ranked
+    by descending score for ``pos_label = 1`` and by ascending score for
+    ``pos_label = 0`` (ties broken by ``key``).  ``round`` is half-to-even.
 
     Rows are never ranked one by one: the descending cumulative histogram of
     distinct scores locates the boundary score per group (everything above it
@@ -133,7 +134,8 @@ def top_decile_lift(df: DataFrame, y: str = "y", score: str = "score", key: str
     if single:                      # one group: a constant key keeps every join an equi-join
         df, by = df.withColumn("__g", F.lit(0)), ["__g"]
     hit = (F.col(y) == pos_label).cast("double")
-    d = df.select(*by, key, score, hit.alias("__hit"))
+    ranked_score = F.col(score) if pos_label == 1 else -F.col(score)
+    d = df.select(*by, key, ranked_score.alias(score), hit.alias("__hit"))
     h = (d.groupBy(*by, score)
          .agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("__hit").alias("p")))
     c = cumulative(h, [F.col(score).desc()], ["n", "p"], by, partitions)

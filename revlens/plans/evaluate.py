@@ -39,8 +39,11 @@ def metrics_table(scored: DataFrame, by: list[str]) -> DataFrame:
     ap = M.average_precision(scored.withColumn("y", 1 - F.col("y"))
                              .withColumn("score", -F.col("score")), by=by) \
         .withColumnRenamed("ap", "pr_auc_dissatisfied")
-    lift = M.top_decile_lift(scored, by=by)
-    return cm.join(g, by, "left").join(ap, by, "left").join(lift, by, "left")
+    lift = M.top_decile_lift(scored, by=by).withColumnRenamed("lift", "top_decile_lift")
+    lift0 = M.top_decile_lift(scored, by=by, pos_label=0) \
+        .withColumnRenamed("lift", "top_decile_lift_dissat")
+    return (cm.join(g, by, "left").join(ap, by, "left").join(lift, by, "left")
+            .join(lift0, by, "left"))
 
 
 def fit_all(models: dict[str, Pipeline], train: DataFrame) -> tuple[dict, dict]:
