@@ -98,6 +98,18 @@ def q_pr_curve(spark, sf):
     return M.pr_curve(scored(spark, sf), by=["model"])
 
 
+@register("pr_curve_dissatisfied", _with(
+    "SELECT model, score AS threshold, " + RS("cum_pos / (cum_pos + cum_neg)", 6)
+    + " AS precision, " + RS("cum_pos / sum(pos) OVER (PARTITION BY model)", 6)
+    + " AS recall FROM dc",
+    hist="SELECT model, -score AS score, sum(1 - y) AS pos, sum(y) AS neg FROM scored "
+         "GROUP BY model, -score", dc=_DESC))
+def q_pr_curve_dissatisfied(spark, sf):
+    s = scored(spark, sf).select("model", (1 - F.col("y")).alias("y"),
+                                 (-F.col("score")).alias("score"))
+    return M.pr_curve(s, by=["model"])
+
+
 @register("confusion_counts", _with("SELECT model, y, pred, count(*) AS n FROM scored "
                                     "GROUP BY model, y, pred"))
 def q_confusion_counts(spark, sf):

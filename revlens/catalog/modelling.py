@@ -270,7 +270,7 @@ def q_topk_curve(spark, sf):
     p, feats, num, cat = pool(spark, sf)
     train, test = _train_test(p)
     ranking = sorted(feats)
-    return EV.topk_curve(_lr_builder(p, num, cat), ranking, train, test, ks=(3, 6))
+    return EV.topk_curve(_lr_builder(p, num, cat), ranking, train, test, ks=(3, 6), replicates=50)
 
 
 @register("group_ablation")
@@ -279,7 +279,7 @@ def q_group_ablation(spark, sf):
     p, feats, num, cat = pool(spark, sf)
     train, test = _train_test(p)
     groups = build_feature_groups(feats)
-    return EV.group_ablation(_lr_builder(p, num, cat), groups, feats, train, test)
+    return EV.group_ablation(_lr_builder(p, num, cat), groups, feats, train, test, replicates=50)
 
 
 @register("learning_curve")

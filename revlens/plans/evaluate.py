@@ -20,6 +20,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from revlens.operators import metrics as M
+from revlens.operators.bootstrap import paired_bootstrap
 from revlens.operators.ranking import global_rank
 from revlens.operators.sampling import RANDOM_STATE, seeded_hash
 from revlens.plans import models as MD
@@ -191,31 +192,40 @@ def _refit_gini(make_pipe, train, test, label: str, key: str = "id") -> DataFram
     return M.gini(MD.score(m, test, label, [key]), by=["model"], digits=None)
 
 
+def _variants_scored(builds: dict, train: DataFrame, test: DataFrame, key: str = "id"):
+    """Fit each variant on ``train`` and score ``test``: one long scored table."""
+    return _union([MD.score(make().fit(train), test, name, [key]) for name, make in builds.items()])
+
+
 def topk_curve(build, ranking: list[str], train: DataFrame, test: DataFrame,
-               ks=(5, 10, 25, 50)) -> DataFrame:
-    """Refit on the top-k features of ``ranking``; gini and % of the all-feature gini."""
+               ks=(5, 10, 25, 50), replicates: int = 2000) -> DataFrame:
+    """Refit on the top-k features of ``ranking``; gini, % of the all-feature
+    gini and paired-bootstrap intervals of the difference to the full model."""
     sizes = [k for k in ks if k < len(ranking)] + [len(ranking)]
-    parts = [_refit_gini(lambda k=k: build(ranking[:k]), train, test, str(k)) for k in sizes]
-    res = _union(parts).withColumn("n_features", F.col("model").cast("int"))
-    full = res.where(F.col("n_features") == len(ranking)).select(F.col("gini").alias("__full"))
-    full_g = full.scalar()
-    return res.select("n_features", F.round("gini", 6).alias("gini"),
-                      F.round(F.col("gini") / full_g * 100, 2).alias("pct_of_full"))
+    builds = {str(k): (lambda k=k: build(ranking[:k])) for k in sizes}
+    scored = _variants_scored(builds, train, test)
+    boot = paired_bootstrap(scored, str(len(ranking)), replicates=replicates)
+    full = boot.where(F.col("model") == str(len(ranking))).select("gini").scalar()
+    return boot.select(F.col("model").cast("int").alias("n_features"), "gini",
+                       F.round(F.col("gini") / full * 100, 2).alias("pct_of_full"),
+                       "delta_vs_full", "delta_bonf_lo", "delta_bonf_hi",
+                       "differs_from_full_bonf")
 
 
 def group_ablation(build, groups: dict[str, list[str]], features: list[str], train: DataFrame,
-                   test: DataFrame) -> DataFrame:
-    """Refit without each feature block; gini change against the full model."""
-    parts = [_refit_gini(lambda: build(features), train, test, "__all")]
+                   test: DataFrame, replicates: int = 2000) -> DataFrame:
+    """Refit without each feature block; the block matters when the Bonferroni
+    upper bound of (gini without it - full gini) is below 0."""
+    builds = {"__all": lambda: build(features)}
     for g, cols in groups.items():
         kept = [c for c in features if c not in cols]
         if kept:
-            parts.append(_refit_gini(lambda kept=kept: build(kept), train, test, g))
-    res = _union(parts)
-    full = res.where(F.col("model") == "__all").select("gini").scalar()
-    return res.where(F.col("model") != "__all").select(
-        F.col("model").alias("block"), F.round("gini", 6).alias("gini"),
-        F.round(F.col("gini") - full, 6).alias("delta_vs_full"))
+            builds[g] = lambda kept=kept: build(kept)
+    scored = _variants_scored(builds, train, test)
+    boot = paired_bootstrap(scored, "__all", replicates=replicates)
+    return boot.where(F.col("model") != "__all").select(
+        F.col("model").alias("block"), "gini", "delta_vs_full", "delta_bonf_lo",
+        "delta_bonf_hi", (F.col("delta_bonf_hi") < 0).alias("block_has_value"))
 
 
 def learning_curve(builds: dict, pool: DataFrame, test: DataFrame, sizes=(1000, 2000, 4000),

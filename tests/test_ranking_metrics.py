@@ -69,7 +69,8 @@ def test_bootstrap_self_difference_is_zero(spark):
                                  "id long, y boolean, score double").withColumn("y", F.col("y").cast("int"))
     two = base.withColumn("model", F.lit("a")).unionByName(base.withColumn("model", F.lit("b")))
     res = {r.model: r for r in BS.paired_bootstrap(two, "a", replicates=20).collect()}
-    assert res["b"].delta_lo == 0 and res["b"].delta_hi == 0
+    assert res["b"].delta_vs_full_lo == 0 and res["b"].delta_vs_full_hi == 0
+    assert res["b"].delta_vs_full == 0 and not res["b"].differs_from_full_bonf
 
 
 def test_rank_cutoffs_match_brute_force_and_widen(spark):
