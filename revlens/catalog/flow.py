@@ -276,7 +276,8 @@ FACT_COLUMNS = ["business_id", "user_id", "review_stars", "review_date", "review
 
 @register("enrich_fact", fact_sql("SELECT " + ", ".join(FACT_COLUMNS) + " FROM rv_fact"))
 def q_enrich_fact(spark, sf):
-    return D.load(spark, sf, reuse=False).select(*FACT_COLUMNS)
+    # flow A's product: built and materialized once, as the descriptive jobs read it
+    return D.load(spark, sf).select(*FACT_COLUMNS)
 
 
 @register("select_model_columns", fact_sql(

@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from revlens.sources.tables import Tables
+from revlens.sources.tables import Tables, spread_fact_scan
 
 DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
@@ -37,7 +37,7 @@ def _s(c: Column) -> Column:
 
 
 def review_raw(t: Tables) -> DataFrame:
-    l, o = t.lineitem, t.orders
+    l, o = spread_fact_scan(t.lineitem), t.orders
     return (
         l.join(o, l.l_orderkey == o.o_orderkey, "inner")
         .select(

@@ -40,9 +40,10 @@ def clean_weather(t: Tables) -> DataFrame:
 def enriched_fact(t: Tables, weather: bool = True, business_subfeatures: bool = False,
                   top_n: int = 10, exclude=("ring",)) -> DataFrame:
     b, r, u = core_tables(t, business_subfeatures, top_n, exclude)
+    # quote stripping is per value and idempotent: run it once per business, not per review
+    b = E.normalize_attribute_levels(b)
     activity = FE.activity_features(FX.checkin_raw(t), FX.tip_raw(t), FX.photo_raw(t))
     fact = E.enrich_fact(r, b, u, activity=activity, broadcast_max_rows=E.BROADCAST_MAX_ROWS)
-    fact = E.normalize_attribute_levels(fact)
     fact = E.clean_values(fact)
     if weather:
         fact = W.normalize_keys(fact, "wx_city", "wx_state", "review_date")

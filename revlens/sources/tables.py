@@ -20,6 +20,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_fact_scan(df: DataFrame) -> DataFrame:
+    """A fact file stored as one row group scans as one partition, so every
+    narrow stage after it (joins with broadcast dimensions, cleaning, the
+    write) would run in one task.  When the scan has fewer partitions than
+    half the cores it is rebalanced once (round-robin); on a real fact with
+    thousands of splits this is a no-op.  Filters and column pruning are
+    still pushed below the repartition."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < max(2, cores // 2):
+        return df.repartition(cores)
+    return df
+
+
 class Tables:
     """Attribute access to the tables of one data folder."""
 
