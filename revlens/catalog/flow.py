@@ -41,12 +41,13 @@ def _user_json(t):
         F.col("s_suppkey").alias("user_id"), F.col("s_name").alias("name"))).alias("json"))
 
 
-SQL_BJSON = ("SELECT to_json(struct_pack(business_id := p_partkey, "
-             "categories := replace(p_name, ' ', ', '))) AS json FROM part")
-SQL_RJSON = ("SELECT to_json(struct_pack(business_id := l_partkey, review_id := l_orderkey, "
-             "line := l_linenumber, stars := l_quantity, user_id := l_suppkey)) AS json FROM lineitem")
-SQL_UJSON = ("SELECT to_json(struct_pack(user_id := s_suppkey, name := s_name)) AS json "
-             "FROM supplier")
+SQL_BJSON = ("SELECT CAST(to_json(struct_pack(business_id := p_partkey, "
+             "categories := replace(p_name, ' ', ', '))) AS VARCHAR) AS json FROM part")
+SQL_RJSON = ("SELECT CAST(to_json(struct_pack(business_id := l_partkey, review_id := l_orderkey, "
+             "line := l_linenumber, stars := l_quantity, user_id := l_suppkey)) AS VARCHAR) AS json "
+             "FROM lineitem")
+SQL_UJSON = ("SELECT CAST(to_json(struct_pack(user_id := s_suppkey, name := s_name)) AS VARCHAR) "
+             "AS json FROM supplier")
 SQL_BIZ_HIT = (f"SELECT json, json_extract_string(json, '$.business_id') AS k FROM bjson "
                f"WHERE json_extract_string(json, '$.categories') ILIKE '%{CATEGORY}%'")
 

@@ -94,7 +94,7 @@ def q_write_result(spark, sf):
 # ---------------------------------------------------------------------------
 
 @register("topn_then_resort", D.fact_sql(
-    "SELECT market, reviews, row_number() OVER (ORDER BY market) AS position FROM ("
+    "SELECT market, reviews, CAST(row_number() OVER (ORDER BY market) AS INTEGER) AS position FROM ("
     "SELECT " + D.sql_trim("coalesce(city, 'Unknown')") + " || ', ' || "
     + D.sql_trim("coalesce(state, 'Unknown')") + " AS market, count(*) AS reviews "
     "FROM rv_fact GROUP BY 1 ORDER BY reviews DESC, market LIMIT 10)"))
@@ -118,8 +118,8 @@ SEGMENT_ORDER = ["MACHINERY", "HOUSEHOLD", "FURNITURE", "BUILDING", "AUTOMOBILE"
 
 @register("sort_by_custom_order", """
     SELECT c_mktsegment, count(*) AS customers,
-           list_position(['MACHINERY', 'HOUSEHOLD', 'FURNITURE', 'BUILDING', 'AUTOMOBILE'],
-                         c_mktsegment) AS ordinal
+           CAST(list_position(['MACHINERY', 'HOUSEHOLD', 'FURNITURE', 'BUILDING', 'AUTOMOBILE'],
+                              c_mktsegment) AS BIGINT) AS ordinal
     FROM customer GROUP BY c_mktsegment ORDER BY ordinal""")
 def q_sort_by_custom_order(spark, sf):
     c = Tables(spark, sf).customer

@@ -174,8 +174,9 @@ FACT_SQL = {
                coalesce(photo_count, 0) AS photo_count, coalesce(photo_drink, 0) AS photo_drink,
                coalesce(photo_food, 0) AS photo_food, coalesce(photo_inside, 0) AS photo_inside,
                coalesce(photo_menu, 0) AS photo_menu, coalesce(photo_outside, 0) AS photo_outside,
-               year(review_date) AS review_year, month(review_date) AS review_month,
-               isodow(review_date) - 1 AS review_weekday,
+               CAST(year(review_date) AS INTEGER) AS review_year,
+               CAST(month(review_date) AS INTEGER) AS review_month,
+               CAST(isodow(review_date) - 1 AS INTEGER) AS review_weekday,
                regexp_replace({sql_trim('wx_city')}, '\\s+', ' ', 'g') AS wx_city,
                upper({sql_trim('wx_state')}) AS wx_state,
                CAST(review_date AS DATE) AS review_date
