@@ -45,8 +45,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when it is unset (local tests)
-    is a fresh scratch folder created and registered.
+    The cluster's setting always wins.  Only when it is unset *and* the
+    master is local (tests, single-machine runs) is a fresh scratch folder
+    created; on a cluster a machine-local folder would not be shared, so an
+    unset setting is an error there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
@@ -54,6 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
+                         "distributed file system) before running revlens jobs")
     local = tempfile.mkdtemp(prefix="revlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
