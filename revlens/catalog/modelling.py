@@ -318,3 +318,36 @@ def q_feature_blocks(spark, sf):
     _, feats, _ = model_frame(spark, sf)
     df = spark.createDataFrame([(f,) for f in feats], "feature string")
     return df.withColumn("block", block_column("feature"))
+
+
+# ---------------------------------------------------------------------------
+# Bernoulli naive Bayes has closed-form parameters: checked against SQL counts
+# ---------------------------------------------------------------------------
+NB_FLAGS = {"is_r": "l_returnflag = 'R'", "is_f": "l_linestatus = 'F'",
+            "high_disc": "l_discount > 0.05", "high_tax": "l_tax > 0.04"}
+NB_LABEL = "l_shipdate >= TIMESTAMP '1999-01-01'"
+
+
+@register("naive_bayes_parameters", "WITH b AS (SELECT " + ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in NB_FLAGS.items())
+          + f", CAST({NB_LABEL} AS DOUBLE) AS label FROM lineitem) "
+          + " UNION ALL ".join(
+              f"SELECT label, '{n}' AS feature, round_even((sum({n}) + 1) / (count(*) + 2) * 1000000.0, 0)"
+              f" / 1000000.0 AS prob FROM b GROUP BY label" for n in NB_FLAGS)
+          + " UNION ALL SELECT label, '__prior' AS feature, round_even((count(*) + 1) / "
+            "((SELECT count(*) FROM b) + 2) * 1000000.0, 0) / 1000000.0 AS prob FROM b GROUP BY label")
+def q_naive_bayes_parameters(spark, sf):
+    import math
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import VectorAssembler
+    li = Tables(spark, sf).lineitem
+    data = li.select(*[F.expr(e).cast("double").alias(n) for n, e in NB_FLAGS.items()],
+                     F.expr(NB_LABEL).cast("double").alias("label"))
+    data = VectorAssembler(inputCols=list(NB_FLAGS), outputCol="features").transform(data)
+    model = NaiveBayes(modelType="bernoulli", smoothing=1.0).fit(data)
+    theta, pi = model.theta.toArray(), model.pi.toArray()
+    rows = []
+    for c in range(len(pi)):
+        rows.append((float(c), "__prior", round(math.exp(pi[c]) * 1e6) / 1e6))
+        for j, n in enumerate(NB_FLAGS):
+            rows.append((float(c), n, round(math.exp(theta[c][j]) * 1e6) / 1e6))
+    return spark.createDataFrame(rows, "label double, feature string, prob double")
