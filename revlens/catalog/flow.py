@@ -160,11 +160,6 @@ def q_date_span(spark, sf):
     return W.date_span(FX.review_raw(Tables(spark, sf)), "date")
 
 
-_WX_FEAT_COLS = ("city, state, station, review_date, weather_prcp, weather_snow, "
-                 "weather_snow_depth, weather_tmax, weather_tmin, weather_temp_range, "
-                 "is_rainy, is_snowy, is_hot, is_cold")
-
-
 @register("weather_features", sql_with(
     "SELECT * FROM rv_w2x",
     "rv_weather_raw",

@@ -11,7 +11,6 @@ the inherent shape of the work.
 from __future__ import annotations
 
 import time
-import zlib
 from functools import reduce
 
 from pyspark.ml import Pipeline
