@@ -54,8 +54,10 @@ BROADCAST_MAX_ROWS = 500_000
 def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(dim)`` if ``dim`` has at most ``max_rows`` rows, else ``dim``.
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early), so
-    a big dimension costs a bounded probe, not a full count."""
+    The probe stops after ``max_rows + 1`` output rows (``limit``), so a
+    narrow dimension pipeline is read only that far; a dimension that ends in
+    an aggregation still completes that (dimension-sized) shuffle once.  The
+    fact is never touched by the probe."""
     n = dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
 
