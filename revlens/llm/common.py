@@ -32,3 +32,11 @@ def crc_mod(id_col: str = "doc_id", modulus: int = 5) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``; null ids give 0."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus,
                       F.lit(0).cast("bigint"))
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the shared checkpoint folder (not created)."""
+    import uuid
+
+    from revlens.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/revlens-tables/{name}-{uuid.uuid4().hex[:12]}"

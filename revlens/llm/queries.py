@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe
+from revlens.llm import bpe, exact_stream
 from revlens.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,16 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
 @query
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_stream_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
+
+
+@query
+def op6_stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = exact_stream.dedup(read(spark, sf_dir, "documents")).rows
+    return rows.select("doc_id", "keep_id", "group_size", "kept",
+                       F.col("digest").alias("text_sha256"))
