@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, exact_stream
+from revlens.llm import bpe, exact_stream, mixing
 from revlens.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,45 @@ def op6_stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_stream.dedup(read(spark, sf_dir, "documents")).rows
     return rows.select("doc_id", "keep_id", "group_size", "kept",
                        F.col("digest").alias("text_sha256"))
+
+
+ORACLES["op2_temperature_mixing"] = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\t-\r ]+')) AS n_tokens
+  FROM documents),
+s AS (SELECT source, sum(n_tokens)::BIGINT AS source_tokens FROM t GROUP BY source HAVING sum(n_tokens) > 0),
+p AS (
+  SELECT *, source_tokens::DOUBLE / sum(source_tokens) OVER () AS share,
+         sum(source_tokens) OVER () AS total, count(*) OVER () AS n
+  FROM s),
+e AS (
+  SELECT k, k / 65536::DOUBLE AS a, sum(exp(k / 65536::DOUBLE * ln(share))) AS z,
+         sum(exp(k / 65536::DOUBLE * ln(share)) * ln(share)) AS u,
+         max(exp(k / 65536::DOUBLE * ln(share)) / source_tokens) AS top,
+         any_value(total) AS total, any_value(n) AS n
+  FROM p, range(0, 65537) AS r(k) GROUP BY k),
+x AS (
+  SELECT greatest(max(k) FILTER (ln(z) - a * u / z >= 0.95::DOUBLE * ln(n) - 1e-9::DOUBLE),
+                  min(k) FILTER (top / z * total <= 4 + 1e-9::DOUBLE)) / 65536::DOUBLE AS a
+  FROM e),
+w AS (SELECT p.*, exp(a * ln(share)) / sum(exp(a * ln(share))) OVER () AS weight FROM p, x),
+b AS (SELECT source, source_tokens, floor(total * weight + 1e-6::DOUBLE)::BIGINT AS source_budget FROM w),
+d AS (
+  SELECT t.*, b.source_tokens, b.source_budget, b.source_budget // b.source_tokens AS epochs,
+         b.source_budget % b.source_tokens AS rest
+  FROM t JOIN b USING (source) WHERE source_budget > 0),
+r AS (SELECT *, unnest(range(0, epochs + 1)) AS epoch FROM d),
+h AS (SELECT *, md5('mix|' || epoch || '|' || doc_id) AS draw_key FROM r),
+c AS (
+  SELECT *, (sum(n_tokens) OVER (PARTITION BY source, epoch ORDER BY draw_key))::BIGINT AS through
+  FROM h),
+q AS (SELECT *, epoch * source_tokens + through AS position FROM c WHERE epoch < epochs OR through <= rest)
+SELECT doc_id, source, epoch, (greatest(position - 1, 0) * 64) // source_budget AS block,
+       position, n_tokens, draw_key
+FROM q"""
+
+
+@query
+def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents")).draws
