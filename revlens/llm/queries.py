@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, exact_stream, mixing
-from revlens.llm.common import read
+from revlens.llm import bpe, exact_stream, mixing, quality
+from revlens.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +84,13 @@ FROM q"""
 @query
 def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).draws
+
+
+@query
+def op7_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    spec = quality.QualitySpec()
+    scored = quality.score(docs, quality.fit(docs, read(spark, sf_dir, "labels"), spec))
+    return scored.select("doc_id", (crc_mod() == 0).alias("held_out"),
+                         F.col(quality.SCORE).alias("score"),
+                         (F.col(quality.SCORE) >= spec.threshold).cast("int").alias("predicted"))
