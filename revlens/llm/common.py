@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +41,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
     from revlens.session import ensure_checkpoint_dir
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/revlens-tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def with_locator(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_file`` and ``_row``, the place of each row's content.
+
+    Rows that don't come straight from files are written to the shared folder first."""
+    try:
+        meta = docs.metadataColumn("_metadata")
+        found = docs.select("*", meta["file_path"].alias("_file"), meta["row_index"].alias("_row"))
+        found.schema  # noqa: B018  (resolves the names now)
+        return found
+    except AnalysisException:
+        stored = materialize(docs, "located-input")
+        meta = stored.metadataColumn("_metadata")
+        return stored.select("*", meta["file_path"].alias("_file"), meta["row_index"].alias("_row"))

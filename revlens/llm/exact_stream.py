@@ -23,32 +23,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import materialize, shared_folder
+from revlens.llm.common import materialize, shared_folder, with_locator
 
 HEAVY = 1000
 SALTS = 64
 KEY = ["digest", "n_bytes"]
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def with_locator(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_file`` and ``_row``, the place of each row's content.
-
-    Rows that don't come straight from files are written to the shared folder first."""
-    try:
-        meta = docs.metadataColumn("_metadata")
-        found = docs.select("*", meta["file_path"].alias("_file"), meta["row_index"].alias("_row"))
-        found.schema  # noqa: B018  (resolves the names now)
-        return found
-    except AnalysisException:
-        stored = materialize(docs, "dedup-input")
-        meta = stored.metadataColumn("_metadata")
-        return stored.select("*", meta["file_path"].alias("_file"), meta["row_index"].alias("_row"))
+#: The state store's settings.
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
 
 
 def fingerprints(located: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -65,14 +52,16 @@ def run_state(feed: DataFrame, checkpoint: str) -> None:
     spark = feed.sparkSession
     state = feed.groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies"),
                                    F.max(F.struct("doc_id", "_file", "_row")).alias("keeper"))
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STORE}
+    for k, v in STORE.items():
+        spark.conf.set(k, v)
     try:
         (state.writeStream.format("noop").outputMode("update")
          .option("checkpointLocation", checkpoint).trigger(availableNow=True)
          .start().awaitTermination())
     finally:
-        spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, exact_stream, mixing, quality
+from revlens.llm import bpe, exact_stream, mixing, near_omh, quality
 from revlens.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,9 @@ def op7_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc_mod() == 0).alias("held_out"),
                          F.col(quality.SCORE).alias("score"),
                          (F.col(quality.SCORE) >= spec.threshold).cast("int").alias("predicted"))
+
+
+@query
+def op9_order_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_omh.classes(read(spark, sf_dir, "documents").select("doc_id", "text")).rows
+    return rows.select("doc_id", "class_id", "kept")
