@@ -56,3 +56,17 @@ def with_locator(docs: DataFrame) -> DataFrame:
         stored = materialize(docs, "located-input")
         meta = stored.metadataColumn("_metadata")
         return stored.select("*", meta["file_path"].alias("_file"), meta["row_index"].alias("_row"))
+
+
+#: Keys that hold at least 1/HEAVY of all rows are at most HEAVY keys: a list with
+#: a proven bound, which may be broadcast.
+HEAVY = 1000
+
+
+def join_by_key(rows: DataFrame, keyed: DataFrame, keys: list[str], size_col: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``keyed`` (one row per key; ``size_col`` is the key's
+    number of rows out of ``total``).  Heavy keys are joined map-side, the rest by shuffle."""
+    heavy = keyed.filter(F.col(size_col) * HEAVY >= total)
+    rest = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti")
+    return (rows.join(F.broadcast(heavy), keys)
+            .unionByName(rest.join(keyed.filter(F.col(size_col) * HEAVY < total), keys)))

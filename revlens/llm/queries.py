@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, exact_stream, mixing, near_omh, quality
+from revlens.llm import bpe, exact_stream, mixing, near_omh, near_vectors, quality
 from revlens.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,8 @@ def op7_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_order_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_omh.classes(read(spark, sf_dir, "documents").select("doc_id", "text")).rows
     return rows.select("doc_id", "class_id", "kept")
+
+
+@query
+def op3_subspace_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.links(read(spark, sf_dir, "embeddings"))
