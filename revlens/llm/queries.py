@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, exact_stream, mixing, near_omh, near_vectors, quality
+from revlens.llm import bpe, exact_stream, mixing, near_omh, near_vectors, quality, url_filter
 from revlens.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,8 @@ def op9_order_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_subspace_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.links(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"))
