@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, exact_stream, mixing, near_omh, near_vectors, quality, url_filter
+from revlens.llm import bpe, exact_stream, mixing, near_omh, near_vectors, pii, quality, secrets, url_filter
 from revlens.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,25 @@ def op3_subspace_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"))
+
+
+def span_digest(found: DataFrame, kinds) -> DataFrame:
+    """Counts per kind, the digest of the base spans and all spans as text."""
+    def joined(col):
+        return F.array_join(F.transform(F.col(col), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, kinds), F.sha2(joined("base_spans"), 256).alias("base_sha256"),
+                        joined("spans").alias("spans"))
+
+
+@query
+def op4_secret_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digest(secrets.scan(read(spark, sf_dir, "documents")), secrets.KINDS)
+
+
+@query
+def op1_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digest(pii.find(read(spark, sf_dir, "documents").select("doc_id", "text")), pii.KINDS)
