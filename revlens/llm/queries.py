@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, exact_stream, mixing, near_omh, near_vectors, pii, quality, secrets, url_filter
+from revlens.llm import bpe, exact_stream, mixing, near_omh, near_vectors, pii, quality, secrets, suffix_tree_lm, url_filter
 from revlens.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,13 @@ def op4_secret_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digest(pii.find(read(spark, sf_dir, "documents").select("doc_id", "text")), pii.KINDS)
+
+
+@query
+def op8_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    spec = suffix_tree_lm.TreeSpec()
+    model = suffix_tree_lm.fit(docs.filter(crc_mod() != 1).select("text"), spec)
+    scored = suffix_tree_lm.score(docs, model, spec)
+    return scored.select("doc_id", (crc_mod() == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
