@@ -1,24 +1,53 @@
-"""The corpus pipeline: documents through the stages of ``revlens.llm``.
+"""The corpus pipeline: documents through five stages of ``revlens.llm``.
 
 Each stage is ``(spark, docs, sf_dir) -> DataFrame``; its result is written as
 Parquet into the shared checkpoint folder and reread as the next one's docs.
+All but the last stage return rows of their docs with the same columns.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revlens.llm import queries
+from revlens.llm import exact_stream, mixing, near_omh, quality, queries
 from revlens.llm.common import materialize, read
 
+#: No document is drawn twice; 9/10 of the tokens are drawn, so that sources that
+#: are larger than their weight give way.
+MIX = mixing.MixSpec(budget_part=0.9, entropy_part=0.95, max_epochs=1.0)
 
-def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE of what is left (operator 10)."""
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts (operator 7)."""
+    return quality.accepted(docs, read(spark, sf_dir, "labels"))
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the row with the largest doc_id (operator 6)."""
+    return exact_stream.drop_copies(docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class (operator 9)."""
+    return near_omh.drop_near_copies(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows drawn at the sources' temperature weights (operator 2)."""
+    return mixing.mixed_rows(docs, MIX)
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Byte-level BPE of what is left (operator 10): the columns of op10."""
     return queries.bpe_digests(docs)
 
 
 STAGES = [
-    ("byte-level BPE encoding and decoding", encode_texts),
+    ("quality classifier", quality_stage),
+    ("exact dedup", exact_stage),
+    ("MinHash near-dedup", near_stage),
+    ("mixing sources to target weights", mixing_stage),
+    ("byte-level BPE encoding and decoding", encoding_stage),
 ]
 
 #: SQL can't express the trained classifier or the near-duplicate search.
