@@ -24,6 +24,11 @@ def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def like(frame: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, taken from ``frame``, whatever their names."""
+    return frame.select(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns])
+
+
 def fold_ascii(col: Column) -> Column:
     """Lower-case A-Z only (``lower`` would also fold other scripts)."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -44,18 +49,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def with_locator(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_file`` and ``_row``, the place of each row's content.
+    """``docs`` with ``__file`` and ``__row``, the place of each row's content.
 
     Rows that don't come straight from files are written to the shared folder first."""
     try:
         meta = docs.metadataColumn("_metadata")
-        found = docs.select("*", meta["file_path"].alias("_file"), meta["row_index"].alias("_row"))
+        found = docs.select("*", meta["file_path"].alias("__file"), meta["row_index"].alias("__row"))
         found.schema  # noqa: B018  (resolves the names now)
         return found
     except AnalysisException:
         stored = materialize(docs, "located-input")
         meta = stored.metadataColumn("_metadata")
-        return stored.select("*", meta["file_path"].alias("_file"), meta["row_index"].alias("_row"))
+        return stored.select("*", meta["file_path"].alias("__file"), meta["row_index"].alias("__row"))
 
 
 #: Keys that hold at least 1/HEAVY of all rows are at most HEAVY keys: a list with

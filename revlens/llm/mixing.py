@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revlens.llm.common import materialize
+from revlens.llm.common import like, materialize
 
 GRID = 1 << 16
 WAYS = 16
@@ -185,4 +185,4 @@ def mixed_rows(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
         "mix-cuts")
     keep = ((F.coalesce(F.col("source"), F.lit("")) == F.col("__mix_source"))
             & (draw_key(F.col("__mix_epoch"), spec) <= F.col("__mix_cut")))
-    return docs.join(cuts, keep).select(*[docs[c] for c in docs.columns])
+    return like(docs.join(cuts, keep), docs)

@@ -150,8 +150,8 @@ def patterns(text: str, start: int, end: int) -> list[str]:
 
 
 def extract(located: DataFrame) -> DataFrame:
-    """doc_id, _file, _row, base_spans and occurrences (of seeds and candidates)."""
-    rows = located.select("doc_id", "_file", "_row", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    """doc_id, __file, __row, base_spans and occurrences (of seeds and candidates)."""
+    rows = located.select("doc_id", "__file", "__row", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     item = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()),
                       ("surface", pa.string()), ("suits", pa.list_(pa.string())), ("patterns", pa.list_(pa.string()))])
 
@@ -171,11 +171,11 @@ def extract(located: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), part.column(2), span_array(base),
                      pa.array([list(occurrences(t, b)) for t, b in zip(texts, base)], pa.list_(item))],
-                    names=["doc_id", "_file", "_row", "base_spans", "occurrences"])
+                    names=["doc_id", "__file", "__row", "base_spans", "occurrences"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, (
-        f"doc_id {kind}, _file string, _row bigint, base_spans {SPANS}, occurrences array<struct<kind:string,"
+        f"doc_id {kind}, __file string, __row bigint, base_spans {SPANS}, occurrences array<struct<kind:string,"
         "start:int,end:int,surface:string,suits:array<string>,patterns:array<string>>>"))
 
 
@@ -209,19 +209,19 @@ def confident_patterns(occurrences: DataFrame, spec: PiiSpec) -> DataFrame:
 def find(docs: DataFrame, spec: PiiSpec = PiiSpec()) -> DataFrame:
     """doc_id, base_spans, spans; both by kind as listed, then start."""
     stored = materialize(extract(with_locator(docs)), "pii-extract")
-    each = stored.select("_file", "_row", F.explode("occurrences").alias("o")).select("_file", "_row", "o.*")
+    each = stored.select("__file", "__row", F.explode("occurrences").alias("o")).select("__file", "__row", "o.*")
     sure = confident_patterns(each, spec)
     added = (each.filter("kind is null").select(
-                "_file", "_row", "start", "end", "suits", F.explode(F.array_distinct("patterns")).alias("pattern"))
+                "__file", "__row", "start", "end", "suits", F.explode(F.array_distinct("patterns")).alias("pattern"))
              .join(sure.withColumnRenamed("kind", "found"), "pattern")
              .filter(F.array_contains("suits", F.col("found")))
-             .select("_file", "_row", F.struct(F.col("found").alias("kind"), "start", "end").alias("span")).distinct()
-             .groupBy("_file", "_row").agg(F.collect_list("span").alias("added")))
+             .select("__file", "__row", F.struct(F.col("found").alias("kind"), "start", "end").alias("span")).distinct()
+             .groupBy("__file", "__row").agg(F.collect_list("span").alias("added")))
     rank = F.create_map(*[F.lit(x) for kind in KINDS for x in (kind, ORDER[kind])])
     order = F.transform(
         F.array_sort(F.transform(F.concat("base_spans", F.coalesce("added", F.expr(f"cast(array() as {SPANS})"))),
                                  lambda s: F.struct(rank[s["kind"]].alias("rank"), s["start"].alias("start"),
                                                     s["end"].alias("end"), s["kind"].alias("kind")))),
         lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return (stored.select("doc_id", "_file", "_row", "base_spans").join(added, ["_file", "_row"], "left")
+    return (stored.select("doc_id", "__file", "__row", "base_spans").join(added, ["__file", "__row"], "left")
             .select("doc_id", "base_spans", order.alias("spans")))

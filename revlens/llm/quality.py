@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.llm.common import crc_mod, text_rows
+from revlens.llm.common import crc_mod, like, text_rows
 
 PART = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 SCORE = "__quality_score"
@@ -256,8 +256,8 @@ def fit(docs: DataFrame, labels: DataFrame, spec: QualitySpec = QualitySpec()) -
 def score(docs: DataFrame, net: Network) -> DataFrame:
     """All columns of ``docs`` and ``__quality_score``; needs a column ``text``."""
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    names = [c for c in docs.columns if c != SCORE]
-    frame = docs.select(*names)
+    frame = docs.drop(SCORE)
+    names = frame.columns
     at = names.index("text")
 
     def run(batches):
@@ -274,4 +274,4 @@ def score(docs: DataFrame, net: Network) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame, spec: QualitySpec = QualitySpec()) -> DataFrame:
     """The documents that the classifier accepts, unchanged."""
     scored = score(docs, fit(docs, labels, spec))
-    return scored.filter(F.col(SCORE) >= spec.threshold).select(*docs.columns)
+    return like(scored.filter(F.col(SCORE) >= spec.threshold), docs)
