@@ -26,15 +26,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import materialize, shared_folder, with_locator
+from revlens.llm.common import like, materialize, shared_folder, with_locator
 
 HEAVY = 1000
 SALTS = 64
 KEY = ["digest", "n_bytes"]
-#: The state store's settings.
+#: The state store's settings.  Without pre-allocated files a store of few keys stays small.
 STORE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
@@ -42,7 +43,7 @@ def fingerprints(located: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.coalesce(F.col(text_col), F.lit(""))
     return located.select(F.sha2(text, 256).alias("digest"),
                           F.octet_length(text).cast("bigint").alias("n_bytes"),
-                          F.col(id_col).alias("doc_id"), "_file", "_row")
+                          F.col(id_col).alias("doc_id"), "__file", "__row")
 
 
 def run_state(feed: DataFrame, checkpoint: str) -> None:
@@ -51,7 +52,7 @@ def run_state(feed: DataFrame, checkpoint: str) -> None:
     Call it again with later files and the same checkpoint: the state goes on."""
     spark = feed.sparkSession
     state = feed.groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies"),
-                                   F.max(F.struct("doc_id", "_file", "_row")).alias("keeper"))
+                                   F.max(F.struct("doc_id", "__file", "__row")).alias("keeper"))
     before = {k: spark.conf.get(k, None) for k in STORE}
     for k, v in STORE.items():
         spark.conf.set(k, v)
@@ -75,7 +76,7 @@ def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
 
 @dataclass
 class Dedup:
-    #: One row per document: doc_id, keep_id, group_size, kept, digest, _file, _row.
+    #: One row per document: doc_id, keep_id, group_size, kept, digest, __file, __row.
     rows: DataFrame
     #: The input with its locators.
     located: DataFrame
@@ -88,10 +89,10 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     fingerprints(located, id_col, text_col).write.parquet(path)
     feed = spark.read.parquet(path)
     total = feed.count()
-    out = ["doc_id", "keep_id", "group_size", "kept", "digest", "_file", "_row"]
+    out = ["doc_id", "keep_id", "group_size", "kept", "digest", "__file", "__row"]
     alone = feed.select("doc_id", F.col("doc_id").alias("keep_id"),
                         F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"),
-                        *KEY, "_file", "_row")
+                        *KEY, "__file", "__row")
     if not total:
         return Dedup(alone.select(*out), located)
     checkpoint = shared_folder(spark, "dedup-state")
@@ -110,8 +111,8 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
         groups = _split(checked, odd)
     found = groups.select(
         "doc_id", F.col("keeper.doc_id").alias("keep_id"), "group_size",
-        ((F.col("keeper._file") == F.col("_file")) & (F.col("keeper._row") == F.col("_row"))).alias("kept"),
-        "digest", "_file", "_row")
+        ((F.col("keeper.__file") == F.col("__file")) & (F.col("keeper.__row") == F.col("__row"))).alias("kept"),
+        "digest", "__file", "__row")
     return Dedup(singles.select(*out).unionByName(found.select(*out)), located)
 
 
@@ -125,16 +126,16 @@ def _check_bytes(located, hits, heavy, id_col, text_col) -> DataFrame:
     rows = _texts(located, id_col, text_col)
     marked = (rows.join(F.broadcast(heavy.withColumn("is_heavy", F.lit(True))), KEY, "left")
               .withColumn("salt", F.when(F.col("is_heavy"),
-                                         F.pmod(F.xxhash64("_file", "_row"), F.lit(SALTS)).cast("int"))
+                                         F.pmod(F.xxhash64("__file", "__row"), F.lit(SALTS)).cast("int"))
                           .otherwise(F.lit(0))).drop("is_heavy"))
-    members = marked.join(spread, [*KEY, "salt"])
-    keeper = members.filter((F.col("keeper._file") == F.col("_file"))
-                            & (F.col("keeper._row") == F.col("_row")))
+    members = materialize(marked.join(spread, [*KEY, "salt"]), "dedup-members")
+    keeper = members.filter((F.col("keeper.__file") == F.col("__file"))
+                            & (F.col("keeper.__row") == F.col("__row")))
     keeper_text = (keeper.select(*KEY, F.col("text").alias("keeper_text"))
                    .join(spread.select(*KEY, "salt"), KEY))
     pairs = members.join(keeper_text, [*KEY, "salt"])
     differs = ~F.col("text").eqNullSafe(F.col("keeper_text"))
-    return materialize(pairs.select(*KEY, "doc_id", "_file", "_row", "copies", "keeper",
+    return materialize(pairs.select(*KEY, "doc_id", "__file", "__row", "copies", "keeper",
                                     differs.alias("differs"),
                                     F.when(differs, F.col("text")).alias("text")), "dedup-checked")
 
@@ -143,7 +144,7 @@ def _texts(located, id_col, text_col) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     return located.select(F.sha2(text, 256).alias("digest"),
                           F.octet_length(text).cast("bigint").alias("n_bytes"),
-                          F.col(id_col).alias("doc_id"), "_file", "_row", text.alias("text"))
+                          F.col(id_col).alias("doc_id"), "__file", "__row", text.alias("text"))
 
 
 def _split(checked: DataFrame, odd: DataFrame) -> DataFrame:
@@ -152,7 +153,7 @@ def _split(checked: DataFrame, odd: DataFrame) -> DataFrame:
     same = (checked.filter(~F.col("differs")).join(n_odd, KEY, "left")
             .withColumn("group_size", F.col("copies") - F.coalesce("n_odd", F.lit(0))))
     by_text = odd.groupBy("text").agg(F.count(F.lit(1)).alias("group_size"),
-                                      F.max(F.struct("doc_id", "_file", "_row")).alias("keeper"))
+                                      F.max(F.struct("doc_id", "__file", "__row")).alias("keeper"))
     apart = odd.drop("keeper").join(by_text, "text")
     return same.unionByName(apart, allowMissingColumns=True)
 
@@ -160,5 +161,5 @@ def _split(checked: DataFrame, odd: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text another row keeps."""
     result = dedup(docs, id_col=id_col, text_col=text_col)
-    dropped = result.rows.filter("not kept").select("_file", "_row")
-    return result.located.join(dropped, ["_file", "_row"], "left_anti").select(*docs.columns)
+    dropped = result.rows.filter("not kept").select("__file", "__row")
+    return like(result.located.join(dropped, ["__file", "__row"], "left_anti"), docs)
