@@ -41,7 +41,7 @@ ORDER = {k: i for i, k in enumerate(KINDS)}
 #: Parts of the base patterns (fixed values), cut so that long runs take linear time.
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+){3,}")
+DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")  # whole chains, so no digit is read twice
 NUMBER = re.compile(r"[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -81,6 +81,8 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 
 def ips(text: str) -> Iterator[tuple[int, int]]:
     for chain in DOTTED.finditer(text):
+        if chain[0].count(".") < 3:
+            continue
         parts = list(NUMBER.finditer(text, chain.start(), chain.end()))
         for i in range(0, len(parts) - 3, 4):
             four = parts[i:i + 4]
