@@ -262,18 +262,60 @@ def q_class_weights(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# Bootstrap and comparison (replicate counts as parameters; no exact oracle:
-# the weights come from a Poisson draw, see the module notes)
+# Bootstrap and comparison (2,000 resamples; the weights are hashes, so SQL
+# draws the same ones)
 # ---------------------------------------------------------------------------
+REPLICATES = 2000
 
-@register("paired_bootstrap")
+
+def _bootstrap_sql(reference: str, select: str) -> str:
+    weight = " ".join(f"WHEN u < {c!r}::DOUBLE THEN {k}" for k, c in enumerate(SP.poisson_cdf()))
+    tail = 0.05 / (2 * (len(MODELS) - 1))
+    return _with(
+        select,
+        digests=f"SELECT o_orderkey AS id, b, md5(o_orderkey || '|' || b || '|{SP.RANDOM_STATE}') AS h "
+                f"FROM orders, range(0, {REPLICATES // 4}) AS r(b)",
+        uniforms="SELECT id, b * 4 + j AS rep, ('0x' || substr(h, CAST(1 + 8 * j AS INTEGER), 8))::UBIGINT "
+                 "/ 4294967296::DOUBLE AS u FROM digests, range(0, 4) AS s(j)",
+        weights=f"SELECT id, rep, CASE {weight} ELSE {SP.POISSON_KMAX} END AS w FROM uniforms",
+        sums="SELECT model, rep, score, sum(w * y)::DOUBLE AS pos, sum(w * (1 - y))::DOUBLE AS neg "
+             "FROM scored JOIN weights USING (id) WHERE w > 0 GROUP BY model, rep, score",
+        drawn="SELECT model, rep, 2 * sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)) - 1 AS g FROM ("
+              "SELECT *, sum(neg) OVER (PARTITION BY model, rep ORDER BY score ROWS UNBOUNDED PRECEDING) "
+              "- neg AS below FROM sums) GROUP BY model, rep HAVING sum(pos) > 0 AND sum(neg) > 0",
+        auc=_AUC_SQL, point="SELECT model, 2 * auc - 1 AS g FROM auc",
+        best=f"SELECT {reference} AS ref",
+        deltas="SELECT d.model, d.g, d.g - r.g AS delta FROM drawn d JOIN drawn r ON d.rep = r.rep "
+               "WHERE r.model = (SELECT ref FROM best)",
+        bounds=f"SELECT model, count(*) AS replicates, quantile_cont(g, [0.025, 0.975]) AS gq, "
+               f"quantile_cont(delta, [0.025, 0.975, {tail!r}, {1 - tail!r}]) AS dq FROM deltas GROUP BY model",
+        result="SELECT b.*, p.g, p.g - (SELECT g FROM point WHERE model = (SELECT ref FROM best)) AS delta "
+               "FROM bounds b JOIN point p USING (model)")
+
+
+def _r(e: str) -> str:
+    return f"round({e}, 6)"
+
+
+@register("paired_bootstrap", _bootstrap_sql("'m_year'", f"""
+    SELECT model, replicates, {_r("g")} AS gini, {_r("gq[1]")} AS gini_lo, {_r("gq[2]")} AS gini_hi,
+           {_r("delta")} AS delta_vs_full, {_r("dq[1]")} AS delta_vs_full_lo,
+           {_r("dq[2]")} AS delta_vs_full_hi, {_r("dq[3]")} AS delta_bonf_lo,
+           {_r("dq[4]")} AS delta_bonf_hi, dq[1] > 0 OR dq[2] < 0 AS differs_from_full,
+           dq[3] > 0 OR dq[4] < 0 AS differs_from_full_bonf
+    FROM result"""))
 def q_paired_bootstrap(spark, sf):
-    return BS.paired_bootstrap(scored(spark, sf), "m_year", replicates=50)
+    return BS.paired_bootstrap(scored(spark, sf), "m_year", replicates=REPLICATES)
 
 
-@register("model_comparison")
+@register("model_comparison", _bootstrap_sql("(SELECT model FROM point ORDER BY g DESC, model LIMIT 1)", f"""
+    SELECT model, {_r("g")} AS gini, (SELECT ref FROM best) AS best, {_r("delta")} AS delta_vs_full,
+           {_r("dq[1]")} AS delta_vs_full_lo, {_r("dq[2]")} AS delta_vs_full_hi,
+           {_r("dq[3]")} AS delta_bonf_lo, {_r("dq[4]")} AS delta_bonf_hi,
+           NOT (dq[3] > 0 OR dq[4] < 0) AS indistinguishable
+    FROM result"""))
 def q_model_comparison(spark, sf):
-    return BS.model_comparison(scored(spark, sf), replicates=50)
+    return BS.model_comparison(scored(spark, sf), replicates=REPLICATES)
 
 
 # ---------------------------------------------------------------------------

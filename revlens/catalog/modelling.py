@@ -1,9 +1,15 @@
 """Queries for the modelling dataset, Spark ML pipelines and evaluation plans.
 
-Model fits are not SQL-expressible, so most entries are rows-only checks;
-the closed forms (log transforms, KNN by brute force) have oracles.  The
-training pool is an exact-size stratified sample of the enriched fact (the
-size is a parameter, as in the analysed workload).
+The whole enriched table is split once into training and test rows (80/20,
+stratified, by seeded hashes).  ``FIT_ROWS`` is the only bound, and a
+documented one: models and preprocessors are *fitted* on an exact-size
+stratified sample of at most that many training rows (the analysed workload
+samples its rows too).  Everything else covers all rows: test rows are all
+scored, permuted and bootstrapped, and every row is imputed and encoded.
+
+Model fits are not SQL-expressible, so those entries are rows-only checks with
+quality tests; closed forms (log transforms, imputation, encoding, KNN by
+brute force, naive Bayes) have oracles.
 """
 
 from __future__ import annotations
@@ -15,63 +21,72 @@ from pyspark.sql import functions as F
 from revlens.catalog import register
 from revlens.operators import knn as KNN
 from revlens.operators import sampling as SP
+from revlens.plans import blocks as BL
 from revlens.plans import dataset as D
 from revlens.plans import evaluate as EV
 from revlens.plans import modeldata as MDS
 from revlens.plans import models as MD
-from revlens.session import cut_lineage
+from revlens.session import materialize
 from revlens.sources.tables import Tables
 
-POOL = 3000
-MODEL_FAST = {"random_forest": {"numTrees": 30}, "bagging": {"numTrees": 10},
-              "hist_gradient_boosting": {"maxIter": 15}, "neural_net": {"maxIter": 50}}
+FIT_ROWS = 3000
+#: Columns of the fixture that the analysed dataset doesn't have.
+FIXTURE_ONLY = ["amount"]
 
 
 def model_frame(spark, sf):
     fact = D.load(spark, sf).withColumnRenamed("review_id", "id")
-    fact = MDS.build_model_dataset(MDS.drop_low_signal(fact.drop("wx_city", "wx_state")))
+    fact = fact.drop("wx_city", "wx_state", *FIXTURE_ONLY)
+    fact = MDS.build_model_dataset(MDS.without(fact, "low signal"))
     return MDS.select_features(fact, keep=["id"])
 
 
 @lru_cache(maxsize=4)
-def _pool_cached(spark, sf, n):
+def _split_cached(spark, sf):
     df, feats, _ = model_frame(spark, sf)
-    pool = SP.stratified_sample(df, MDS.TARGET, n, ["id"])
-    pool = SP.stratified_split(pool, MDS.TARGET, ["id"])
-    pool = SP.stratified_folds(pool, MDS.TARGET, ["id"])
-    pool = SP.class_weights(pool, MDS.TARGET)
-    return cut_lineage(pool), feats
+    rows = materialize(SP.stratified_split(df, MDS.TARGET, ["id"]), "model-rows")
+    fit = SP.stratified_sample(rows.where(F.col("is_test") == 0), MDS.TARGET, FIT_ROWS, ["id"])
+    fit = SP.class_weights(SP.stratified_folds(fit, MDS.TARGET, ["id"]), MDS.TARGET)
+    return rows, materialize(fit, "fit-rows"), feats
 
 
-def pool(spark, sf, n=POOL):
-    p, feats = _pool_cached(spark, sf, n)
-    num, cat = MDS.split_types(p, feats)
-    return p, feats, num, cat
+class Split:
+    """All rows, the fit rows (with folds and class weights) and the test rows."""
 
+    def __init__(self, spark, sf):
+        self.rows, self.fit, self.feats = _split_cached(spark, sf)
+        self.num, self.cat = MDS.split_types(self.rows, self.feats)
+        self.test = self.rows.where(F.col("is_test") == 1).withColumn("weight", F.lit(1.0))
 
-def _train_test(p):
-    return p.where(F.col("is_test") == 0), p.where(F.col("is_test") == 1)
+    def binary(self):
+        from revlens.operators.screen import column_profile
+        return [r["variable"] for r in column_profile(self.fit, self.num).collect() if r["is_binary"]]
 
-
-def _binary(p, num):
-    from revlens.operators.screen import column_profile
-    return [r["variable"] for r in column_profile(p, num).collect() if r["is_binary"]]
-
-
-def _models(spark, sf, names=None, params=None):
-    p, feats, num, cat = pool(spark, sf)
-    train, test = _train_test(p)
-    merged = dict(MODEL_FAST)
-    merged.update(params or {})
-    return MD.build_models(train, num, cat, _binary(p, num), params=merged, names=names), \
-        train, test, feats, num, cat
+    def models(self, names=None):
+        return MD.build_models(self.fit, self.num, self.cat, self.binary(), names=names)
 
 
 # --- modelling dataset ------------------------------------------------------------
 
 @register("select_features")
 def q_select_features(spark, sf):
-    return model_frame(spark, sf)[2]
+    df, feats, dropped = model_frame(spark, sf)
+    # one row per column of the dataset: what it is, and how many rows have a value
+    whole = D.load(spark, sf).withColumnRenamed("review_id", "id")
+    there = [c for c in whole.columns if c in {r["variable"] for r in dropped.collect()}]
+    counts = whole.agg(*[F.count(c).alias(c) for c in there])
+    filled = df.agg(*[F.count(c).alias(c) for c in feats])
+
+    def long(one, cols, kind):
+        pairs = ", ".join(f"'{c}', `{c}`" for c in cols)
+        return one.selectExpr(f"stack({len(cols)}, {pairs}) as (variable, filled)").withColumn(
+            "reason", F.lit(kind)) if cols else None
+
+    out = long(filled, feats, "feature")
+    gone = long(counts, there, "")
+    if gone is not None:
+        out = out.unionByName(gone.drop("reason").join(F.broadcast(dropped), "variable"))
+    return out
 
 
 @register("build_model_dataset")
@@ -82,9 +97,10 @@ def q_build_model_dataset(spark, sf):
 @register("drop_groups")
 def q_drop_groups(spark, sf):
     fact = D.load(spark, sf)
-    kept = MDS.drop_redundant(MDS.drop_identifier_columns(MDS.drop_low_signal(fact)))
-    gone = [c for c in fact.columns if c not in kept.columns]
-    return fact.sparkSession.createDataFrame([(c,) for c in gone], "dropped string")
+    gone = [(step, c) for step, cols in MDS.STEPS.items() for c in cols if c in fact.columns]
+    one = fact.agg(*[F.count(c).alias(c) for _, c in gone])
+    pairs = ", ".join(f"'{s}', '{c}', `{c}`" for s, c in gone)
+    return one.selectExpr(f"stack({len(gone)}, {pairs}) as (step, dropped, filled)")
 
 
 LOG_COLS = ["user_review_count", "tip_count", "photo_count"]
@@ -104,57 +120,66 @@ def q_log_and_replace(spark, sf):
 
 # --- preprocessing ------------------------------------------------------------------
 
-def _pre(spark, sf, kind):
+def _fitted(sp, stages):
     from pyspark.ml import Pipeline
-    from pyspark.ml.functions import vector_to_array
-    p, _, num, cat = pool(spark, sf)
-    train, test = _train_test(p)
-    stages = {"scaled": lambda: MD.scaled_preprocessor(num, cat),
-              "unscaled": lambda: MD.scaled_preprocessor(num, cat, scale=False),
-              "ordinal": lambda: MD.ordinal_preprocessor(num, cat),
-              "binned": lambda: MD.binned_preprocessor(num, _binary(p, num), cat)}[kind]()
-    fitted = Pipeline(stages=stages).fit(train)
-    return fitted.transform(test).select("id", vector_to_array("features").alias("features"))
+    return Pipeline(stages=stages).fit(sp.fit).transform(sp.rows)
 
 
 @register("impute_median")
 def q_impute_median(spark, sf):
-    return _pre(spark, sf, "unscaled")
+    sp = Split(spark, sf)
+    return _fitted(sp, MD._impute(sp.num)).select(
+        "id", *[F.col(f"{c}__imp").alias(c) for c in sp.num])
+
+
+@register("impute_mode")
+def q_impute_mode(spark, sf):
+    sp = Split(spark, sf)
+    cols = sp.binary()
+    return _fitted(sp, MD._impute(cols, "mode")).select(
+        "id", *[F.col(f"{c}__imp").alias(c) for c in cols])
 
 
 @register("impute_const")
 def q_impute_const(spark, sf):
-    from revlens.plans.models import FillUnknown
-    p, _, _, cat = pool(spark, sf)
-    return FillUnknown(cat).transform(p).select("id", *cat)
+    sp = Split(spark, sf)
+    return MD.FillUnknown(sp.cat).transform(sp.rows).select("id", *sp.cat)
+
+
+def _vector(spark, sf, stages):
+    from pyspark.ml.functions import vector_to_array
+    sp = Split(spark, sf)
+    return _fitted(sp, stages(sp)).select("id", vector_to_array("features").alias("features"))
 
 
 @register("standardize")
 def q_standardize(spark, sf):
-    return _pre(spark, sf, "scaled")
+    return _vector(spark, sf, lambda sp: MD.scaled_preprocessor(sp.num, []))
 
 
 @register("one_hot_min_freq")
 def q_one_hot_min_freq(spark, sf):
-    return _pre(spark, sf, "scaled")
+    return _vector(spark, sf, lambda sp: MD.scaled_preprocessor([], sp.cat))
 
 
 @register("ordinal_encode")
 def q_ordinal_encode(spark, sf):
-    return _pre(spark, sf, "ordinal")
+    sp = Split(spark, sf)
+    return _fitted(sp, [MD.OrdinalCoder(sp.cat)]).select(
+        "id", *[F.col(f"{c}__ord").alias(c) for c in sp.cat])
 
 
 @register("quantile_bin_onehot")
 def q_quantile_bin_onehot(spark, sf):
-    return _pre(spark, sf, "binned")
+    return _vector(spark, sf, lambda sp: MD.binned_preprocessor(sp.num, sp.binary(), []))
 
 
 # --- models -------------------------------------------------------------------------
 
 def _one_model(name):
     def q(spark, sf):
-        models, train, test, *_ = _models(spark, sf, names=[name])
-        return MD.score(models[name].fit(train), test, name)
+        sp = Split(spark, sf)
+        return MD.score(sp.models([name])[name].fit(sp.fit), sp.test, name)
     return q
 
 
@@ -168,9 +193,11 @@ for _id, _name in [("model_logistic", "logistic_regression"), ("model_linear_svm
 
 @register("build_models")
 def q_build_models(spark, sf):
-    models, *_ = _models(spark, sf)
-    rows = [(n, type(p.getStages()[-1]).__name__, len(p.getStages())) for n, p in models.items()]
-    return spark.createDataFrame(rows, "model string, estimator string, stages int")
+    """Gini on all test rows of every model."""
+    from revlens.operators.metrics import gini
+    sp = Split(spark, sf)
+    scored = EV._union([MD.score(p.fit(sp.fit), sp.test, n) for n, p in sp.models().items()])
+    return gini(scored, by=["model"])
 
 
 def _emb(spark, sf):
@@ -194,130 +221,114 @@ def _emb(spark, sf):
 def q_model_knn(spark, sf):
     from revlens.functions.expr import round_half_even
     train, query = _emb(spark, sf)
-    s = KNN.knn_scores(train, query, k=5, block_rows=1000)
+    s = KNN.knn_scores(train, query, k=5, block_rows=1000, chunk_rows=200)
     return s.select("qid", round_half_even("score", 6).alias("score"))
 
 
 # --- evaluation plans -------------------------------------------------------------------
 
-FAST_SET = ["logistic_regression", "decision_tree", "naive_bayes"]
+#: Models of the refit-heavy plans (folds, grids, permutations); ``build_models``
+#: and ``evaluate`` fit all nine.
+REFIT = ["logistic_regression", "decision_tree", "naive_bayes"]
 
 
 @register("evaluate")
 def q_evaluate(spark, sf):
-    models, train, test, *_ = _models(spark, sf, names=FAST_SET)
-    return EV.evaluate(models, train, test)[0]
+    sp = Split(spark, sf)
+    return EV.evaluate(sp.models(), sp.fit, sp.test)[0]
 
 
 @register("cross_validate")
 def q_cross_validate(spark, sf):
-    models, train, *_ = _models(spark, sf, names=["logistic_regression", "decision_tree"])
-    return EV.cross_validate(models, train)
+    sp = Split(spark, sf)
+    return EV.cross_validate(sp.models(REFIT), sp.fit)
 
 
 @register("grid_search")
 def q_grid_search(spark, sf):
-    models, train, *_ = _models(spark, sf, names=["logistic_regression", "decision_tree"])
-    grids = {"logistic_regression": {"regParam": [1e-4, 1e-2]},
-             "decision_tree": {"maxDepth": [4, 8]}}
-    return EV.grid_search(models, train, grids=grids)
-
-
-IMP_FEATURES = ["log_user_review_count", "weather_tmax", "amount", "review_year", "city"]
-
-
-def _imp_feats(feats):
-    return [f for f in IMP_FEATURES if f in feats]
+    sp = Split(spark, sf)
+    return EV.grid_search(sp.models(REFIT), sp.fit, grids={
+        "logistic_regression": {"regParam": [1e-4, 1e-3, 1e-2]},
+        "naive_bayes": {"smoothing": [0.5, 1.0]},
+        "decision_tree": {"maxDepth": [4, 8, 12]}})
 
 
 @register("permutation_importance")
 def q_permutation_importance(spark, sf):
-    models, train, test, feats, *_ = _models(spark, sf, names=["logistic_regression",
-                                                               "decision_tree"])
-    fitted, _ = EV.fit_all(models, train)
-    return EV.permutation_importance(fitted, test, _imp_feats(feats), repeats=2)
+    sp = Split(spark, sf)
+    fitted, _ = EV.fit_all(sp.models(REFIT), sp.fit)
+    return EV.permutation_importance(fitted, sp.test, sp.feats)
+
+
+def _cv_importance(sp, name):
+    return EV.cv_permutation_importance(sp.models([name])[name], sp.fit, sp.feats)
 
 
 @register("cv_permutation_importance")
 def q_cv_permutation_importance(spark, sf):
-    models, train, _, feats, *_ = _models(spark, sf, names=["decision_tree"])
-    return EV.cv_permutation_importance(models["decision_tree"], train, _imp_feats(feats))
+    return _cv_importance(Split(spark, sf), "decision_tree")
 
 
 @register("importance_agreement")
 def q_importance_agreement(spark, sf):
-    models, train, test, feats, *_ = _models(spark, sf, names=["logistic_regression",
-                                                               "decision_tree"])
-    fitted, _ = EV.fit_all(models, train)
-    fs = _imp_feats(feats)
-    a = EV.permutation_importance({"lr": fitted["logistic_regression"]}, test, fs, repeats=2)
-    b = EV.permutation_importance({"dt": fitted["decision_tree"]}, test, fs, repeats=2)
-    return EV.importance_agreement(a, b, k=3)
+    sp = Split(spark, sf)
+    return EV.importance_agreement(_cv_importance(sp, "logistic_regression"),
+                                   _cv_importance(sp, "decision_tree"), k=10)
 
 
-def _lr_builder(p, num, cat):
-    train = p.where(F.col("is_test") == 0)
-
+def _lr_builder(sp):
     def build(cols):
-        n2 = [c for c in num if c in cols]
-        c2 = [c for c in cat if c in cols]
-        return MD.build_models(train, n2, c2, names=["logistic_regression"])["logistic_regression"]
+        return MD.build_models(sp.fit, [c for c in sp.num if c in cols], [c for c in sp.cat if c in cols],
+                               names=["logistic_regression"])["logistic_regression"]
     return build
 
 
 @register("topk_curve")
 def q_topk_curve(spark, sf):
-    p, feats, num, cat = pool(spark, sf)
-    train, test = _train_test(p)
-    ranking = sorted(feats)
-    return EV.topk_curve(_lr_builder(p, num, cat), ranking, train, test, ks=(3, 6), replicates=50)
+    sp = Split(spark, sf)
+    ranking = [r["feature"] for r in _cv_importance(sp, "logistic_regression").collect()]
+    return EV.topk_curve(_lr_builder(sp), ranking, sp.fit, sp.test)
 
 
 @register("group_ablation")
 def q_group_ablation(spark, sf):
-    from revlens.plans.blocks import build_feature_groups
-    p, feats, num, cat = pool(spark, sf)
-    train, test = _train_test(p)
-    groups = build_feature_groups(feats)
-    return EV.group_ablation(_lr_builder(p, num, cat), groups, feats, train, test, replicates=50)
+    sp = Split(spark, sf)
+    return EV.group_ablation(_lr_builder(sp), BL.grouped_features(spark, sp.feats), sp.feats,
+                             sp.fit, sp.test)
 
 
 @register("learning_curve")
 def q_learning_curve(spark, sf):
-    p, feats, num, cat = pool(spark, sf)
-    train, test = _train_test(p)
-    tr = p.where(F.col("is_test") == 0)
-    builds = {
-        "logistic_regression": lambda: MD.build_models(tr, num, cat,
-                                                       names=["logistic_regression"])["logistic_regression"],
-        "decision_tree": lambda: MD.build_models(tr, num, cat,
-                                                 names=["decision_tree"])["decision_tree"],
-    }
-    return EV.learning_curve(builds, train, test, sizes=(500, 1000, 2000, 10 ** 9))
+    """Training sizes up to all training rows; all test rows are scored."""
+    sp = Split(spark, sf)
+    train = SP.class_weights(sp.rows.where(F.col("is_test") == 0), MDS.TARGET)
+    names = ["logistic_regression", "hist_gradient_boosting"]
+    builds = {n: lambda n=n: sp.models([n])[n] for n in names}
+    return EV.learning_curve(builds, train, sp.test, sizes=(1000, 4000, 16000, 64000, 256000))
 
 
 @register("logistic_coefficients")
 def q_logistic_coefficients(spark, sf):
-    models, train, *_ = _models(spark, sf, names=["logistic_regression"])
-    return EV.logistic_coefficients(models["logistic_regression"].fit(train), train)
+    sp = Split(spark, sf)
+    return EV.logistic_coefficients(
+        sp.models(["logistic_regression"])["logistic_regression"].fit(sp.fit), sp.fit)
 
 
 @register("block_totals")
 def q_block_totals(spark, sf):
     from revlens.operators.describe import block_totals
-    from revlens.plans.blocks import block_column
-    models, train, test, feats, *_ = _models(spark, sf, names=["decision_tree"])
-    fitted, _ = EV.fit_all(models, train)
-    imp = EV.permutation_importance(fitted, test, _imp_feats(feats), repeats=1)
-    return block_totals(imp.withColumn("block", block_column("feature")))
+    imp = _cv_importance(Split(spark, sf), "decision_tree")
+    return block_totals(imp.withColumn("block", BL.block_column("feature")))
 
 
 @register("feature_blocks")
 def q_feature_blocks(spark, sf):
-    from revlens.plans.blocks import block_column
-    _, feats, _ = model_frame(spark, sf)
-    df = spark.createDataFrame([(f,) for f in feats], "feature string")
-    return df.withColumn("block", block_column("feature"))
+    """Rows with a value, per feature block (the columns' fill, not their names)."""
+    df, feats, _ = model_frame(spark, sf)
+    filled = df.agg(*[F.count(c).alias(c) for c in feats])
+    pairs = ", ".join(f"'{c}', `{c}`" for c in feats)
+    return filled.selectExpr(f"stack({len(feats)}, {pairs}) as (feature, filled)").withColumn(
+        "block", BL.block_column("feature"))
 
 
 # ---------------------------------------------------------------------------

@@ -13,7 +13,7 @@ the columns.  Only that vocabulary reaches the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from revlens.functions import expr as X
 
@@ -207,18 +207,19 @@ def top_categories(business: DataFrame, n: int = CATEGORY_TOP_N, source: str = "
 
 def multi_hot_categories(business: DataFrame, n: int = CATEGORY_TOP_N,
                          source: str = "categories", exclude=None) -> DataFrame:
-    """0/1 column per top-n category; sanitised name collisions get _2, _3 ..."""
-    vocab = [r["category"] for r in top_categories(business, n, source, exclude).collect()]
-    used = set(business.columns)
+    """0/1 column per top-n category; the r-th category of one sanitised name
+    (in vocabulary order, existing columns first) gets the suffix _r."""
+    top = top_categories(business, n, source, exclude)
+    base = F.concat(F.lit("category_"), X.sanitize_name("category"))
+    taken = F.array(*[F.lit(c) for c in business.columns])
+    turn = F.row_number().over(Window.partitionBy("base").orderBy(F.col("n").desc(), "category"))
+    named = (top.withColumn("base", base)          # top-n rows: a bounded report
+             .withColumn("turn", turn + F.array_contains(taken, F.col("base")).cast("int"))
+             .select("category", "n", F.when(F.col("turn") == 1, F.col("base")).otherwise(
+                 F.concat_ws("_", "base", "turn")).alias("name")))
     items = X.comma_items(source)
-    new_cols = {}
-    for cat in vocab:
-        base = f"category_{X.sanitize_name_py(cat)}"
-        name, suffix = base, 2
-        while name in used:
-            name, suffix = f"{base}_{suffix}", suffix + 1
-        used.add(name)
-        new_cols[name] = F.array_contains(items, F.lit(cat)).cast("int")
+    vocab = named.orderBy(F.col("n").desc(), "category").collect()
+    new_cols = {r["name"]: F.array_contains(items, F.lit(r["category"])).cast("int") for r in vocab}
     return business.withColumns(new_cols) if new_cols else business
 
 
@@ -241,11 +242,12 @@ def multi_hot_dict_keys(business: DataFrame, sources=None) -> DataFrame:
     for source, prefix in sources.items():
         if source not in business.columns:
             continue
-        keys = [r["key"] for r in dict_key_union(business, source).collect()]
+        # the future column names: as many as the dictionary has keys
+        names = dict_key_union(business, source).select(
+            "key", F.concat(F.lit(f"{prefix}_"), X.sanitize_name("key")).alias("name"))
         true_keys = X.dict_true_keys(source)
-        for key in keys:
-            new_cols[f"{prefix}_{X.sanitize_name_py(key)}"] = (
-                F.array_contains(true_keys, F.lit(key)).cast("int"))
+        for r in names.orderBy("key").collect():
+            new_cols[r["name"]] = F.array_contains(true_keys, F.lit(r["key"])).cast("int")
     return business.withColumns(new_cols) if new_cols else business
 
 

@@ -1,11 +1,12 @@
 """Exact k-nearest-neighbour scoring (Euclidean), score = positive share.
 
-The training side stays distributed.  Queries are processed in blocks of at
-most ``block_rows`` rows (a size fixed by the caller, so the broadcast is
-bounded whatever the table size); each task computes the distances between
-its training partition and the block with one matrix product and keeps only
-its own k best per query; a grouped merge keeps the global k best per query
-(at most k x partitions candidates per query, never all pairs).
+Training rows are dealt to chunks and queries to blocks (by hash, of bounded
+size); each (block, chunk) pair is one task that computes its distances with
+one matrix product and returns the k nearest training rows per query.  Those
+are merged in two levels (groups of chunks, then all), so a query never holds
+more than a bounded number of candidates in one place and nothing passes
+through the driver.  Distances that decide are recomputed from the
+differences, and equal distances are broken by ``tid``.
 """
 
 from __future__ import annotations
@@ -16,55 +17,69 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from revlens.operators.ranking import global_rank
-
-
-def _partial_topk(q_ids: np.ndarray, q_vecs: np.ndarray, k: int):
-    q_sq = (q_vecs ** 2).sum(axis=1)
-
-    def run(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            t = np.stack(pdf["vec"].to_numpy()).astype(float)
-            d2 = q_sq[:, None] + (t ** 2).sum(axis=1)[None, :] - 2.0 * q_vecs @ t.T
-            np.maximum(d2, 0.0, out=d2)
-            kk = min(k, t.shape[0])
-            idx = np.argpartition(d2, kk - 1, axis=1)[:, :kk]
-            rows = np.repeat(np.arange(len(q_ids)), kk)
-            cols = idx.ravel()
-            yield pd.DataFrame({"qid": q_ids[rows], "tid": pdf["tid"].to_numpy()[cols],
-                                "d2": d2[rows, cols], "label": pdf["label"].to_numpy()[cols]})
+#: Chunks whose candidates are merged at once in the first level.
+MERGE_WAYS = 32
+
+
+def _nearest(k: int):
+    def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        if queries.empty or rows.empty:
+            return pd.DataFrame({c: [] for c in ("qid", "chunk", "d2", "tid", "label")})
+        q = np.stack(queries["vec"].to_numpy()).astype(float)
+        t = np.stack(rows["vec"].to_numpy()).astype(float)
+        tids, labels = rows["tid"].to_numpy(), rows["label"].to_numpy()
+        t_sq, found = (t ** 2).sum(axis=1), []
+        tile = max(1, 4_000_000 // len(t))
+        for at in range(0, len(q), tile):
+            part = q[at:at + tile]
+            size = (part ** 2).sum(axis=1)[:, None] + t_sq[None, :]
+            d2 = size - 2.0 * part @ t.T
+            if len(t) > k:      # keep everything that rounding could put among the k nearest
+                limit = np.partition(d2, k - 1, axis=1)[:, k - 1:k]
+                i, j = np.nonzero(d2 <= limit + 1e-9 * (1 + size.max(axis=1, keepdims=True)))
+            else:
+                i, j = np.nonzero(np.ones_like(d2, dtype=bool))
+            exact = ((part[i] - t[j]) ** 2).sum(axis=1)
+            order = np.lexsort((tids[j], exact, i))
+            i, j, exact = i[order], j[order], exact[order]
+            place = np.arange(len(i)) - np.searchsorted(i, i)
+            best = place < k
+            found.append(pd.DataFrame({"qid": queries["qid"].to_numpy()[at + i[best]],
+                                       "chunk": rows["chunk"].iloc[0], "d2": exact[best],
+                                       "tid": tids[j[best]], "label": labels[j[best]]}))
+        return pd.concat(found)
     return run
 
 
-def knn_scores(train: DataFrame, query: DataFrame, k: int = 25, block_rows: int = 20000,
-               partitions: int | None = None) -> DataFrame:
+def knn_scores(train: DataFrame, query: DataFrame, k: int = 25, block_rows: int = 4096,
+               chunk_rows: int = 65_536) -> DataFrame:
     """``train``: (tid, vec array<double>, label 0/1); ``query``: (qid, vec).
     Returns (qid, score) with score = mean label of the k nearest training
-    rows (distance ties broken by tid)."""
-    tr = train.select("tid", F.col("vec").cast("array<double>").alias("vec"),
-                      F.col("label").cast("double").alias("label"))
-    blocks = global_rank(query.select("qid", F.col("vec").cast("array<double>").alias("vec")),
-                         [F.col("qid")], partitions=partitions, name="__r") \
-        .withColumn("__b", ((F.col("__r") - 1) / block_rows).cast("long"))
-    n_blocks = blocks.agg(F.max("__b")).first()[0]
-    parts = []
-    for b in range(0 if n_blocks is None else n_blocks + 1):
-        rows = blocks.where(F.col("__b") == b).select("qid", "vec").collect()
-        q_ids = np.array([r["qid"] for r in rows])
-        q_vecs = np.array([r["vec"] for r in rows], dtype=float)
-        cand = tr.mapInPandas(_partial_topk(q_ids, q_vecs, k),
-                              "qid long, tid long, d2 double, label double")
-        best = cand.groupBy("qid").agg(F.slice(F.array_sort(F.collect_list(
-            F.struct("d2", "tid", "label"))), 1, k).alias("nn"))
-        parts.append(best.select("qid", F.aggregate("nn", F.lit(0.0),
-                                                    lambda acc, x: acc + x["label"]).alias("s"),
-                                 F.size("nn").alias("n")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("qid", (F.col("s") / F.col("n")).alias("score"))
+    rows (distance ties broken by tid); no training rows, no result rows."""
+    blocks = max(1, -(-query.count() // block_rows))
+    chunks = max(1, -(-train.count() // chunk_rows))
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    q = (query.select("qid", F.col("vec").cast("array<double>").alias("vec"),
+                      F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int").alias("block"))
+         .withColumn("chunk", every(chunks)))
+    t = (train.select("tid", F.col("vec").cast("array<double>").alias("vec"),
+                      F.col("label").cast("double").alias("label"),
+                      F.pmod(F.xxhash64("tid"), F.lit(chunks)).cast("int").alias("chunk"))
+         .withColumn("block", every(blocks)))
+    near = q.groupBy("block", "chunk").cogroup(t.groupBy("block", "chunk")).applyInPandas(
+        _nearest(k), "qid long, chunk int, d2 double, tid long, label double")
+
+    def nearest(items):
+        return F.slice(F.array_sort(items), 1, k)
+
+    some = near.groupBy("qid", F.floor(F.col("chunk") / MERGE_WAYS).alias("part")).agg(
+        nearest(F.collect_list(F.struct("d2", "tid", "label"))).alias("nn"))
+    best = some.groupBy("qid").agg(nearest(F.flatten(F.collect_list("nn"))).alias("nn"))
+    total = F.aggregate("nn", F.lit(0.0), lambda acc, x: acc + x["label"])
+    return best.select("qid", (total / F.size("nn")).alias("score"))
 
 
 class KNNModel(Model):
@@ -92,7 +107,7 @@ class KNNClassifier(Estimator):
     the shared checkpoint folder; the model scores by exact k-NN."""
 
     def __init__(self, k: int = 25, idCol: str = "id", featuresCol: str = "features",
-                 labelCol: str = "satisfied", blockRows: int = 20000):
+                 labelCol: str = "satisfied", blockRows: int = 4096):
         super().__init__()
         self.k, self.id_col, self.features_col = k, idCol, featuresCol
         self.label_col, self.block_rows = labelCol, blockRows

@@ -46,53 +46,45 @@ def cumulative(df: DataFrame, order: list[Column | str], sums: list[str], by: li
     n = _partitions(df, partitions)
     ranged = (df.repartitionByRange(n, *[F.col(b) for b in by], *okeys)
               .sortWithinPartitions(*[F.col(b) for b in by], *okeys)
-              .withColumn("__pid", F.spark_partition_id()))
+              .withColumn("__pid", F.spark_partition_id())
+              # group keys as one text: NULLs and numbers compare alike in Spark and Python
+              .withColumn("__group", F.to_json(F.struct(*[F.col(b) for b in by]))
+                          if by else F.lit("")))
     # The range-partition index is stored in the rows: a task's own index
     # changes when the result is later unioned or coalesced.
     frozen = cut_lineage(ranged)
 
-    tot = (frozen.groupBy("__pid", *by)
+    tot = (frozen.groupBy("__pid", "__group")
            .agg(*[F.sum(c).alias(c) for c in sums]).collect())
     offsets: dict[tuple, list[float]] = {}
-    running: dict[tuple, np.ndarray] = {}
-    for row in sorted(tot, key=lambda r: (tuple("" if r[b] is None else str(r[b]) for b in by),
-                                          r["__pid"])):
-        g = tuple(row[b] for b in by)
-        acc = running.get(g, np.zeros(len(sums)))
-        offsets[(row["__pid"],) + g] = acc.tolist()
-        running[g] = acc + np.array([float(row[c] or 0) for c in sums])
-
-    out_fields = [f for f in frozen.schema.fields if f.name != "__pid"] + [
+    running: dict[str, np.ndarray] = {}
+    for row in sorted(tot, key=lambda r: (r["__group"], r["__pid"])):
+        acc = running.get(row["__group"], np.zeros(len(sums)))
+        offsets[row["__pid"], row["__group"]] = acc.tolist()
+        running[row["__group"]] = acc + np.array([float(row[c] or 0) for c in sums])
+
+    out_fields = [f for f in frozen.schema.fields if f.name not in ("__pid", "__group")] + [
         StructField(f"{prefix}{c}", DoubleType()) for c in sums]
     schema = StructType(out_fields)
 
     def run(batches):
-        carry: dict[tuple, np.ndarray] = {}
-        zero = [0.0] * len(sums)
+        carry: dict[str, np.ndarray] = {}
         for pdf in batches:
             if pdf.empty:
                 continue
             pid = int(pdf["__pid"].iloc[0])
             vals = pd.DataFrame(pdf[sums].to_numpy(dtype=float, na_value=0.0), columns=sums)
-            if by:
-                # rows arrive sorted by group: factorize keeps first-seen order
-                codes, uniques = (
-                    pd.MultiIndex.from_frame(pdf[by]).factorize(use_na_sentinel=False)
-                    if len(by) > 1 else pd.factorize(pdf[by[0]], use_na_sentinel=False))
-                keys = [tuple(u) if len(by) > 1 else (u,) for u in uniques]
-                local = vals.groupby(codes, sort=False).cumsum().to_numpy()
-            else:
-                codes = np.zeros(len(pdf), dtype=int)
-                keys = [()]
-                local = vals.cumsum().to_numpy()
-            bases = np.array([carry[g] if g in carry
-                              else np.array(offsets.get((pid,) + g, zero), dtype=float)
+            # rows arrive sorted by group: factorize keeps first-seen order
+            codes, keys = pd.factorize(pdf["__group"])
+            local = vals.groupby(codes, sort=False).cumsum().to_numpy()
+            # a group without an offset is an error (KeyError), never 0
+            bases = np.array([carry[g] if g in carry else np.array(offsets[pid, g], dtype=float)
                               for g in keys])
             out = local + bases[codes]
             last = pd.DataFrame(out).groupby(codes, sort=False).tail(1)
             for code, row in zip(codes[last.index], last.to_numpy()):
                 carry[keys[code]] = row
-            res = pdf.drop(columns="__pid")
+            res = pdf.drop(columns=["__pid", "__group"])
             for k, c in enumerate(sums):
                 res[f"{prefix}{c}"] = out[:, k]
             yield res
@@ -120,13 +112,33 @@ def average_rank(df: DataFrame, value: str, name: str = "avg_rank",
     return df.join(ranks, value, "left")
 
 
+def _value_ranks(counts: DataFrame, value: str, name: str, partitions) -> DataFrame:
+    """Average rank of each distinct value, from (value, n) rows."""
+    totals = counts.groupBy(value).agg(F.sum("n").alias("__n"))
+    cum = cumulative(totals, [value], ["__n"], partitions=partitions)
+    return cum.select(value, (F.col("cum___n") - F.col("__n") + (F.col("__n") + 1) / 2).alias(name))
+
+
 def spearman(df: DataFrame, x: str, y: str, partitions: int | None = None) -> DataFrame:
     """Spearman rank correlation = Pearson correlation of average ranks
-    (rows with a NULL in either column are dropped first)."""
-    d = df.select(x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    rx = average_rank(d, x, "__rx", partitions)
-    rxy = average_rank(rx, y, "__ry", partitions)
-    return rxy.agg(F.corr("__rx", "__ry").alias("spearman"))
+    (rows with a NULL in either column are dropped first).
+
+    Rows collapse to one per distinct (x, y) pair first, so a frequent value
+    is one row per distinct partner value; the ranks are joined to those
+    pairs and the correlation weights them by their number of rows."""
+    pairs = (df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+             .groupBy(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+             .agg(F.count(F.lit(1)).cast("double").alias("n")))
+    ranked = (pairs.join(_value_ranks(pairs, "x", "rx", partitions), "x")
+              .join(_value_ranks(pairs, "y", "ry", partitions), "y"))
+    mean_rank = (pairs.agg(F.sum("n")).scalar() + 1) / 2       # of either column
+    dx, dy = F.col("rx") - mean_rank, F.col("ry") - mean_rank
+    sums = ranked.select((F.col("n") * dx * dy).alias("xy"), (F.col("n") * dx * dx).alias("xx"),
+                         (F.col("n") * dy * dy).alias("yy")).agg(
+        F.sum("xy").alias("xy"), F.sum("xx").alias("xx"), F.sum("yy").alias("yy"))
+    varies = (F.col("xx") > 0) & (F.col("yy") > 0)
+    return sums.select(F.when(varies, F.col("xy") / F.sqrt(F.col("xx") * F.col("yy")))
+                       .alias("spearman"))
 
 
 def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:

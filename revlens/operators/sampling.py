@@ -11,13 +11,17 @@ only approximately sized, so they are not used where an exact count is
 required.
 
 Per-class quotas follow the largest-remainder rule (ties to the smaller
-class label); class counts are one tiny aggregate.
+class label); class counts are one tiny aggregate.  Rows without a label form
+a class of their own.  The key columns must identify the rows: a key that
+repeats at a cutoff has no exact sample, so it raises ``ValueError``.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from revlens.operators.ranking import global_rank
@@ -87,13 +91,13 @@ def rank_cutoffs(df: DataFrame, keys: list[str], y: str | None, counts: dict,
             bands.append((c, r, t_lo, t_hi))
         aggs = []
         for i, (c, _, t_lo, t_hi) in enumerate(bands):
-            in_c = F.col("__y") == F.lit(c)
+            in_c = F.col("__y").eqNullSafe(F.lit(c))
             aggs += [F.count(F.when(in_c & (F.col("__u") < t_lo), 1)).alias(f"b{i}"),
                      F.count(F.when(in_c & (F.col("__u") <= t_hi), 1)).alias(f"u{i}")]
         cnt = proj.agg(*aggs).first()
         ok = [(i, b) for i, b in enumerate(bands) if cnt[f"b{i}"] < b[1] <= cnt[f"u{i}"]]
         if ok:
-            tags = F.array(*[F.when((F.col("__y") == F.lit(b[0])) & (F.col("__u") >= b[2])
+            tags = F.array(*[F.when(F.col("__y").eqNullSafe(F.lit(b[0])) & (F.col("__u") >= b[2])
                                     & (F.col("__u") <= b[3]), F.lit(i)) for i, b in ok])
             band = proj.select(*keys, "__h", F.explode(tags).alias("__t")) \
                 .where(F.col("__t").isNotNull())
@@ -101,10 +105,14 @@ def rank_cutoffs(df: DataFrame, keys: list[str], y: str | None, counts: dict,
                                  partitions, name="__r")
             want = F.lit(False)
             for i, b in ok:
-                want = want | ((F.col("__t") == i) & (F.col("__r") == b[1] - cnt[f"b{i}"]))
-            for row in ranked.where(want).collect():        # one row per target
+                at = b[1] - cnt[f"b{i}"]
+                want = want | ((F.col("__t") == i) & F.col("__r").isin(at, at + 1))
+            for row in ranked.where(want).orderBy("__t", "__r").collect():   # two rows per target
                 c, r = bands[row["__t"]][0], bands[row["__t"]][1]
-                out[(c, r)] = (row["__h"],) + tuple(row[k] for k in keys)
+                found = (row["__h"],) + tuple(row[k] for k in keys)
+                if out.get((c, r)) == found:
+                    raise ValueError(f"key {found[1:]} repeats: {keys} must identify the rows")
+                out.setdefault((c, r), found)
         done = {(bands[i][0], bands[i][1]) for i, _ in ok}
         todo = [t for t in todo if t not in done]
         margin *= 4
@@ -126,7 +134,7 @@ def _within_quota(df, keys, y, counts, quota, seed, partitions):
     types = dict(df.dtypes)
     expr = F.lit(False)
     for c, q in quota.items():
-        in_c = (F.col(y) == F.lit(c)) if y else F.lit(True)
+        in_c = F.col(y).eqNullSafe(F.lit(c)) if y else F.lit(True)
         if q >= counts.get(c, 0):
             cond = in_c
         elif q <= 0:
@@ -186,7 +194,7 @@ def stratified_folds(df: DataFrame, y: str, keys: list[str], k: int = 3,
             if r >= counts[c]:
                 continue
             after = ~_not_after(keys, seed, cuts[(c, r)], types)
-            fold = fold + ((F.col(y) == F.lit(c)) & after).cast("int")
+            fold = fold + (F.col(y).eqNullSafe(F.lit(c)) & after).cast("int")
     return df.withColumn("fold", fold.cast("int"))
 
 
@@ -199,18 +207,25 @@ def class_weights(df: DataFrame, y: str, name: str = "weight") -> DataFrame:
     return df.withColumn(name, w.cast("double"))
 
 
-def poisson_weight(keys: list[str], replicate: Column | str, seed: int = RANDOM_STATE,
-                   kmax: int = 12) -> Column:
-    """Poisson(1) draw from a uniform taken from md5(key, replicate, seed):
-    the smallest k with CDF(k) >= u (inverse CDF, exact up to kmax)."""
-    rep = F.col(replicate) if isinstance(replicate, str) else replicate
-    h = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], rep.cast("string"),
-                          F.lit(str(seed))))
-    u = F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / 4294967296.0
-    cdf, term, expr = 0.0, math.exp(-1.0), None
+POISSON_KMAX = 12
+
+
+def poisson_cdf(kmax: int = POISSON_KMAX) -> list[float]:
+    """P(X <= k) of Poisson(1) for k < kmax."""
+    cdf, total, term = [], 0.0, math.exp(-1.0)
     for k in range(kmax):
-        cdf += term
-        term /= (k + 1)
-        cond = u < cdf
-        expr = F.when(cond, F.lit(k)) if expr is None else expr.when(cond, F.lit(k))
-    return expr.otherwise(F.lit(kmax))
+        total += term
+        term /= k + 1
+        cdf.append(total)
+    return cdf
+
+
+def poisson_weights(keys: list[str], replicates: int, seed: int = RANDOM_STATE) -> np.ndarray:
+    """Poisson(1) weights, rows x replicates, from md5(key|block|seed): a digest is
+    four 32-bit uniforms, those of replicates 4 * block ... 4 * block + 3, and
+    the weight is the smallest k with CDF(k) > uniform."""
+    blocks = -(-replicates // 4)
+    data = b"".join(hashlib.md5(f"{key}|{b}|{seed}".encode()).digest()
+                    for key in keys for b in range(blocks))
+    uniform = np.frombuffer(data, ">u4").reshape(len(keys), 4 * blocks)[:, :replicates] / 2.0 ** 32
+    return np.searchsorted(np.array(poisson_cdf()), uniform, side="right")

@@ -13,16 +13,20 @@ from __future__ import annotations
 import time
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from revlens.operators import metrics as M
 from revlens.operators.bootstrap import paired_bootstrap
 from revlens.operators.ranking import global_rank
 from revlens.operators.sampling import RANDOM_STATE, seeded_hash
 from revlens.plans import models as MD
+from revlens.session import cut_lineage
 
 TARGET = "satisfied"
 
@@ -33,8 +37,10 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 def metrics_table(scored: DataFrame, by: list[str]) -> DataFrame:
     """Classification metrics, gini, average precision and lift per group, joined."""
-    cm = M.classification_metrics(scored, by=by).select(*by, "balanced_accuracy", "f1_macro",
-                                                        "f1_1", "f1_0")
+    scored = cut_lineage(scored)        # every model is applied once, not once per metric
+    cm = M.classification_metrics(scored, by=by).select(
+        *by, "balanced_accuracy", "precision_1", "recall_1", "f1_1",
+        "precision_0", "recall_0", "f1_0", "f1_macro")
     g = M.gini(scored, by=by)
     ap = M.average_precision(scored.withColumn("y", 1 - F.col("y"))
                              .withColumn("score", -F.col("score")), by=by) \
@@ -66,7 +72,7 @@ def evaluate(models: dict[str, Pipeline], train: DataFrame, test: DataFrame,
 
 def cross_validate(models: dict[str, Pipeline], data: DataFrame, fold_col: str = "fold",
                    k: int = 3, keep=("id",)) -> DataFrame:
-    """Mean and population std of balanced accuracy, F1 and gini over folds."""
+    """Mean and population std of balanced accuracy, F1 of class 1 and gini over folds."""
     scored = []
     for f in range(k):
         tr, va = data.where(F.col(fold_col) != f), data.where(F.col(fold_col) == f)
@@ -74,8 +80,9 @@ def cross_validate(models: dict[str, Pipeline], data: DataFrame, fold_col: str =
             scored.append(MD.score(pipe.fit(tr), va, name, list(keep)).withColumn("fold", F.lit(f)))
     per_fold = metrics_table(_union(scored), ["model", "fold"])
     aggs = []
-    for c in ("balanced_accuracy", "f1_macro", "gini"):
-        aggs += [F.round(F.avg(c), 6).alias(f"{c}_mean"), F.round(F.stddev_pop(c), 6).alias(f"{c}_std")]
+    for c, name in (("balanced_accuracy", "balanced_accuracy"), ("f1_1", "f1"), ("gini", "gini")):
+        aggs += [F.round(F.avg(c), 6).alias(f"{name}_mean"),
+                 F.round(F.stddev_pop(c), 6).alias(f"{name}_std")]
     return per_fold.groupBy("model").agg(*aggs)
 
 
@@ -93,7 +100,8 @@ def grid_search(models: dict[str, Pipeline], data: DataFrame, fold_col: str = "f
     per model as (model, param, value, cv_auc)."""
     grids = grids or DEFAULT_GRIDS
     rows = []
-    evaluator = BinaryClassificationEvaluator(labelCol=TARGET, metricName="areaUnderROC")
+    # numBins=0: every distinct score is a threshold, so the area is exact
+    evaluator = BinaryClassificationEvaluator(labelCol=TARGET, metricName="areaUnderROC", numBins=0)
     for name, grid in grids.items():
         if name not in models:
             continue
@@ -119,65 +127,66 @@ def grid_search(models: dict[str, Pipeline], data: DataFrame, fold_col: str = "f
 
 def permuted_copies(data: DataFrame, features: list[str], repeats: int, key: str = "id",
                     seed: int = RANDOM_STATE) -> DataFrame:
-    """One copy of ``data`` per (feature, repeat) with that feature's values
-    permuted across rows: row i (in key order) takes the value of the row whose
-    seeded hash of (key, feature, repeat) ranks i-th.
-
-    Two distributed ranks (the key order, and all donor orders at once with
-    (feature, repeat) as the group) and one equi-join on (feature, repeat,
-    rank); no driver round trip per feature."""
-    types = dict(data.dtypes)
-    reps = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat")
-    donor = data.select(key, F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("__v"))
-        for f in features])).alias("__d"), reps).select(key, "__d.feature", "__d.__v", "repeat")
-    donor = donor.withColumn("__h", F.md5(F.concat_ws("|", F.col(key).cast("string"), "feature",
-                                                      F.col("repeat").cast("string"),
-                                                      F.lit(str(seed)))))
-    donor = global_rank(donor, [F.col("__h"), F.col(key)], ["feature", "repeat"], name="__i") \
-        .select("feature", "repeat", "__i", "__v")
-    base = global_rank(data, [F.col(key)], name="__i")
-    copies = base.withColumn("__g", F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"))
-        for f in features for r in range(repeats)]))).select("*", "__g.*").drop("__g")
-    joined = copies.join(donor, ["feature", "repeat", "__i"], "inner")
-    swapped = joined.withColumns({f: F.when(F.col("feature") == f, F.col("__v").cast(types[f]))
-                                  .otherwise(F.col(f)) for f in features})
-    return swapped.drop("__v", "__i")
-
-
-def permutation_importance(fitted: dict, data: DataFrame, features: list[str],
-                           repeats: int = 5, key: str = "id", top: int = 10) -> DataFrame:
-    """Gini drop when one feature is permuted, clipped at 0, averaged over
-    repeats and models; the ``top`` features."""
-    copies = permuted_copies(data, features, repeats, key)
-    rows = []
-    for name, model in fitted.items():
-        base = M.gini(MD.score(model, data, name, [key]), digits=None).first()["gini"]
-        sc = MD.score(model, copies, name, [key, "feature", "repeat"])
-        g = M.gini(sc, by=["feature", "repeat"], digits=None)
-        rows.append(g.select(F.lit(name).alias("model"), "feature",
-                             F.greatest(F.lit(0.0), F.lit(base) - F.col("gini")).alias("drop")))
-    allm = _union(rows)
-    per_model = allm.groupBy("model", "feature").agg(F.avg("drop").alias("importance"))
-    return (per_model.groupBy("feature").agg(F.round(F.avg("importance"), 6).alias("importance"))
-            .orderBy(F.col("importance").desc(), "feature").limit(top))
+    """One copy of ``data`` per (feature, repeat) with that feature's values permuted.
+
+    Rows are dealt to partitions by a seeded hash (one shuffle of the rows);
+    each Arrow batch of a partition is a random part of the rows and is
+    permuted within itself.  Copies are made in the task and flow straight
+    into the model, so nothing that grows with features x repeats is shuffled."""
+    n = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    spread = data.repartition(n, F.xxhash64(F.col(key), F.lit(seed))).sortWithinPartitions(
+        F.xxhash64(F.col(key), F.lit(seed)), key)
+    names = data.columns
+    place = {f: names.index(f) for f in features}
+
+    def run(batches):
+        for k, batch in enumerate(batches):
+            for f, at in place.items():
+                for r in range(repeats):
+                    rng = np.random.default_rng([seed, at, r, k])
+                    columns = list(batch.columns)
+                    columns[at] = columns[at].take(pa.array(rng.permutation(batch.num_rows)))
+                    yield pa.RecordBatch.from_arrays(
+                        [*columns, pa.array([f] * batch.num_rows, pa.string()),
+                         pa.array([r] * batch.num_rows, pa.int32())],
+                        names=[*names, "feature", "repeat"])
+
+    schema = StructType([*data.schema.fields, StructField("feature", StringType()),
+                         StructField("repeat", IntegerType())])
+    return spread.mapInArrow(run, schema)
+
+
+def _auc_drops(model, data: DataFrame, features: list[str], repeats: int, key: str) -> DataFrame:
+    """(feature, drop): mean over the repeats of the loss in AUC, not clipped."""
+    base = M.roc_auc(MD.score(model, data, "m", [key])).first()["auc"]
+    copies = MD.score(model, permuted_copies(data, features, repeats, key), "m",
+                      [key, "feature", "repeat"])
+    auc = M.roc_auc(copies, by=["feature", "repeat"])
+    return auc.groupBy("feature").agg((F.lit(base) - F.avg("auc")).alias("drop"))
+
+
+def permutation_importance(fitted: dict, data: DataFrame, features: list[str], repeats: int = 5,
+                           key: str = "id", n_models: int = 3, top: int | None = None) -> DataFrame:
+    """Loss in AUC when one feature is permuted: mean over repeats, negative means
+    as 0, mean over the ``n_models`` models with the best AUC.  All features
+    unless a ``top`` report is asked for."""
+    auc = {n: M.roc_auc(MD.score(m, data, n, [key])).first()["auc"] for n, m in fitted.items()}
+    best = sorted(auc, key=lambda n: (-auc[n], n))[:n_models]
+    drops = _union([_auc_drops(fitted[n], data, features, repeats, key) for n in best])
+    table = (drops.groupBy("feature")
+             .agg(F.round(F.avg(F.greatest(F.lit(0.0), F.col("drop"))), 6).alias("importance"))
+             .orderBy(F.col("importance").desc(), "feature"))
+    return table.limit(top) if top else table
 
 
 def cv_permutation_importance(pipe: Pipeline, data: DataFrame, features: list[str],
-                              fold_col: str = "fold", k: int = 3, repeats: int = 2,
+                              fold_col: str = "fold", k: int = 3, repeats: int = 3,
                               key: str = "id") -> DataFrame:
-    """Out-of-fold permutation importance (gini units), mean over folds."""
+    """Out-of-fold permutation importance (loss in AUC), mean over folds, all features."""
     parts = []
     for f in range(k):
         tr, va = data.where(F.col(fold_col) != f), data.where(F.col(fold_col) == f)
-        m = pipe.fit(tr)
-        base = M.gini(MD.score(m, va, "m", [key]), digits=None).first()["gini"]
-        sc = MD.score(m, permuted_copies(va, features, repeats, key), "m",
-                      [key, "feature", "repeat"])
-        g = M.gini(sc, by=["feature", "repeat"], digits=None)
-        parts.append(g.select("feature", (F.lit(base) - F.col("gini")).alias("drop"),
-                              F.lit(f).alias("fold")))
+        parts.append(_auc_drops(pipe.fit(tr), va, features, repeats, key))
     return (_union(parts).groupBy("feature").agg(F.round(F.avg("drop"), 6).alias("importance"))
             .orderBy(F.col("importance").desc(), "feature"))
 
@@ -213,18 +222,20 @@ def topk_curve(build, ranking: list[str], train: DataFrame, test: DataFrame,
 
 def group_ablation(build, groups: dict[str, list[str]], features: list[str], train: DataFrame,
                    test: DataFrame, replicates: int = 2000) -> DataFrame:
-    """Refit without each feature block; the block matters when the Bonferroni
-    upper bound of (gini without it - full gini) is below 0."""
-    builds = {"__all": lambda: build(features)}
+    """Refit without each feature block (row ``ALL``: no block left out); the block
+    matters when the Bonferroni upper bound of (gini without it - full gini) is
+    below 0."""
+    builds = {"ALL": lambda: build(features)}
     for g, cols in groups.items():
         kept = [c for c in features if c not in cols]
         if kept:
             builds[g] = lambda kept=kept: build(kept)
     scored = _variants_scored(builds, train, test)
-    boot = paired_bootstrap(scored, "__all", replicates=replicates)
-    return boot.where(F.col("model") != "__all").select(
-        F.col("model").alias("block"), "gini", "delta_vs_full", "delta_bonf_lo",
-        "delta_bonf_hi", (F.col("delta_bonf_hi") < 0).alias("block_has_value"))
+    boot = paired_bootstrap(scored, "ALL", replicates=replicates)
+    return boot.select(
+        F.col("model").alias("block"), "gini", "delta_vs_full", "delta_vs_full_lo",
+        "delta_vs_full_hi", "delta_bonf_lo", "delta_bonf_hi",
+        (F.col("delta_bonf_hi") < 0).alias("block_has_value"))
 
 
 def learning_curve(builds: dict, pool: DataFrame, test: DataFrame, sizes=(1000, 2000, 4000),

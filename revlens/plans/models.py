@@ -16,11 +16,12 @@ Mapping to Spark ML (differences are documented, not hidden):
 * decision tree / random forest: the Spark trees with the same depth and
   leaf-size caps; bagging = a forest with ``featureSubsetStrategy='all'``;
 * gradient boosting: ``GBTClassifier`` (depth-capped trees instead of a leaf
-  cap, no native NULL handling: median-imputed inputs);
+  cap, no native NULL handling: median-imputed inputs); a tenth of the training
+  rows (by a hash of the id) stops it early;
+* bagging has no share of features per tree: Spark samples features per split;
 * k-nearest neighbours: :class:`revlens.operators.knn.KNNClassifier`, a
   pipeline stage around the exact distributed job
-  :func:`revlens.operators.knn.knn_scores` (bounded query blocks against the
-  distributed training rows, on the scaled preprocessor's vectors).
+  :func:`revlens.operators.knn.knn_scores` (on the scaled preprocessor's vectors).
 
 Balanced class weights (n / (2 n_class)) are a column used through
 ``weightCol`` wherever Spark supports it (not by the MLP and naive Bayes).
@@ -99,13 +100,39 @@ def _fill_unknown(cat: list[str]) -> list:
     return [FillUnknown(cat)] if cat else []
 
 
-def _impute(num: list[str]) -> list:
+def _impute(num: list[str], strategy: str = "median") -> list:
     if not num:
         return []
-    return [Imputer(inputCols=num, outputCols=[f"{c}__imp" for c in num], strategy="median",
+    return [Imputer(inputCols=num, outputCols=[f"{c}__imp" for c in num], strategy=strategy,
                     relativeError=1e-4)]
 
 
+class OrdinalCoder(Estimator):
+    """Categories as their place among the sorted training levels; -1 for NULL and
+    for levels not seen in training.  The codes carry no nominal metadata, so
+    trees split them as ordered features."""
+
+    def __init__(self, cols: list[str]):
+        super().__init__()
+        self.cols = list(cols)
+
+    def _fit(self, df: DataFrame) -> "OrdinalCoderModel":
+        return OrdinalCoderModel(self.cols, StringIndexer(
+            inputCols=self.cols, outputCols=[f"{c}__idx" for c in self.cols],
+            handleInvalid="keep", stringOrderType="alphabetAsc").fit(df))
+
+
+class OrdinalCoderModel(Model):
+    def __init__(self, cols: list[str], indexer):
+        super().__init__()
+        self.cols, self.indexer = cols, indexer
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        coded = {f"{c}__ord": F.when(F.col(f"{c}__idx") < len(levels), F.col(f"{c}__idx")).otherwise(-1.0)
+                 for c, levels in zip(self.cols, self.indexer.labelsArray)}
+        return self.indexer.transform(df).withColumns(coded)
+
+
 def scaled_preprocessor(num: list[str], cat: list[str], out: str = "features",
                         scale: bool = True) -> list:
     """Median-impute + standardise numerics; 'Unknown'-fill, rare-merge, one-hot categoricals."""
@@ -129,17 +156,11 @@ def scaled_preprocessor(num: list[str], cat: list[str], out: str = "features",
 
 
 def ordinal_preprocessor(num: list[str], cat: list[str], out: str = "features") -> list:
-    """Median-impute numerics; categoricals as sorted codes (unseen = last code).
-
-    The code is re-derived by arithmetic so it carries no nominal metadata:
-    trees then split it as an ordered feature, like an ordinal encoder."""
-    stages = _fill_unknown(cat) + _impute(num)
+    """Median-impute numerics; categoricals as sorted codes (NULL and unseen: -1)."""
+    stages = _impute(num)
     parts = [f"{c}__imp" for c in num]
     if cat:
-        stages.append(StringIndexer(inputCols=cat, outputCols=[f"{c}__idx" for c in cat],
-                                    handleInvalid="keep", stringOrderType="alphabetAsc"))
-        stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(
-            f"`{c}__idx` + 0.0 AS `{c}__ord`" for c in cat) + " FROM __THIS__"))
+        stages.append(OrdinalCoder(cat))
         parts += [f"{c}__ord" for c in cat]
     stages.append(VectorAssembler(inputCols=parts, outputCol=out))
     return stages
@@ -147,9 +168,11 @@ def ordinal_preprocessor(num: list[str], cat: list[str], out: str = "features")
 
 def binned_preprocessor(num: list[str], binary: list[str], cat: list[str], n_bins: int = 10,
                         out: str = "features") -> list:
-    """Quantile bins (duplicate edges merged) one-hot encoded; 0/1 columns pass through."""
+    """Quantile bins (duplicate edges merged) one-hot encoded; 0/1 columns pass through
+    with their most frequent value for NULL."""
     cont = [c for c in num if c not in binary]
-    stages = _fill_unknown(cat) + _impute(num)
+    stages = (_fill_unknown(cat) + _impute(cont)
+              + _impute([c for c in num if c in binary], "mode"))
     parts = [f"{c}__imp" for c in num if c in binary]
     if cont:
         stages.append(QuantileDiscretizer(inputCols=[f"{c}__imp" for c in cont],
@@ -233,8 +256,12 @@ def build_models(train: DataFrame, num: list[str], cat: list[str], binary: list[
             featureSubsetStrategy=p("random_forest", "featureSubsetStrategy", "sqrt"),
             weightCol=weight, seed=SEED, **common)])
     if "hist_gradient_boosting" in names:
-        out["hist_gradient_boosting"] = Pipeline(stages=ordinal() + [GBTClassifier(
-            maxIter=p("hist_gradient_boosting", "maxIter", 50),
+        held = SQLTransformer(statement=f"SELECT *, pmod(xxhash64(id, {SEED}), 10) = 0 "
+                                        "AS __early_stop FROM __THIS__")
+        out["hist_gradient_boosting"] = Pipeline(stages=[held] + ordinal() + [GBTClassifier(
+            maxIter=p("hist_gradient_boosting", "maxIter", 500),
+            validationIndicatorCol="__early_stop",
+            validationTol=p("hist_gradient_boosting", "validationTol", 0.01),
             maxDepth=p("hist_gradient_boosting", "maxDepth", 5),
             stepSize=p("hist_gradient_boosting", "stepSize", 0.1),
             weightCol=weight, seed=SEED, **common)])

@@ -16,8 +16,9 @@ def write_dataset(df: DataFrame, path: str, partition_by: str | None = "review_y
 
 
 def write_result(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
-    """Result tables are small; one CSV file with a header (or Parquet)."""
+    """CSV files with a header, or Parquet; as many files as the result has partitions
+    (AQE makes a small result one)."""
     if fmt == "csv":
-        df.coalesce(1).write.mode(mode).option("header", True).csv(path)
+        df.write.mode(mode).option("header", True).csv(path)
     else:
         df.write.mode(mode).parquet(path)

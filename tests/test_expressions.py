@@ -75,5 +75,6 @@ def test_round_half_even(spark):
 
 
 def test_sanitize(spark):
-    for k in ["Bars & Pubs", "  Café__Bar ", "", "---"]:
-        assert _one(spark, k, X.sanitize_name) == X.sanitize_name_py(k)
+    for k, name in [("Bars & Pubs", "bars_pubs"), ("  Café__Bar ", "café_bar"), ("", "unknown"),
+                    ("---", "unknown")]:
+        assert _one(spark, k, X.sanitize_name) == name

@@ -34,10 +34,13 @@ def test_pair_drop_and_vif_reduce(spark):
     assert "a_copy" not in kept and "a" in kept
 
 
-def test_drop_score_rules():
-    assert SC.choose_drop("weather_tmin", "weather_tmax") == "weather_tmin"
-    assert SC.choose_drop("photo_food", "photo_count") == "photo_food"
-    assert SC.choose_drop("x_b", "x_a") == "x_b"
+def test_drop_score_rules(spark):
+    names = ["weather_tmin", "weather_tmax", "photo_food", "photo_count", "log_x", "a_ratio", "is_x", "x"]
+    assert SC.drop_scores(spark, names) == dict(zip(names, [90, 0, 80, 0, 70, 65, 55, 50]))
+    pairs = spark.createDataFrame([("weather_tmin", "weather_tmax", 0.9), ("photo_food", "photo_count", 0.9),
+                                   ("x_b", "x_a", 0.9)], "feature_1 string, feature_2 string, correlation double")
+    assert {(r["drop"], r["keep"]) for r in SC.judged_pairs(pairs).collect()} == {
+        ("weather_tmin", "weather_tmax"), ("photo_food", "photo_count"), ("x_b", "x_a")}
 
 
 def test_narrow_types(spark):
