@@ -8,9 +8,11 @@ Spark adds them up and derives every shorter context.  A context is a candidate
 if at least ``min_share`` of all symbols follow it (at most 1/min_share contexts a
 depth can be), and it is retained if its next-symbol distribution diverges from
 that of the next shorter context: share x KL divergence >= ``min_gain`` nats a
-symbol.  Suffixes of retained contexts are retained, so the tree is closed.
-Distributions are smoothed towards the next shorter context's with ``smoothing``
-pseudo-counts, the empty context's towards equal shares.
+symbol, and number x KL divergence >= ``evidence`` nats for each different symbol
+that follows (a likelihood-ratio test).  Suffixes of retained contexts are retained, so the tree is closed.
+Distributions are smoothed towards the next shorter context's, the empty
+context's towards equal shares, with ``smoothing`` pseudo-counts for each
+different symbol that follows the context (Witten-Bell, for 1).
 
 Scoring: each symbol is predicted by the longest retained suffix before it; a
 text's score is the sum of log10 probabilities.  The tree's size is bounded by
@@ -50,7 +52,8 @@ class TreeSpec:
     depth: int = 5
     min_share: float = 2e-6
     min_gain: float = 2e-6
-    smoothing: float = 4.0
+    evidence: float = 2.0
+    smoothing: float = 1.0
     frequent_share: float = 2e-6
 
 
@@ -144,8 +147,9 @@ def retained(runs: DataFrame, spec: TreeSpec) -> tuple[DataFrame | None, int]:
                  .select(F.col("context").alias("parent"), "symbol",
                          (F.col("n") / F.col("total")).alias("above")))
         gain = F.sum(F.col("n") / total * F.log(F.col("n") / F.col("total") / F.col("above")))
-        tested = (here.join(above, ["parent", "symbol"]).groupBy("context").agg(gain.alias("gain"))
-                  .filter(F.col("gain") >= spec.min_gain).select("context"))
+        enough = (F.col("gain") >= spec.min_gain) & (F.col("gain") * total >= spec.evidence * F.col("symbols"))
+        tested = (here.join(above, ["parent", "symbol"]).groupBy("context")
+                  .agg(gain.alias("gain"), F.count(F.lit(1)).alias("symbols")).filter(enough).select("context"))
         keep = materialize(tested if keep is None else tested.unionByName(keep).distinct(), f"tree-kept-{depth}")
         out.append(levels[depth].join(keep, "context").select(F.lit(depth).alias("depth"), "context", "symbol", "n"))
         keep = keep.select(parent.alias("context")).distinct()
@@ -186,10 +190,11 @@ def build(rows, spec: TreeSpec) -> Tree:
     np.add.at(count, (nodes, column[rows["symbol"].to_numpy()]), rows["n"].to_numpy())
     share = np.zeros_like(count)
     equal = 1 / 255  # any byte but the start mark
-    k = spec.smoothing
-    share[1] = (count[1] + k * equal) / (count[1].sum() + k)
+    pseudo = spec.smoothing * np.maximum((count > 0).sum(axis=1), 1)
+    total = count.sum(axis=1) + pseudo
+    share[1] = (count[1] + pseudo[1] * equal) / total[1]
     for node in range(2, len(at) + 1):  # parents come first
-        share[node] = (count[node] + k * share[parents[node]]) / (count[node].sum() + k)
+        share[node] = (count[node] + pseudo[node] * share[parents[node]]) / total[node]
     share[0] = 1
     return Tree(column, child, np.log10(share).astype(np.float32))
 
