@@ -50,6 +50,11 @@ def _split_cached(spark, sf):
     return rows, materialize(fit, "fit-rows"), feats
 
 
+def forget() -> None:
+    """Split the rows anew when they are next needed."""
+    _split_cached.cache_clear()
+
+
 class Split:
     """All rows, the fit rows (with folds and class weights) and the test rows."""
 

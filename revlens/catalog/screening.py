@@ -118,23 +118,55 @@ def q_vif_reduce(spark, sf):
     return SC.vif_reduce(base(spark, sf), COLS)
 
 
-@register("drop_correlated")
+PAIR_SQL = " UNION ALL ".join(f"SELECT '{a}' AS f1, '{b}' AS f2, corr({a}, {b}) AS r FROM base"
+                              for a, b in _pairs(COLS))
+
+
+# every fixture column has the same drop score, so of a pair the larger name goes
+@register("drop_correlated", f"""
+    WITH RECURSIVE base AS ({BASE_SQL}),
+    pairs AS (SELECT *, row_number() OVER (ORDER BY abs(r) DESC, f1, f2) AS i
+              FROM ({PAIR_SQL}) WHERE abs(r) >= 0.5),
+    greedy(i, gone, hit) AS (
+      SELECT 0::BIGINT, []::VARCHAR[], FALSE
+      UNION ALL
+      SELECT p.i, CASE WHEN list_contains(gone, f1) OR list_contains(gone, f2) THEN gone
+                       ELSE list_append(gone, greatest(f1, f2)) END,
+             NOT (list_contains(gone, f1) OR list_contains(gone, f2))
+      FROM greedy g JOIN pairs p ON p.i = g.i + 1)
+    SELECT greatest(f1, f2) AS variable, 'pairwise_correlation' AS step,
+           'Dropped redundant variable from a high-correlation pair; kept ' || least(f1, f2)
+           || ' by the deterministic interpretability/tie-break rule' AS reason,
+           least(f1, f2) AS correlated_with, round(r, 3) AS correlation, NULL::DOUBLE AS vif
+    FROM greedy JOIN pairs USING (i) WHERE hit""")
 def q_drop_correlated(spark, sf):
     return SC.drop_correlated(base(spark, sf), COLS, threshold=0.5)
 
 
-@register("candidate_screen")
+_SCREENED = {"review_useful": "qty", "const": "CAST(1.0 AS DOUBLE)", "all_null": "CAST(NULL AS DOUBLE)"}
+_CANDIDATES = {**{c: c for c in [*COLS, "flag_r", "flag_f"]}, **_SCREENED}
+_OUT = "'Excluded before EDA correlation matrix: "
+
+
+@register("candidate_screen", _with(" UNION ALL ".join(
+    f"SELECT {'DISTINCT ' if name == 'review_useful' else ''}'{name}' AS variable, " + (
+        f"{_OUT}post-review variable' AS kind" if name == "review_useful" else
+        f"CASE WHEN count({e}) = 0 THEN {_OUT}all values missing' "
+        f"WHEN min({e}) = max({e}) THEN {_OUT}constant numeric variable' "
+        f"WHEN bool_and({e} IN (0, 1)) THEN 'binary' ELSE 'continuous' END AS kind") + " FROM base" for name, e in _CANDIDATES.items())))
 def q_candidate_screen(spark, sf):
     b = base(spark, sf).withColumns({"review_useful": F.col("qty"), "const": F.lit(1.0),
                                      "all_null": F.lit(None).cast("double")})
-    cont, binary, audit = SC.candidate_screen(b)
-    spark_ = b.sparkSession
-    kinds = spark_.createDataFrame([(c, "continuous") for c in cont] + [(c, "binary") for c in binary],
-                                   "variable string, kind string")
-    return kinds.unionByName(audit.select("variable", F.col("reason").alias("kind")))
+    return SC.screen_table(b).select("variable", F.coalesce("reason", "kind").alias("kind"))
 
 
-@register("compact_select")
+@register("compact_select", _with("""
+    SELECT CAST(place AS INTEGER) AS rank, variable FROM (
+      SELECT variable, row_number() OVER (ORDER BY abs(r) DESC, variable) AS place,
+             count(*) FILTER (WHERE abs(r) >= 0.05) OVER () AS strong
+      FROM (""" + " UNION ALL ".join(f"SELECT '{c}' AS variable, corr(satisfied, {c}) AS r FROM base"
+                                     for c in COLS) + """) WHERE r IS NOT NULL)
+    WHERE place <= CASE WHEN strong < 2 THEN 2 ELSE least(strong, 4) END"""))
 def q_compact_select(spark, sf):
     tc = SC.target_correlation(base(spark, sf), COLS, digits=None).collect()
     chosen = SC.compact_select([(r[0], r[1]) for r in tc], threshold=0.05, min_features=2,

@@ -14,7 +14,7 @@ user              customer JOIN nation JOIN region                  one customer
 tip / photo /      events (``user_id`` plays the business key)      one event
 checkin
 weather (raw)      orders (order status plays the station city)     one order
-station map        supplier JOIN nation (one station, many cities)  one supplier
+station map        supplier JOIN nation (a city per station)  one supplier
 =================  ===============================================  ==============
 
 Every builder has a twin in :data:`SQL_VIEWS`, the same derivation written for
@@ -196,7 +196,7 @@ def weather_raw(t: Tables) -> DataFrame:
 def station_map(t: Tables) -> DataFrame:
     s, n = t.supplier, t.nation
     return s.join(n, s.s_nationkey == n.n_nationkey, "inner").select(
-        F.concat(F.lit("S"), _s(F.col("s_nationkey") % 10)).alias("station"),
+        F.concat(F.lit("S"), _s(F.col("s_suppkey"))).alias("station"),
         F.col("s_name").alias("city"),
         F.col("n_name").alias("state"),
     )
@@ -295,7 +295,7 @@ SQL_VIEWS: dict[str, str] = {
                CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) % 45 - 15 AS VARCHAR) AS TMIN
         FROM orders""",
     "rv_station_map": """
-        SELECT 'S' || CAST(s_nationkey % 10 AS VARCHAR) AS station, s_name AS city, n_name AS state
+        SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS station, s_name AS city, n_name AS state
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
 }
 

@@ -5,12 +5,10 @@ photos) are computed in one aggregation at business grain and joined to the
 business dimension *on the business grain* (full outer, keeping feature rows
 of businesses the dimension lacks, exactly as chained left joins from the
 fact would).  The fact then meets one business-grain table and the user
-table: two fact-sized joins instead of five.  Each dimension is broadcast
-only after a bounded probe (``limit(bound + 1).count()``) proves it within the
-bound (:func:`broadcast_if_small`); otherwise the join is a sort-merge join
-whose skewed keys AQE splits.  The daily weather table (cities x days) is
-left to AQE's measured-size rule.  Literal lookup tables (scope
-pairs, city aliases) have a fixed size and are broadcast explicitly.
+table: two fact-sized joins instead of five.  The join type is left to AQE:
+a side whose measured size is under the threshold is broadcast, otherwise the
+join is a sort-merge join whose skewed keys are split.  Literal lookup tables
+(scope pairs, city aliases) have a fixed size and are broadcast explicitly.
 """
 
 from __future__ import annotations
@@ -45,26 +43,9 @@ def business_dimension(business: DataFrame, *features: DataFrame,
     return reduce(lambda acc, f: acc.join(f, key, "full"), features, business)
 
 
-# A dimension is broadcast only when a bounded count proves it has at most
-# this many rows; above it the join stays a sort-merge join (AQE splits
-# skewed keys).  Business rows are ~1 KB wide, so the bound is ~0.5 GB.
-BROADCAST_MAX_ROWS = 500_000
-
-
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(dim)`` if ``dim`` has at most ``max_rows`` rows, else ``dim``.
-
-    The probe stops after ``max_rows + 1`` output rows (``limit``), so a
-    narrow dimension pipeline is read only that far; a dimension that ends in
-    an aggregation still completes that (dimension-sized) shuffle once.  The
-    fact is never touched by the probe."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 def enrich_fact(reviews: DataFrame, business: DataFrame, users: DataFrame,
                 checkin_f: DataFrame | None = None, tip_f: DataFrame | None = None,
-                photo_f: DataFrame | None = None, broadcast_max_rows: int | None = None,
+                photo_f: DataFrame | None = None,
                 activity: DataFrame | None = None) -> DataFrame:
     """One wide row per review: review LEFT business(+features) LEFT user.
 
@@ -76,9 +57,6 @@ def enrich_fact(reviews: DataFrame, business: DataFrame, users: DataFrame,
     """
     feats = [f for f in (activity, checkin_f, tip_f, photo_f) if f is not None]
     dim = business_dimension(business, *feats)
-    if broadcast_max_rows:
-        dim = broadcast_if_small(dim, broadcast_max_rows)
-        users = broadcast_if_small(users, broadcast_max_rows)
     return reviews.join(dim, "business_id", "left").join(users, "user_id", "left")
 
 

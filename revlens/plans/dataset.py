@@ -43,7 +43,7 @@ def enriched_fact(t: Tables, weather: bool = True, business_subfeatures: bool =
     # quote stripping is per value and idempotent: run it once per business, not per review
     b = E.normalize_attribute_levels(b)
     activity = FE.activity_features(FX.checkin_raw(t), FX.tip_raw(t), FX.photo_raw(t))
-    fact = E.enrich_fact(r, b, u, activity=activity, broadcast_max_rows=E.BROADCAST_MAX_ROWS)
+    fact = E.enrich_fact(r, b, u, activity=activity)
     fact = E.clean_values(fact)
     if weather:
         fact = W.normalize_keys(fact, "wx_city", "wx_state", "review_date")
@@ -56,6 +56,11 @@ def enriched_fact(t: Tables, weather: bool = True, business_subfeatures: bool =
 _MATERIALIZED: dict[tuple, DataFrame] = {}
 
 
+def forget() -> None:
+    """Build the dataset anew when it is next loaded (input files changed, or timing)."""
+    _MATERIALIZED.clear()
+
+
 def load(spark: SparkSession, sf_dir: str, reuse: bool = True, **kw) -> DataFrame:
     """The enriched dataset of ``sf_dir``.
 
