@@ -274,9 +274,9 @@ def _bootstrap_sql(reference: str, select: str) -> str:
     return _with(
         select,
         digests=f"SELECT o_orderkey AS id, b, md5(o_orderkey || '|' || b || '|{SP.RANDOM_STATE}') AS h "
-                f"FROM orders, range(0, {REPLICATES // 4}) AS r(b)",
-        uniforms="SELECT id, b * 4 + j AS rep, ('0x' || substr(h, CAST(1 + 8 * j AS INTEGER), 8))::UBIGINT "
-                 "/ 4294967296::DOUBLE AS u FROM digests, range(0, 4) AS s(j)",
+                f"FROM orders, range(0, {REPLICATES // 8}) AS r(b)",
+        uniforms="SELECT id, b * 8 + j AS rep, ('0x' || substr(h, CAST(1 + 4 * j AS INTEGER), 4))::UBIGINT "
+                 "/ 65536::DOUBLE AS u FROM digests, range(0, 8) AS s(j)",
         weights=f"SELECT id, rep, CASE {weight} ELSE {SP.POISSON_KMAX} END AS w FROM uniforms",
         sums="SELECT model, rep, score, sum(w * y)::DOUBLE AS pos, sum(w * (1 - y))::DOUBLE AS neg "
              "FROM scored JOIN weights USING (id) WHERE w > 0 GROUP BY model, rep, score",

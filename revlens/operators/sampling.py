@@ -222,10 +222,12 @@ def poisson_cdf(kmax: int = POISSON_KMAX) -> list[float]:
 
 def poisson_weights(keys: list[str], replicates: int, seed: int = RANDOM_STATE) -> np.ndarray:
     """Poisson(1) weights, rows x replicates, from md5(key|block|seed): a digest is
-    four 32-bit uniforms, those of replicates 4 * block ... 4 * block + 3, and
+    eight 16-bit uniforms, those of replicates 8 * block ... 8 * block + 7, and
     the weight is the smallest k with CDF(k) > uniform."""
-    blocks = -(-replicates // 4)
-    data = b"".join(hashlib.md5(f"{key}|{b}|{seed}".encode()).digest()
-                    for key in keys for b in range(blocks))
-    uniform = np.frombuffer(data, ">u4").reshape(len(keys), 4 * blocks)[:, :replicates] / 2.0 ** 32
-    return np.searchsorted(np.array(poisson_cdf()), uniform, side="right")
+    blocks = -(-replicates // 8)
+    ends = [f"|{b}|{seed}".encode() for b in range(blocks)]
+    md5 = hashlib.md5
+    data = b"".join([md5(key + end).digest() for key in map(str.encode, keys) for end in ends])
+    table = np.searchsorted(np.array(poisson_cdf()), np.arange(1 << 16) / 2.0 ** 16,
+                            side="right").astype(np.uint8)
+    return table[np.frombuffer(data, ">u2").reshape(len(keys), 8 * blocks)[:, :replicates]]
