@@ -154,11 +154,13 @@ def _join_parts(kind: str, spec: SubspaceSpec):
         mine, theirs = np.flatnonzero(role != 0), np.flatnonzero(role != 1)
         links, forest = np.zeros(len(node), np.int64), Labels(len(node))
         sub = place[:, start:stop].astype(np.float32)
-        square = (sub * sub).sum(axis=1)
+        half = (sub * sub).sum(axis=1, keepdims=True) / 2
+        one = np.ones_like(half)
+        # the product of a row of ``near`` and one of ``far`` is minus half their squared distance
+        near, far = np.hstack([sub, one, half]), np.hstack([sub, -half, -one])[theirs].T
         for at in range(0, len(mine), spec.tile_rows):
             tile = mine[at:at + spec.tile_rows]
-            gap = square[tile][:, None] + square[theirs][None, :] - 2 * (sub[tile] @ sub[theirs].T)
-            h, a = np.nonzero(gap <= budget + 1e-4)
+            h, a = np.nonzero(near[tile] @ far >= -(budget + 1e-4) / 2)
             for cut in range(0, len(h), 200_000):
                 left, right = tile[h[cut:cut + 200_000]], theirs[a[cut:cut + 200_000]]
                 other = node[left] != node[right]
