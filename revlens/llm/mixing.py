@@ -6,8 +6,11 @@ sources falls as ``a`` grows, so ``a`` is bisected on the grid ``k / 2^16``: the
 largest value that reaches the target entropy, raised, where needed, to the
 smallest one that repeats no source more than ``max_epochs`` times.  Each source
 gets ``floor(budget * w)`` tokens: whole permutations of its documents first
-(epochs), then the longest prefix of one more permutation that fits.  A draw's
-position in its source's sequence decides its block, so every block of the mixed
+(epochs), then the longest prefix of one more permutation that fits; with
+``crossing``, also the document that starts below the budget and ends above it,
+so a source is realised to within one document and none with a budget vanishes.
+If ``crossing`` is set, a budget of the whole corpus at exponent 1 draws every
+document of a source with tokens exactly once.  A draw's position in its source's sequence decides its block, so every block of the mixed
 stream holds the sources at their weights.
 
 A permutation orders documents by md5 of seed, epoch and doc_id.  Running token
@@ -47,6 +50,8 @@ class MixSpec:
     #: Blocks of the mixed stream.
     blocks: int = 64
     seed: str = "mix"
+    #: Draw the document that crosses a source's budget, too.
+    crossing: bool = False
 
 
 def token_table(docs: DataFrame) -> DataFrame:
@@ -112,8 +117,11 @@ def solve_exponent(shares: DataFrame, spec: MixSpec) -> float:
 def source_budgets(shares: DataFrame, exponent: float, spec: MixSpec) -> DataFrame:
     """source, source_tokens, weight, source_budget, epochs (whole), rest (tokens of the last one)."""
     powers = shares.withColumn("power", F.exp(F.lit(exponent) * F.log("share")))
+    drawn = F.floor(budget(spec) * F.col("weight") + 1e-6)
+    if spec.crossing and exponent == 1.0 and min(spec.budget_part, spec.max_epochs) == 1.0:
+        drawn = F.col("source_tokens")  # the weights are the shares: no rounding
     return (powers.withColumn("weight", F.col("power") / powers.agg(F.sum("power")).scalar())
-            .withColumn("source_budget", F.floor(budget(spec) * F.col("weight") + 1e-6))
+            .withColumn("source_budget", drawn)
             .filter("source_budget > 0")
             .withColumn("epochs", F.expr("source_budget div source_tokens"))
             .withColumn("rest", F.expr("source_budget % source_tokens"))
@@ -146,12 +154,16 @@ def schedule(tokens: DataFrame, budgets: DataFrame, spec: MixSpec) -> DataFrame:
             .withColumn("base", F.col("base_a") + F.col("base_b")).drop("base_a", "base_b"))
     inside = (Window.partitionBy(*seq, "a", "b").orderBy("draw_key")
               .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    return (draws.join(base, [*seq, "a", "b"])
-            .withColumn("through", F.col("base") + F.sum("n_tokens").over(inside))
-            .filter((F.col("epoch") < F.col("epochs")) | (F.col("through") <= F.col("rest")))
+    placed = draws.join(base, [*seq, "a", "b"]).withColumn("through", F.col("base") + F.sum("n_tokens").over(inside))
+    fits = F.col("through") <= F.col("rest")
+    if spec.crossing:
+        tied = Window.partitionBy(*seq, "a", "b", "draw_key")
+        placed = placed.withColumn("start", F.col("through") - F.sum("n_tokens").over(tied))
+        fits = F.col("start") < F.col("rest")
+    return (placed.filter((F.col("epoch") < F.col("epochs")) | fits)
             .withColumn("position", F.col("epoch") * F.col("source_tokens") + F.col("through"))
             .withColumn("block", F.expr(
-                f"greatest(position - 1, 0L) * {spec.blocks}L div source_budget"))
+                f"greatest(least(position, source_budget) - 1, 0L) * {spec.blocks}L div source_budget"))
             .select("doc_id", "source", "epoch", "block", "position", "n_tokens", "draw_key"))
 
 

@@ -84,3 +84,25 @@ def test_empty_tables(spark):
     assert mixing.mixed_rows(nothing(spark)).collect() == []
     blank = spark.createDataFrame([row(1, None), row(2, " ")], SCHEMA)
     assert rows(mixing.mix(blank).draws) == []
+
+
+def drawn_tokens(spark, data, spec):
+    mixed = mixing.mix(spark.createDataFrame(data, SCHEMA), spec)
+    got = defaultdict(int)
+    for d in mixed.draws.collect():
+        got[d["source"]] += d["n_tokens"]
+    return mixed, got
+
+
+def test_crossing_documents_realise_every_budget(spark):
+    data = ([row(i, "w " * 10, "big") for i in range(40)] + [row(100, "w " * 300, "big")]
+            + [row(200, "w " * 50, "alone"), row(201, "w " * 400, "book")])
+    spec = MixSpec(budget_part=0.5, entropy_part=0.0, max_epochs=1.0, crossing=True)
+    mixed, got = drawn_tokens(spark, data, spec)
+    longest = {"big": 300, "alone": 50, "book": 400}
+    budgets = {b["source"]: b["source_budget"] for b in mixed.budgets.collect()}
+    assert set(budgets) == set(longest)
+    assert all(budgets[s] <= got[s] < budgets[s] + longest[s] for s in longest)
+    assert all(0 <= d["block"] < spec.blocks for d in mixed.draws.collect())
+    rows_ = mixing.mixed_rows(spark.createDataFrame(data, SCHEMA), spec).collect()
+    assert sorted(r["doc_id"] for r in rows_) == sorted(d["doc_id"] for d in mixed.draws.collect())
