@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from revlens.llm import exact_stream, mixing, near_omh, quality, queries
 from revlens.llm.common import materialize, read
 
-#: No document is drawn twice; 9/10 of the tokens are drawn, so that sources that
-#: are larger than their weight give way.
-MIX = mixing.MixSpec(budget_part=0.9, entropy_part=0.95, max_epochs=1.0)
+#: As many tokens as there are: where the shares reach the entropy target, every
+#: document is drawn once; else only sources above their weight lose documents and
+#: smaller ones repeat theirs, up to ``max_epochs`` times.
+MIX = mixing.MixSpec(budget_part=1.0, entropy_part=0.95, max_epochs=4.0, crossing=True)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
