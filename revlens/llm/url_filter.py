@@ -2,9 +2,12 @@
 
 1. Words.  Unigram counts come from the visible text of all pages; names don't
    count for themselves, so a concatenated name is split where its words are
-   known.  Tasks add up locally and Spark sums per word.
+   known.  Tasks add up locally and Spark sums per word.  Each seed has
+   ``seed_share`` of all words (at least one) in addition, so that names with
+   seeds that no page's text holds are split at them too.
 2. Segmentation.  Distinct runs of letters in hosts are joined with the counts of
-   their substrings; a Viterbi pass per run picks the most likely split.  An
+   their substrings; a Viterbi pass per run picks the most likely split (a run that
+   is a seed stays whole).  An
    unknown piece of n letters has the probability ``unknown * 10^-n / total``.
 3. Naive Bayes (multinomial).  A host is a block example if a segmented word is
    in ``seeds``, else an allow example; tokens are the host's words and the
@@ -67,6 +70,8 @@ class UrlSpec:
     unknown: float = 1.0
     smoothing: float = 20.0
     max_word: int = 24
+    #: What a seed counts in segmentation beside its page text, as a share of all words.
+    seed_share: float = 1e-5
 
 
 def host_of(url: Column) -> Column:
@@ -111,6 +116,17 @@ def word_counts(pages: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
+def with_seeds(words: DataFrame, total: int, spec: UrlSpec) -> tuple[DataFrame, int]:
+    """``words`` with the seeds' pseudo-counts added, and the total of both."""
+    seeds = sorted(set(spec.seeds))
+    if not seeds:
+        return words, total
+    each = max(1, math.ceil(spec.seed_share * total))
+    extra = words.sparkSession.createDataFrame([(w, each) for w in seeds], "word string, n bigint")
+    both = words.unionByName(extra).groupBy("word").agg(F.sum("n").alias("n"))
+    return both, total + each * len(seeds)
+
+
 def viterbi(run: str, counts: dict[str, int], total: int, spec: UrlSpec) -> list[str]:
     """The most likely split; ties prefer the longer last word."""
     total = max(total, 1)
@@ -140,10 +156,12 @@ def segment(runs: DataFrame, words: DataFrame, total: int, spec: UrlSpec) -> Dat
     known = (parts.join(words, "word").groupBy("run")
              .agg(F.collect_list(F.struct("word", "n")).alias("known")))  # at most max_word x length of the run
 
+    seeds = frozenset(spec.seeds)
+
     def split(batches):
         for batch in batches:
             names = batch.column(0).to_pylist()
-            out = [viterbi(run, {k["word"]: k["n"] for k in known or ()}, total, spec)
+            out = [[run] if run in seeds else viterbi(run, {k["word"]: k["n"] for k in known or ()}, total, spec)
                    for run, known in zip(names, batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string()))],
                                              names=["run", "words"])
@@ -158,7 +176,7 @@ def judge(pages: DataFrame, spec: UrlSpec = UrlSpec()) -> DataFrame:
         .withColumn("shape", path_shape(F.col("path")))
         .withColumn("rule", rule_of(F.col("host"), F.col("path"), spec.rules)), "urls")
     words = materialize(word_counts(pages), "url-words")
-    total = words.agg(F.sum("n")).first()[0] or 0
+    words, total = with_seeds(words, words.agg(F.sum("n")).first()[0] or 0, spec)
 
     pairs = materialize(urls.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("pages")), "url-pairs")
     hosts = pairs.groupBy("host").agg(F.sum("pages").alias("pages"))

@@ -97,3 +97,12 @@ def test_empty_table_and_custom_rules(spark):
     assert url_filter.judge(pages(spark, [])).collect() == []
     got = rows(url_filter.judge(pages(spark, ["http://a.b.org/x/1"] * 2), UrlSpec(rules=(Rule("block", "b.org", "/x"),))))
     assert [(g["rule"], g["verdict"]) for g in got] == [("b.org/x", "block")] * 2
+
+
+def test_names_with_seeds_that_no_text_holds(spark):
+    text = "free online games to rent or lo an nu de are ing city garden tools library " * 40
+    shady = [*url_filter.SEEDS, "onlinepoker", "freemalware", "onlinegambling", "gardenviagra", "freetorrent"]
+    fine = ["onlinegames", "citylibrary", "gardentools", "freetools", "cityrent"]
+    urls = [f"http://www.{n}.org/p" for n in [*shady, *fine * 10]]
+    got = {g["host"]: g["verdict"] for g in rows(url_filter.judge(pages(spark, urls, text), UrlSpec(rules=())))}
+    assert got == {f"www.{n}.org": "block" if n in shady else "allow" for n in [*shady, *fine]}
