@@ -2,10 +2,11 @@
 
 The whole enriched table is split once into training and test rows (80/20,
 stratified, by seeded hashes).  ``FIT_ROWS`` is the only bound, and a
-documented one: models and preprocessors are *fitted* on an exact-size
-stratified sample of at most that many training rows (the analysed workload
-samples its rows too).  Everything else covers all rows: test rows are all
-scored, permuted and bootstrapped, and every row is imputed and encoded.
+documented one: models, with the preprocessing stages in their pipelines, are
+*fitted* on an exact-size stratified sample of at most that many training rows
+(the analysed workload samples its rows too).  The preprocessing queries are
+fitted on all training rows and applied to every row.  Test rows are all scored,
+permuted and bootstrapped.
 
 Model fits are not SQL-expressible, so those entries are rows-only checks with
 quality tests; closed forms (log transforms, imputation, encoding, KNN by
@@ -56,16 +57,18 @@ def forget() -> None:
 
 
 class Split:
-    """All rows, the fit rows (with folds and class weights) and the test rows."""
+    """All rows, the training rows, the fit rows among them (with folds and class
+    weights) and the test rows."""
 
     def __init__(self, spark, sf):
         self.rows, self.fit, self.feats = _split_cached(spark, sf)
         self.num, self.cat = MDS.split_types(self.rows, self.feats)
+        self.train = self.rows.where(F.col("is_test") == 0)
         self.test = self.rows.where(F.col("is_test") == 1).withColumn("weight", F.lit(1.0))
 
     def binary(self):
         from revlens.operators.screen import column_profile
-        return [r["variable"] for r in column_profile(self.fit, self.num).collect() if r["is_binary"]]
+        return [r["variable"] for r in column_profile(self.train, self.num).collect() if r["is_binary"]]
 
     def models(self, names=None):
         return MD.build_models(self.fit, self.num, self.cat, self.binary(), names=names)
@@ -127,7 +130,7 @@ def q_log_and_replace(spark, sf):
 
 def _fitted(sp, stages):
     from pyspark.ml import Pipeline
-    return Pipeline(stages=stages).fit(sp.fit).transform(sp.rows)
+    return Pipeline(stages=stages).fit(sp.train).transform(sp.rows)
 
 
 @register("impute_median")

@@ -108,3 +108,23 @@ def test_importance_finds_the_informative_feature(spark):
                             LogisticRegression(labelCol="satisfied")]).fit(df)
     got = {r["feature"]: r["importance"] for r in permutation_importance({"m": pipe}, df, ["a", "b"]).collect()}
     assert 0.35 < got["a"] <= 0.6 and 0 <= got["b"] < 0.02  # in units of AUC
+
+
+def test_preprocessors_are_fitted_on_all_training_rows(spark, monkeypatch):
+    from revlens.catalog import modelling as MO
+    sf = "/root/testdata/sf0.001"
+    MO.forget()
+    monkeypatch.setattr(MO, "FIT_ROWS", 60)
+    try:
+        sp = MO.Split(spark, sf)
+        train = sp.train.select("id")
+        codes = MO.q_ordinal_encode(spark, sf).join(train, "id")
+        known = sp.train.select("id", *[F.col(c).alias(f"{c}__v") for c in sp.cat])
+        lost = codes.join(known, "id").agg(*[F.count_if(F.col(f"{c}__v").isNotNull() & (F.col(c) < 0)).alias(c)
+                                             for c in sp.cat]).first().asDict()
+        assert not any(lost.values()), lost
+        parts = MO.q_standardize(spark, sf).join(train, "id").select(F.posexplode("features"))
+        for r in parts.groupBy("pos").agg(F.avg("col").alias("m"), F.stddev("col").alias("s")).collect():
+            assert abs(r["m"]) < 1e-6 and (abs(r["s"] - 1) < 1e-6 or r["s"] == 0)
+    finally:
+        MO.forget()
