@@ -6,7 +6,8 @@ documented one: models, with the preprocessing stages in their pipelines, are
 *fitted* on an exact-size stratified sample of at most that many training rows
 (the analysed workload samples its rows too).  The preprocessing queries are
 fitted on all training rows and applied to every row.  Test rows are all scored,
-permuted and bootstrapped.
+permuted and bootstrapped; folds divide all training rows, and a fold's held-out
+rows are all scored and permuted.
 
 Model fits are not SQL-expressible, so those entries are rows-only checks with
 quality tests; closed forms (log transforms, imputation, encoding, KNN by
@@ -47,25 +48,49 @@ def _split_cached(spark, sf):
     df, feats, _ = model_frame(spark, sf)
     rows = materialize(SP.stratified_split(df, MDS.TARGET, ["id"]), "model-rows")
     fit = SP.stratified_sample(rows.where(F.col("is_test") == 0), MDS.TARGET, FIT_ROWS, ["id"])
-    fit = SP.class_weights(SP.stratified_folds(fit, MDS.TARGET, ["id"]), MDS.TARGET)
+    fit = SP.class_weights(fit, MDS.TARGET)
     return rows, materialize(fit, "fit-rows"), feats
 
 
+FOLDS = 3
+
+
+@lru_cache(maxsize=4)
+def _folds_cached(spark, sf):
+    """(fit rows, held-out rows) of each fold of all training rows; of the other folds
+    at most ``FIT_ROWS`` are fitted on, drawn by a hash of their own."""
+    rows = _split_cached(spark, sf)[0]
+    train = materialize(SP.stratified_folds(rows.where(F.col("is_test") == 0), MDS.TARGET, ["id"], k=FOLDS),
+                        "fold-rows")
+    out = []
+    for f in range(FOLDS):
+        fit = SP.stratified_sample(train.where(F.col("fold") != f), MDS.TARGET, FIT_ROWS, ["id"],
+                                   seed=SP.RANDOM_STATE + 1 + f)
+        out.append((materialize(SP.class_weights(fit, MDS.TARGET), f"fold-fit-{f}"),
+                    train.where(F.col("fold") == f).withColumn("weight", F.lit(1.0))))
+    return out
+
+
 def forget() -> None:
     """Split the rows anew when they are next needed."""
     _split_cached.cache_clear()
+    _folds_cached.cache_clear()
 
 
 class Split:
-    """All rows, the training rows, the fit rows among them (with folds and class
-    weights) and the test rows."""
+    """All rows, the training rows, the fit rows among them (with class weights) and
+    the test rows."""
 
     def __init__(self, spark, sf):
+        self.source = spark, sf
         self.rows, self.fit, self.feats = _split_cached(spark, sf)
         self.num, self.cat = MDS.split_types(self.rows, self.feats)
         self.train = self.rows.where(F.col("is_test") == 0)
         self.test = self.rows.where(F.col("is_test") == 1).withColumn("weight", F.lit(1.0))
 
+    def folds(self):
+        return _folds_cached(*self.source)
+
     def binary(self):
         from revlens.operators.screen import column_profile
         return [r["variable"] for r in column_profile(self.train, self.num).collect() if r["is_binary"]]
@@ -249,13 +274,13 @@ def q_evaluate(spark, sf):
 @register("cross_validate")
 def q_cross_validate(spark, sf):
     sp = Split(spark, sf)
-    return EV.cross_validate(sp.models(REFIT), sp.fit)
+    return EV.cross_validate(sp.models(REFIT), sp.folds())
 
 
 @register("grid_search")
 def q_grid_search(spark, sf):
     sp = Split(spark, sf)
-    return EV.grid_search(sp.models(REFIT), sp.fit, grids={
+    return EV.grid_search(sp.models(REFIT), sp.folds(), grids={
         "logistic_regression": {"regParam": [1e-4, 1e-3, 1e-2]},
         "naive_bayes": {"smoothing": [0.5, 1.0]},
         "decision_tree": {"maxDepth": [4, 8, 12]}})
@@ -269,7 +294,7 @@ def q_permutation_importance(spark, sf):
 
 
 def _cv_importance(sp, name):
-    return EV.cv_permutation_importance(sp.models([name])[name], sp.fit, sp.feats)
+    return EV.cv_permutation_importance(sp.models([name])[name], sp.folds(), sp.feats)
 
 
 @register("cv_permutation_importance")

@@ -10,14 +10,16 @@ the inherent shape of the work.
 
 from __future__ import annotations
 
+import math
 import time
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -29,6 +31,8 @@ from revlens.plans import models as MD
 from revlens.session import cut_lineage
 
 TARGET = "satisfied"
+#: Rows that are permuted among themselves, on average.
+PERMUTED_ROWS = 2000
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -70,12 +74,12 @@ def evaluate(models: dict[str, Pipeline], train: DataFrame, test: DataFrame,
     return metrics_table(scored, ["model", "split"]), scored, fitted
 
 
-def cross_validate(models: dict[str, Pipeline], data: DataFrame, fold_col: str = "fold",
-                   k: int = 3, keep=("id",)) -> DataFrame:
-    """Mean and population std of balanced accuracy, F1 of class 1 and gini over folds."""
+def cross_validate(models: dict[str, Pipeline], folds: list[tuple[DataFrame, DataFrame]],
+                   keep=("id",)) -> DataFrame:
+    """Mean and population std of balanced accuracy, F1 of class 1 and gini over
+    ``folds``: (rows to fit on, held-out rows), all of the latter are scored."""
     scored = []
-    for f in range(k):
-        tr, va = data.where(F.col(fold_col) != f), data.where(F.col(fold_col) == f)
+    for f, (tr, va) in enumerate(folds):
         for name, pipe in models.items():
             scored.append(MD.score(pipe.fit(tr), va, name, list(keep)).withColumn("fold", F.lit(f)))
     per_fold = metrics_table(_union(scored), ["model", "fold"])
@@ -93,15 +97,13 @@ DEFAULT_GRIDS = {
 }
 
 
-def grid_search(models: dict[str, Pipeline], data: DataFrame, fold_col: str = "fold",
-                grids: dict | None = None, parallelism: int = 4) -> DataFrame:
-    """``CrossValidator`` on the whole pipeline (preprocessing inside each fold)
-    with the precomputed stratified ``fold`` column; returns the best setting
-    per model as (model, param, value, cv_auc)."""
+def grid_search(models: dict[str, Pipeline], folds: list[tuple[DataFrame, DataFrame]],
+                grids: dict | None = None, parallelism: int = 4, key: str = "id") -> DataFrame:
+    """Every setting of the whole pipeline (preprocessing inside each fold) is fitted
+    on the first part of each of ``folds`` and scored on all held-out rows; returns
+    the setting with the best mean AUC per model as (model, param, value, cv_auc)."""
     grids = grids or DEFAULT_GRIDS
     rows = []
-    # numBins=0: every distinct score is a threshold, so the area is exact
-    evaluator = BinaryClassificationEvaluator(labelCol=TARGET, metricName="areaUnderROC", numBins=0)
     for name, grid in grids.items():
         if name not in models:
             continue
@@ -111,13 +113,18 @@ def grid_search(models: dict[str, Pipeline], data: DataFrame, fold_col: str = "f
         for pname, values in grid.items():
             builder = builder.addGrid(est.getParam(pname), values)
         maps = builder.build()
-        cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=evaluator,
-                            foldCol=fold_col, parallelism=parallelism, seed=RANDOM_STATE)
-        res = cv.fit(data)
-        best = max(range(len(maps)), key=lambda i: res.avgMetrics[i])
+
+        def area(task, pipe=pipe, name=name):
+            params, (tr, va) = task
+            return M.roc_auc(MD.score(pipe.fit(tr, params), va, name, [key])).first()["auc"]
+
+        with ThreadPool(parallelism) as pool:
+            areas = pool.map(inheritable_thread_target(area), [(m, fold) for m in maps for fold in folds], 1)
+        means = [float(np.mean(areas[i * len(folds):(i + 1) * len(folds)])) for i in range(len(maps))]
+        best = max(range(len(maps)), key=lambda i: means[i])
         for p, v in maps[best].items():
-            rows.append((name, p.name, str(v), float(res.avgMetrics[best])))
-    return data.sparkSession.createDataFrame(
+            rows.append((name, p.name, str(v), means[best]))
+    return folds[0][0].sparkSession.createDataFrame(
         rows, "model string, param string, value string, cv_auc double")
 
 
@@ -129,11 +136,12 @@ def permuted_copies(data: DataFrame, features: list[str], repeats: int, key: str
                     seed: int = RANDOM_STATE) -> DataFrame:
     """One copy of ``data`` per (feature, repeat) with that feature's values permuted.
 
-    Rows are dealt to partitions by a seeded hash (one shuffle of the rows);
-    each Arrow batch of a partition is a random part of the rows and is
-    permuted within itself.  Copies are made in the task and flow straight
+    Rows are dealt by a seeded hash (one shuffle of the rows) to partitions of about
+    ``PERMUTED_ROWS`` rows, however many tasks the session would shuffle to; each
+    Arrow batch of a partition is a random part of the rows and is permuted within
+    itself.  Copies are made in the task and flow straight
     into the model, so nothing that grows with features x repeats is shuffled."""
-    n = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = max(1, math.ceil(data.count() / PERMUTED_ROWS))
     spread = data.repartition(n, F.xxhash64(F.col(key), F.lit(seed))).sortWithinPartitions(
         F.xxhash64(F.col(key), F.lit(seed)), key)
     names = data.columns
@@ -179,14 +187,11 @@ def permutation_importance(fitted: dict, data: DataFrame, features: list[str], r
     return table.limit(top) if top else table
 
 
-def cv_permutation_importance(pipe: Pipeline, data: DataFrame, features: list[str],
-                              fold_col: str = "fold", k: int = 3, repeats: int = 3,
-                              key: str = "id") -> DataFrame:
-    """Out-of-fold permutation importance (loss in AUC), mean over folds, all features."""
-    parts = []
-    for f in range(k):
-        tr, va = data.where(F.col(fold_col) != f), data.where(F.col(fold_col) == f)
-        parts.append(_auc_drops(pipe.fit(tr), va, features, repeats, key))
+def cv_permutation_importance(pipe: Pipeline, folds: list[tuple[DataFrame, DataFrame]],
+                              features: list[str], repeats: int = 3, key: str = "id") -> DataFrame:
+    """Out-of-fold permutation importance (loss in AUC), mean over ``folds`` (rows to
+    fit on, held-out rows), all features and all held-out rows."""
+    parts = [_auc_drops(pipe.fit(tr), va, features, repeats, key) for tr, va in folds]
     return (_union(parts).groupBy("feature").agg(F.round(F.avg("drop"), 6).alias("importance"))
             .orderBy(F.col("importance").desc(), "feature"))
 

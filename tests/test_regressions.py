@@ -128,3 +128,36 @@ def test_preprocessors_are_fitted_on_all_training_rows(spark, monkeypatch):
             assert abs(r["m"]) < 1e-6 and (abs(r["s"] - 1) < 1e-6 or r["s"] == 0)
     finally:
         MO.forget()
+
+
+def test_permutation_does_not_depend_on_the_partition_setting(spark):
+    from revlens.plans.evaluate import permuted_copies
+    df = spark.createDataFrame([(i, float(i)) for i in range(200)], "id long, a double")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        out = permuted_copies(df, ["a"], 1).toPandas()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(out["id"]) == list(range(200)) and (out["a"] != out["id"]).sum() > 150
+
+
+def test_folds_hold_out_every_training_row(spark, monkeypatch):
+    from revlens.catalog import modelling as MO
+    from revlens.plans import evaluate as EV
+    sf = "/root/testdata/sf0.001"
+    MO.forget()
+    monkeypatch.setattr(MO, "FIT_ROWS", 300)
+    scored = []
+    monkeypatch.setattr(EV, "metrics_table", lambda s, by: scored.append(s) or s.groupBy(*by).agg(
+        *[F.avg("score").alias(c) for c in ("balanced_accuracy", "f1_1", "gini")]))
+    try:
+        sp = MO.Split(spark, sf)
+        for fit, held in sp.folds():
+            assert fit.count() == 300 and fit.join(held, "id").count() == 0
+        out = EV.cross_validate(sp.models(["decision_tree"]), sp.folds()).collect()
+        assert len(out) == 1
+        ids = sorted(r["id"] for r in scored[0].select("id").collect())
+        assert ids == sorted(r["id"] for r in sp.train.select("id").collect()) and len(ids) > 300
+    finally:
+        MO.forget()
