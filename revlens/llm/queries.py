@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, exact_stream, mixing, near_omh, near_vectors, pii, quality, secrets, suffix_tree_lm, url_filter
+from revlens.llm import (bpe, divergence, exact_stream, hard_negatives, language_id, mixing, near_omh, near_vectors,
+                         pii, quality, secrets, suffix_tree_lm, url_filter)
 from revlens.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +143,82 @@ def op8_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = suffix_tree_lm.score(docs, model, spec)
     return scored.select("doc_id", (crc_mod() == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                          "base_score", "score")
+
+
+ORACLES["op11_triangle_negatives"] = """
+WITH v AS (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS whole
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         list_dot_product(a.whole, b.whole)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score
+  FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id))::INTEGER AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
+
+@query
+def op11_triangle_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turned = F.col("vec_id") % 7 == 0
+    label = F.when(turned, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label").cast("bigint"))
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"), anchor=F.col("vec_id") % 50 == 0, label=label)
+
+
+ORACLES["op12_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+         coalesce(source, '') AS source
+  FROM documents),
+w AS (
+  SELECT doc, lang, source, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT doc) >= 30),
+kl AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (
+  SELECT lang, source, any_value(coalesce(v, 0)) AS v, coalesce(sum(c.n), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN kl USING (lang) LEFT JOIN c USING (lang, source)
+  GROUP BY lang, source),
+p AS (
+  SELECT g.lang, g.source, k.term, c.n IS NOT NULL AS held,
+         1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 5) // (g.n + 5 * g.v) AS p,
+         1 + 1000000000::HUGEINT * (k.n + 5) // (kl.n + 5 * kl.v) AS q
+  FROM g JOIN kl USING (lang) JOIN k USING (lang)
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+f AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY a.lang, a.source, b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE held AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM f QUALIFY part = 'pair' OR rank <= 50"""
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod(modulus=4) == 2
+    prototypes = language_id.learn(docs.filter(~held_out).select("text", "lang"))
+    found = language_id.predict(docs.select("doc_id", "text"), prototypes)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
