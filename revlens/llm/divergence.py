@@ -75,17 +75,25 @@ def terms(text: bytes, limit: int):
 
 
 def term_counts(texts: DataFrame, spec: AuditSpec) -> DataFrame:
-    """lang, term, source, n: weighted occurrences in each source; where the source is
-    null, the documents of the lang that hold the term."""
+    """lang, term, sources, counts: weighted occurrences in each source; beside the null
+    source, the documents of the lang that hold the term.  A term may have several rows."""
     def run(batches):
         held: dict[tuple, Counter] = {}
 
         def passed_on():
-            for (lang, source), counts in held.items():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.string()),
-                     pa.array([source] * len(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-                    names=["lang", "term", "source", "n"])
+            for lang in {lang for lang, _ in held}:
+                mine = [(source, counts) for (other, source), counts in held.items() if other == lang]
+                flat = pa.table({
+                    "term": pa.array([t for _, counts in mine for t in counts], pa.string()),
+                    "sources": pa.chunked_array([pa.array([source] * len(counts), pa.string())
+                                                 for source, counts in mine]),
+                    "counts": pa.array([n for _, counts in mine for n in counts.values()], pa.int64())})
+                by_term = flat.group_by("term", use_threads=False).aggregate([("sources", "list"), ("counts", "list")])
+                for some in by_term.to_batches(max_chunksize=20_000):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * some.num_rows, pa.string()), some.column("term"),
+                         some.column("sources_list"), some.column("counts_list")],
+                        names=["lang", "term", "sources", "counts"])
             held.clear()
 
         size = 0
@@ -118,7 +126,22 @@ def term_counts(texts: DataFrame, spec: AuditSpec) -> DataFrame:
                         size = 0
         yield from passed_on()
 
-    return texts.select("lang", F.col("text").cast("binary"), "uses").mapInArrow(run, "lang string, term string, source string, n bigint")
+    return texts.select("lang", F.col("text").cast("binary"), "uses").mapInArrow(run, "lang string, term string, sources array<string>, "
+                                                                               "counts array<bigint>")
+
+
+def kept_terms(texts: DataFrame, spec: AuditSpec) -> DataFrame:
+    """lang, term, in_lang, each (array of source and n) of the terms in enough documents.
+    One shuffle by term serves all steps."""
+    found = (term_counts(texts, spec).repartition("lang", "term")
+             .select("lang", "term", F.explode(F.arrays_zip("sources", "counts")).alias("e"))
+             .select("lang", "term", F.col("e.sources").alias("source"), F.col("e.counts").alias("n")))
+    sums = found.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
+    own = F.col("source").isNotNull()
+    by_term = sums.groupBy("lang", "term").agg(
+        F.sum(F.when(~own, F.col("n"))).alias("docs"), F.sum(F.when(own, F.col("n"))).alias("in_lang"),
+        F.collect_list(F.when(own, F.struct("source", "n"))).alias("each"))
+    return by_term.filter(F.col("docs") >= spec.min_docs).select("lang", "term", "in_lang", "each")
 
 
 def share(count: Column, total: Column, kept: Column, spec: AuditSpec) -> Column:
@@ -135,14 +158,10 @@ def audit(documents: DataFrame, spec: AuditSpec = AuditSpec(), *, text_col: str
         return F.coalesce(F.col(c).cast("string"), F.lit(""))
     docs = documents.select(read(text_col).alias("text"), read(lang_col).alias("lang"),
                             read(source_col).alias("source"))
-    counts = materialize(term_counts(collapsed(docs), spec).groupBy("lang", "term", "source")
-                         .agg(F.sum("n").alias("n")), "term-counts")
-    kept = materialize(
-        counts.groupBy("lang", "term").agg(F.sum(F.when(F.col("source").isNull(), F.col("n"))).alias("docs"),
-                                           F.sum(F.when(F.col("source").isNotNull(), F.col("n"))).alias("in_lang"))
-        .filter(F.col("docs") >= spec.min_docs).withColumn("term_id", F.monotonically_increasing_id()), "kept-terms")
-    cells = materialize(counts.filter("source is not null").join(kept, ["lang", "term"])
-                        .select("lang", "source", "term", "term_id", "n", "in_lang"), "kept-counts")
+    kept = materialize(kept_terms(collapsed(docs), spec).withColumn("term_id", F.monotonically_increasing_id()),
+                       "kept-terms")
+    cells = kept.select("lang", "term", "term_id", "in_lang", F.explode("each").alias("e")).select(
+        "lang", "e.source", "term", "term_id", "e.n", "in_lang")
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("in_lang").alias("lang_n"))
     sums = cells.groupBy("lang", "source").agg(F.sum("n").alias("group_n"), F.count(F.lit(1)).alias("held"))
     zero = F.lit(0).cast("bigint")
@@ -152,7 +171,7 @@ def audit(documents: DataFrame, spec: AuditSpec = AuditSpec(), *, text_col: str
                                .otherwise(zero))
     groups = materialize(groups.withColumn("place", F.row_number().over(
         Window.partitionBy("lang").orderBy("source")) - 1), "source-groups")
-    total = cells.count()
+    total = groups.agg(F.sum("held")).first()[0] or 0
     given = join_by_key(cells, groups.withColumnRenamed("held", "rows"), ["lang", "source"], "rows", total)
     given = materialize(given.select("lang", "source", "place", "term", "term_id", "in_lang", "lang_n", "v", "p0",
                                      share(F.col("n"), F.col("group_n"), F.col("v"), spec).alias("p")),
