@@ -5,15 +5,15 @@ a rotation (orthogonal, from the seed) a vector is split into ``blocks`` blocks
 of coordinates, and the budget is split in proportion to the blocks' sizes: a
 linked pair is within the budget of at least one block.  Each block is
 range-joined by itself: vectors are dealt to slabs of the block's leading
-coordinate and copied to every slab that their range touches, so a vector meets
-all its block neighbours in its home slab.  Candidates are verified with the
+coordinate and copied to every lower slab that their range touches, so two block
+neighbours meet in the lower of their home slabs.  Candidates are verified with the
 cosine of the original values in double precision.
 
-A pair counts in the first block whose budget it meets and once for each of its
-ends, in that end's home slab, so no pair is emitted or counted twice: a task
-returns numbers of links per vector and a spanning forest of its links.  Equal
-vectors are collapsed first (with their number); slabs of more than
-``part_rows`` vectors are split and verified as pairs of parts, in tiles.
+A pair is computed once: in the first block whose budget it meets, in the lower home
+slab, for both of its ends.  A task returns numbers of links per vector and a
+spanning forest of its links.  Equal vectors are collapsed first (with their
+number); slabs of more than ``part_rows`` vectors are split and verified as pairs of
+parts, in tiles.
 
 Defined results: vectors that are null, empty or zero or hold null or non-finite
 components link with nothing; vectors of different length never link; equal
@@ -74,7 +74,7 @@ def usable(embedding):
 
 
 def deal(vectors: DataFrame, kind: str, spec: SubspaceSpec) -> DataFrame:
-    """Each vector's home slab and the other slabs in its range, for each block."""
+    """Each vector's home slab and the lower slabs in its range, for each block."""
     def run(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
@@ -100,9 +100,8 @@ def _dealt(node, copies, raw, dim, spec) -> pa.RecordBatch:
         reach = np.sqrt(budget) + 1e-6
         own = np.floor(place[:, start] / spec.slab).astype(int)
         low = np.floor((place[:, start] - reach) / spec.slab).astype(int)
-        high = np.floor((place[:, start] + reach) / spec.slab).astype(int)
-        for step in range(int((high - low).max()) + 1):
-            at = np.flatnonzero(low + step <= high)
+        for step in range(int((own - low).max()) + 1):
+            at = np.flatnonzero(low + step <= own)
             block.append(np.full(len(at), b))
             slab.append(low[at] + step)
             home.append(low[at] + step == own[at])
@@ -140,38 +139,51 @@ class Labels:
             self.label = jump[self.label]
 
 
+def _meetings(home: np.ndarray, side: np.ndarray, within: bool):
+    """(rows, rows they meet, whether each meets only those after it): homes meet homes and
+    visitors, of the same part or of the other one; visitors don't meet each other."""
+    mine, visit = np.flatnonzero(home & ~side), np.flatnonzero(~home & ~side)
+    if within:
+        yield mine, np.concatenate([mine, visit]), True
+    else:
+        yield mine, np.flatnonzero(side), False
+        yield visit, np.flatnonzero(home & side), False
+
+
 def _join_parts(kind: str, spec: SubspaceSpec):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         dim, block = key[0].as_py(), key[1].as_py()
         node = table.column("node").to_numpy()
         copies = table.column("copies").to_numpy()
-        role = table.column("role").to_numpy()
+        home, side = (table.column(c).to_numpy() for c in ("home", "side"))
         raw = np.frombuffer(b"".join(table.column("vector").to_pylist()), kind).reshape(len(node), dim).astype(float)
         norm = np.linalg.norm(raw, axis=1)
         place = turned(raw, spec)
         bounds = block_bounds(dim, spec)
         start, stop, budget = bounds[block]
-        mine, theirs = np.flatnonzero(role != 0), np.flatnonzero(role != 1)
         links, forest = np.zeros(len(node), np.int64), Labels(len(node))
         sub = place[:, start:stop].astype(np.float32)
         half = (sub * sub).sum(axis=1, keepdims=True) / 2
         one = np.ones_like(half)
         # the product of a row of ``near`` and one of ``far`` is minus half their squared distance
-        near, far = np.hstack([sub, one, half]), np.hstack([sub, -half, -one])[theirs].T
-        for at in range(0, len(mine), spec.tile_rows):
-            tile = mine[at:at + spec.tile_rows]
-            h, a = np.nonzero(near[tile] @ far >= -(budget + 1e-4) / 2)
-            for cut in range(0, len(h), 200_000):
-                left, right = tile[h[cut:cut + 200_000]], theirs[a[cut:cut + 200_000]]
-                other = node[left] != node[right]
-                left, right = left[other], right[other]
-                ok = _first_block(place, left, right, block, bounds)
-                left, right = left[ok], right[ok]
-                cosine = np.einsum("ij,ij->i", raw[left], raw[right]) / (norm[left] * norm[right])
-                linked = cosine >= spec.cosine
-                left, right = left[linked], right[linked]
-                np.add.at(links, left, copies[right])
-                forest.add(left, right)
+        near, far = np.hstack([sub, one, half]), np.hstack([sub, -half, -one])
+        for mine, theirs, after in _meetings(home, side, key[3] == key[4]):
+            met = far[theirs].T
+            for at in range(0, len(mine), spec.tile_rows):
+                tile, skip = mine[at:at + spec.tile_rows], at if after else 0
+                h, a = np.nonzero(near[tile] @ met[:, skip:] >= -(budget + 1e-4) / 2)
+                if after:
+                    h, a = h[a > h], a[a > h]
+                for cut in range(0, len(h), 200_000):
+                    left, right = tile[h[cut:cut + 200_000]], theirs[skip + a[cut:cut + 200_000]]
+                    ok = _first_block(place, left, right, block, bounds)
+                    left, right = left[ok], right[ok]
+                    cosine = np.einsum("ij,ij->i", raw[left], raw[right]) / (norm[left] * norm[right])
+                    linked = cosine >= spec.cosine
+                    left, right = left[linked], right[linked]
+                    np.add.at(links, left, copies[right])
+                    np.add.at(links, right, copies[left])
+                    forest.add(left, right)
         some = np.flatnonzero(links)
         none = [None] * len(some)
         tied = np.array(forest.ties, np.int64).reshape(-1, 2)
@@ -193,28 +205,17 @@ def _first_block(place, left, right, block, bounds) -> np.ndarray:
 
 
 def paired_parts(dealt: DataFrame, spec: SubspaceSpec) -> DataFrame:
-    """Rows with the pair of parts (p, q) they are needed in; role 1: an end whose links
-    are counted, 0: met by those, 2: both."""
+    """Rows with the pairs of parts (p <= q) of their slab that they are needed in; ``side``
+    tells those of part q from those of part p."""
     cell = ["dim", "block", "slab"]
     sizes = dealt.groupBy(*cell).agg(F.count_if("home").alias("n_home"), F.count(F.lit(1)).alias("n"))
     parts = (sizes.filter("n_home > 0 and n > 1")
-             .select(*cell, F.ceil(F.col("n_home") / spec.part_rows).cast("int").alias("homes"),
-                     F.ceil(F.col("n") / spec.part_rows).cast("int").alias("alls")))
-    hashed = F.xxhash64("node")
-    whole = (F.col("homes") == 1) & (F.col("alls") == 1)
-    own_p = F.pmod(hashed, F.col("homes")).cast("int")
-    own_q = F.pmod(hashed, F.col("alls")).cast("int")
-
-    def row(p, q, role):
-        return F.struct(p.cast("int").alias("p"), q.cast("int").alias("q"), F.lit(role).alias("role"))
-
-    zero = F.lit(0)
-    met = F.transform(F.sequence(zero, F.col("homes") - 1), lambda p: row(p, own_q, 0))
-    counted = F.transform(F.sequence(zero, F.col("alls") - 1), lambda q: row(own_p, q, 1))
-    use = (F.when(whole & F.col("home"), F.array(row(zero, zero, 2)))
-           .when(F.col("home"), F.concat(counted, met)).otherwise(met))
-    return (dealt.join(parts, cell).withColumn("use", F.explode(use))
-            .select(*cell, "use.p", "use.q", "use.role", "node", "copies", "vector"))
+             .select(*cell, F.ceil(F.col("n") / spec.part_rows).cast("int").alias("parts")))
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(
+        F.least(o, own).alias("p"), F.greatest(o, own).alias("q"), (o < own).alias("side")))
+    return (dealt.join(parts, cell).withColumn("meet", F.explode(meets))
+            .select(*cell, "meet.p", "meet.q", "meet.side", "home", "node", "copies", "vector"))
 
 
 def links(vectors: DataFrame, spec: SubspaceSpec = SubspaceSpec(), *, id_col: str = "vec_id",

@@ -49,7 +49,8 @@ def clustered(seed, dim=64, groups=30, size=6):
     return [np.float32(v) for v in out]
 
 
-@pytest.mark.parametrize("spec", [SubspaceSpec(), SubspaceSpec(blocks=8, slab=0.1, part_rows=16, tile_rows=5)])
+@pytest.mark.parametrize("spec", [SubspaceSpec(), SubspaceSpec(blocks=8, slab=0.1, part_rows=16, tile_rows=5),
+                                  SubspaceSpec(part_rows=2, tile_rows=3)])
 def test_against_all_pairs(spark, spec):
     data = as_rows(clustered(3)) + as_rows([clustered(3)[0]] * 5, 500)
     data.append((700, [float(2 * x) for x in clustered(3)[7]], 0, "x", "x"))  # a multiple links too
