@@ -28,6 +28,7 @@ from revlens.plans import dataset as D
 from revlens.plans import evaluate as EV
 from revlens.plans import modeldata as MDS
 from revlens.plans import models as MD
+from revlens.plans import search as SE
 from revlens.session import materialize
 from revlens.sources.tables import Tables
 
@@ -75,6 +76,8 @@ def forget() -> None:
     """Split the rows anew when they are next needed."""
     _split_cached.cache_clear()
     _folds_cached.cache_clear()
+    _matrices.cache_clear()
+    _searched.cache_clear()
 
 
 class Split:
@@ -260,36 +263,48 @@ def q_model_knn(spark, sf):
 
 # --- evaluation plans -------------------------------------------------------------------
 
-#: Models of the refit-heavy plans (folds, grids, permutations); ``build_models``
-#: and ``evaluate`` fit all nine.
-REFIT = ["logistic_regression", "decision_tree", "naive_bayes"]
-
-
 @register("evaluate")
 def q_evaluate(spark, sf):
     sp = Split(spark, sf)
     return EV.evaluate(sp.models(), sp.fit, sp.test)[0]
 
 
+@lru_cache(maxsize=4)
+def _matrices(spark, sf):
+    sp = Split(spark, sf)
+    return SE.Matrices(sp.folds(), sp.num, sp.cat, sp.binary())
+
+
 @register("cross_validate")
 def q_cross_validate(spark, sf):
-    sp = Split(spark, sf)
-    return EV.cross_validate(sp.models(REFIT), sp.folds())
+    return SE.cross_validate(_matrices(spark, sf))
+
+
+#: The searches by cost; each runs as a job of its own, and ``grid_search`` is all of them.
+SEARCHES = {"linear": ["logistic_regression", "svm_linear", "knn", "naive_bayes", "neural_net"],
+            "trees": ["decision_tree", "bagging"], "forest": ["random_forest"],
+            "boosting": ["hist_gradient_boosting"]}
+
+
+@lru_cache(maxsize=16)
+def _searched(spark, sf, which):
+    """One row per setting; kept, so that ``grid_search`` doesn't search a part twice."""
+    return SE.grid_search(_matrices(spark, sf), {n: SE.GRIDS[n] for n in SEARCHES[which]})
+
+
+for _which in SEARCHES:
+    register(f"grid_search_{_which}")(lambda spark, sf, which=_which: _searched(spark, sf, which))
 
 
 @register("grid_search")
 def q_grid_search(spark, sf):
-    sp = Split(spark, sf)
-    return EV.grid_search(sp.models(REFIT), sp.folds(), grids={
-        "logistic_regression": {"regParam": [1e-4, 1e-3, 1e-2]},
-        "naive_bayes": {"smoothing": [0.5, 1.0]},
-        "decision_tree": {"maxDepth": [4, 8, 12]}})
+    return EV._union([_searched(spark, sf, which) for which in SEARCHES])
 
 
 @register("permutation_importance")
 def q_permutation_importance(spark, sf):
     sp = Split(spark, sf)
-    fitted, _ = EV.fit_all(sp.models(REFIT), sp.fit)
+    fitted, _ = EV.fit_all(sp.models(), sp.fit)
     return EV.permutation_importance(fitted, sp.test, sp.feats)
 
 

@@ -1,12 +1,18 @@
 """Exact k-nearest-neighbour scoring (Euclidean), score = positive share.
 
-Training rows are dealt to chunks and queries to blocks (by hash, of bounded
-size); each (block, chunk) pair is one task that computes its distances with
-one matrix product and returns the k nearest training rows per query.  Those
-are merged in two levels (groups of chunks, then all), so a query never holds
-more than a bounded number of candidates in one place and nothing passes
-through the driver.  Distances that decide are recomputed from the
-differences, and equal distances are broken by ``tid``.
+Training rows belong to the cell of their nearest pivot (pivots are training rows:
+a bounded sample with the least hashes); a cell has a number of rows and a radius.
+A query first visits the nearest cells that hold k rows, which bounds its k-th
+distance.  By the triangle inequality no row of a cell is nearer than the
+distance to its pivot less its radius, so in a second pass the query visits just the
+other cells whose bound lies within its k-th distance; queries without such
+cells are done.  Cells larger than ``chunk_rows`` are split, and so are a cell's
+visitors beyond ``block_rows``: a task computes the distances of one block to one
+chunk with a matrix product and returns the k nearest rows per query.  Candidates are
+merged in two levels, so a query never holds more than a bounded number of them in one
+place and nothing but the pivots and the cells' sizes passes through the driver.
+Distances that decide are recomputed from the differences, and equal distances
+are broken by ``tid``.  Training rows that fit one chunk are one cell, searched once.
 """
 
 from __future__ import annotations
@@ -17,14 +23,19 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from revlens.session import materialize
+
 #: Chunks whose candidates are merged at once in the first level.
 MERGE_WAYS = 32
+#: Rows a pivot has on average, and how many pivots there are at most.
+PIVOT_ROWS, MAX_PIVOTS = 8192, 1024
 
 
 def _nearest(k: int):
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or rows.empty:
             return pd.DataFrame({c: [] for c in ("qid", "chunk", "d2", "tid", "label")})
+        chunk = rows["cell"].iloc[0] * 65_537 + rows["part"].iloc[0]
         q = np.stack(queries["vec"].to_numpy()).astype(float)
         t = np.stack(rows["vec"].to_numpy()).astype(float)
         tids, labels = rows["tid"].to_numpy(), rows["label"].to_numpy()
@@ -45,41 +56,180 @@ def _nearest(k: int):
             place = np.arange(len(i)) - np.searchsorted(i, i)
             best = place < k
             found.append(pd.DataFrame({"qid": queries["qid"].to_numpy()[at + i[best]],
-                                       "chunk": rows["chunk"].iloc[0], "d2": exact[best],
+                                       "chunk": chunk, "d2": exact[best],
                                        "tid": tids[j[best]], "label": labels[j[best]]}))
         return pd.concat(found)
     return run
 
 
-def knn_scores(train: DataFrame, query: DataFrame, k: int = 25, block_rows: int = 4096,
-               chunk_rows: int = 65_536) -> DataFrame:
-    """``train``: (tid, vec array<double>, label 0/1); ``query``: (qid, vec).
-    Returns (qid, score) with score = mean label of the k nearest training
-    rows (distance ties broken by tid); no training rows, no result rows."""
-    blocks = max(1, -(-query.count() // block_rows))
-    chunks = max(1, -(-train.count() // chunk_rows))
-
-    def every(n):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    q = (query.select("qid", F.col("vec").cast("array<double>").alias("vec"),
-                      F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int").alias("block"))
-         .withColumn("chunk", every(chunks)))
-    t = (train.select("tid", F.col("vec").cast("array<double>").alias("vec"),
-                      F.col("label").cast("double").alias("label"),
-                      F.pmod(F.xxhash64("tid"), F.lit(chunks)).cast("int").alias("chunk"))
-         .withColumn("block", every(blocks)))
-    near = q.groupBy("block", "chunk").cogroup(t.groupBy("block", "chunk")).applyInPandas(
-        _nearest(k), "qid long, chunk int, d2 double, tid long, label double")
+class Cells:
+    """Pivots with the number of rows, the radius and the number of parts of their cells."""
+
+    def __init__(self, pivots: np.ndarray):
+        self.pivots = pivots
+        self.n = self.radius = self.parts = np.zeros(0)
+
+    def distances(self, vectors: np.ndarray) -> np.ndarray:
+        size = (vectors ** 2).sum(axis=1)[:, None] + (self.pivots ** 2).sum(axis=1)[None, :]
+        return np.sqrt(np.maximum(size - 2.0 * vectors @ self.pivots.T, 0))
+
+    def margin(self, vectors: np.ndarray) -> float:
+        """More than rounding can add to a distance."""
+        return 1e-6 * (1 + np.sqrt((vectors ** 2).sum(axis=1).max(initial=0) + (self.pivots ** 2).sum(axis=1).max(initial=0)))
+
+    def nearest(self, away: np.ndarray, k: int) -> np.ndarray:
+        """Which cells hold the first k rows, by distance to their pivots."""
+        order = np.argsort(away, axis=1, kind="stable")
+        before = np.cumsum(self.n[order], axis=1) - self.n[order]
+        first = np.zeros_like(away, dtype=bool)
+        np.put_along_axis(first, order, before < k, axis=1)
+        return first & (self.n > 0)
+
+
+def _assign(cells: Cells):
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                away = cells.distances(np.stack(pdf["vec"].to_numpy()).astype(float))
+                cell = away.argmin(axis=1)
+                yield pdf.assign(cell=cell, away=away[np.arange(len(cell)), cell])
+    return run
+
+
+def _visits(cells: Cells, k: int):
+    """Rows (query, cell, part): the first cells, or, given the k-th distance so far, the others
+    that may hold nearer rows."""
+    def run(batches):
+        for pdf in batches:
+            for at in range(0, len(pdf), 4096):
+                some = pdf.iloc[at:at + 4096]
+                x = np.stack(some["vec"].to_numpy()).astype(float)
+                away = cells.distances(x)
+                use = cells.nearest(away, k)
+                if "kth" in some:
+                    reach = some["kth"].to_numpy()[:, None] + cells.margin(x)
+                    use = ~use & (cells.n > 0) & (away - cells.radius <= reach)
+                q, c = np.nonzero(use)
+                parts = cells.parts[c].astype(int)
+                rows = np.repeat(q, parts)
+                part = np.arange(len(rows)) - np.repeat(np.cumsum(parts) - parts, parts)
+                yield pd.DataFrame({"qid": some["qid"].to_numpy()[rows], "vec": some["vec"].to_numpy()[rows],
+                                    "cell": np.repeat(c, parts), "part": part})
+    return run
+
+
+def _search(visits: DataFrame, rows: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """(qid, chunk, d2, tid, label): the k nearest rows of each visited part."""
+    sizes = visits.groupBy("cell", "part").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))
+    copies = sizes.select(*[F.col(c).alias(c) for c in ("cell", "part")], F.col("blocks").alias("copies"))
+    here = rows.join(copies, ["cell", "part"]).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    asked = visits.join(sizes, ["cell", "part"]).withColumn(
+        "block", F.pmod(F.xxhash64("qid"), F.col("blocks")).cast("int"))
+    keys = ["cell", "part", "block"]
+    return asked.groupBy(*keys).cogroup(here.groupBy(*keys)).applyInPandas(
+        _nearest(k), "qid long, chunk long, d2 double, tid long, label double")
 
+
+def _merged(near: DataFrame, k: int) -> DataFrame:
+    """(qid, nn): the k nearest of all candidates, merged in two levels."""
     def nearest(items):
         return F.slice(F.array_sort(items), 1, k)
 
-    some = near.groupBy("qid", F.floor(F.col("chunk") / MERGE_WAYS).alias("part")).agg(
+    some = near.groupBy("qid", F.pmod(F.xxhash64("chunk"), F.lit(MERGE_WAYS)).alias("part")).agg(
         nearest(F.collect_list(F.struct("d2", "tid", "label"))).alias("nn"))
-    best = some.groupBy("qid").agg(nearest(F.flatten(F.collect_list("nn"))).alias("nn"))
-    total = F.aggregate("nn", F.lit(0.0), lambda acc, x: acc + x["label"])
-    return best.select("qid", (total / F.size("nn")).alias("score"))
+    return some.groupBy("qid").agg(nearest(F.flatten(F.collect_list("nn"))).alias("nn"))
+
+
+class Search:
+    """The visits and neighbours of a k-nearest-neighbour search."""
+
+    def __init__(self, train: DataFrame, query: DataFrame, k: int, block_rows: int, chunk_rows: int,
+                 pivots: int | None):
+        t = train.select("tid", F.col("vec").cast("array<double>").alias("vec"),
+                         F.col("label").cast("double").alias("label"))
+        self.n, self.k = t.count(), k
+        if not self.n:
+            return
+        p = pivots or min(MAX_PIVOTS, -(-self.n // PIVOT_ROWS) if self.n > chunk_rows else 1)
+        found = t.orderBy(F.xxhash64("tid"), "tid").limit(max(p, 1)).select("vec").collect()
+        self.cells = Cells(np.unique(np.array([r["vec"] for r in found], float).reshape(len(found), -1), axis=0))
+        rows = materialize(t.mapInPandas(_assign(self.cells), "tid long, vec array<double>, label double, "
+                                                              "cell int, away double"), "knn-cells")
+        stats = {r["cell"]: r for r in rows.groupBy("cell").agg(      # one row per pivot
+            F.count(F.lit(1)).alias("n"), F.max("away").alias("radius")).collect()}
+        each = range(len(self.cells.pivots))
+        self.cells.n = np.array([stats[c]["n"] if c in stats else 0 for c in each])
+        self.cells.radius = np.array([stats[c]["radius"] if c in stats else 0.0 for c in each])
+        self.cells.parts = -(-self.cells.n // chunk_rows)
+        parts = F.array(*[F.lit(int(max(x, 1))) for x in self.cells.parts])
+        self.rows = rows.withColumn("part", F.pmod(F.xxhash64("tid"), F.element_at(parts, F.col("cell") + 1)).cast("int"))
+        self.query = query.select("qid", F.col("vec").cast("array<double>").alias("vec"))
+        self.block_rows = block_rows
+
+    def neighbours(self) -> DataFrame:
+        """(qid, nn): arrays of (d2, tid, label) in order of distance and tid."""
+        schema = "qid long, vec array<double>, cell int, part int"
+        self.first = materialize(self.query.mapInPandas(_visits(self.cells, self.k), schema), "knn-visits")
+        near = materialize(_merged(_search(self.first, self.rows, self.k, self.block_rows), self.k), "knn-near")
+        kth = near.select("qid", F.sqrt(F.element_at("nn", -1)["d2"]).alias("kth"))
+        self.second = materialize(self.query.join(kth, "qid").mapInPandas(_visits(self.cells, self.k), schema),
+                                  "knn-visits")
+        more = _merged(_search(self.second, self.rows, self.k, self.block_rows), self.k)
+        both = near.unionByName(more).groupBy("qid").agg(F.flatten(F.collect_list("nn")).alias("nn"))
+        return both.select("qid", F.slice(F.array_sort("nn"), 1, self.k).alias("nn"))
+
+    def distances(self) -> int:
+        """Distances that :meth:`neighbours` computed."""
+        sizes = self.rows.groupBy("cell", "part").agg(F.count(F.lit(1)).alias("n"))
+        visits = self.first.select("cell", "part").unionByName(self.second.select("cell", "part"))
+        return visits.join(sizes, ["cell", "part"]).agg(F.sum("n")).first()[0] or 0
+
+    def scores_of_one_cell(self, ks: list[int]) -> DataFrame:
+        """(qid, k, score) where all rows are in one chunk: no candidates need merging."""
+        search = _nearest(max(ks))
+
+        def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+            out = []
+            tile = max(1, 2_000_000 // max(len(rows), 1))       # neighbours held at once
+            for at in range(0, len(queries), tile):
+                near = search(queries.iloc[at:at + tile], rows)
+                place = near.groupby("qid", sort=False).cumcount()
+                out += [near[place < k].groupby("qid", sort=False)["label"].mean().rename("score").reset_index()
+                        .assign(k=k) for k in ks]
+            return pd.concat(out)[["qid", "k", "score"]]
+
+        visits = self.query.withColumns({"cell": F.lit(0), "part": F.lit(0)})
+        sizes = max(1, -(-self.query.count() // self.block_rows))
+        asked = visits.withColumn("block", F.pmod(F.xxhash64("qid"), F.lit(sizes)).cast("int"))
+        here = self.rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(sizes - 1))))
+        return asked.groupBy("block").cogroup(here.groupBy("block")).applyInPandas(
+            run, "qid long, k int, score double")
+
+
+def knn_scores(train: DataFrame, query: DataFrame, k: int | list[int] = 25, block_rows: int = 4096,
+               chunk_rows: int = 65_536, pivots: int | None = None) -> DataFrame:
+    """``train``: (tid, vec array<double>, label 0/1); ``query``: (qid, vec).
+    Returns (qid, score) with score = mean label of the k nearest training
+    rows (distance ties broken by tid), or (qid, k, score) for a list of numbers of
+    neighbours; no training rows, no result rows."""
+    ks = [k] if isinstance(k, int) else list(k)
+    search = Search(train, query, max(ks), block_rows, chunk_rows, pivots)
+    if not search.n:
+        return query.sparkSession.createDataFrame([], "qid long, score double" if isinstance(k, int)
+                                                  else "qid long, k int, score double")
+    if search.cells.parts.sum() == 1:
+        out = search.scores_of_one_cell(ks)
+    else:
+        found = search.neighbours()
+
+        def mean(n):
+            some = F.slice("nn", 1, n)
+            return F.aggregate(some, F.lit(0.0), lambda acc, x: acc + x["label"]) / F.size(some)
+
+        out = found.select("qid", F.explode(F.array(*[F.struct(F.lit(n).alias("k"), mean(n).alias("score"))
+                                                      for n in ks])).alias("s")).select("qid", "s.k", "s.score")
+    return out.select("qid", "score") if isinstance(k, int) else out
 
 
 class KNNModel(Model):
@@ -113,7 +263,6 @@ class KNNClassifier(Estimator):
         self.label_col, self.block_rows = labelCol, blockRows
 
     def _fit(self, df: DataFrame) -> KNNModel:
-        from revlens.session import materialize
         train = materialize(df.select(F.col(self.id_col).alias("tid"),
                                       vector_to_array(self.features_col).alias("vec"),
                                       F.col(self.label_col).alias("label")), "knn-train")

@@ -13,13 +13,10 @@ from __future__ import annotations
 import math
 import time
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
-from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -74,15 +71,9 @@ def evaluate(models: dict[str, Pipeline], train: DataFrame, test: DataFrame,
     return metrics_table(scored, ["model", "split"]), scored, fitted
 
 
-def cross_validate(models: dict[str, Pipeline], folds: list[tuple[DataFrame, DataFrame]],
-                   keep=("id",)) -> DataFrame:
-    """Mean and population std of balanced accuracy, F1 of class 1 and gini over
-    ``folds``: (rows to fit on, held-out rows), all of the latter are scored."""
-    scored = []
-    for f, (tr, va) in enumerate(folds):
-        for name, pipe in models.items():
-            scored.append(MD.score(pipe.fit(tr), va, name, list(keep)).withColumn("fold", F.lit(f)))
-    per_fold = metrics_table(_union(scored), ["model", "fold"])
+def cv_summary(scored: DataFrame) -> DataFrame:
+    """Mean and population std over the folds, per model, of a long table of held-out scores."""
+    per_fold = metrics_table(scored, ["model", "fold"])
     aggs = []
     for c, name in (("balanced_accuracy", "balanced_accuracy"), ("f1_1", "f1"), ("gini", "gini")):
         aggs += [F.round(F.avg(c), 6).alias(f"{name}_mean"),
@@ -90,42 +81,12 @@ def cross_validate(models: dict[str, Pipeline], folds: list[tuple[DataFrame, Dat
     return per_fold.groupBy("model").agg(*aggs)
 
 
-DEFAULT_GRIDS = {
-    "logistic_regression": {"regParam": [1e-4, 1e-3, 1e-2]},
-    "decision_tree": {"maxDepth": [6, 12], "minInstancesPerNode": [20, 50]},
-    "random_forest": {"maxDepth": [8, 16], "numTrees": [50]},
-}
-
-
-def grid_search(models: dict[str, Pipeline], folds: list[tuple[DataFrame, DataFrame]],
-                grids: dict | None = None, parallelism: int = 4, key: str = "id") -> DataFrame:
-    """Every setting of the whole pipeline (preprocessing inside each fold) is fitted
-    on the first part of each of ``folds`` and scored on all held-out rows; returns
-    the setting with the best mean AUC per model as (model, param, value, cv_auc)."""
-    grids = grids or DEFAULT_GRIDS
-    rows = []
-    for name, grid in grids.items():
-        if name not in models:
-            continue
-        pipe = models[name]
-        est = pipe.getStages()[-1]
-        builder = ParamGridBuilder()
-        for pname, values in grid.items():
-            builder = builder.addGrid(est.getParam(pname), values)
-        maps = builder.build()
-
-        def area(task, pipe=pipe, name=name):
-            params, (tr, va) = task
-            return M.roc_auc(MD.score(pipe.fit(tr, params), va, name, [key])).first()["auc"]
-
-        with ThreadPool(parallelism) as pool:
-            areas = pool.map(inheritable_thread_target(area), [(m, fold) for m in maps for fold in folds], 1)
-        means = [float(np.mean(areas[i * len(folds):(i + 1) * len(folds)])) for i in range(len(maps))]
-        best = max(range(len(maps)), key=lambda i: means[i])
-        for p, v in maps[best].items():
-            rows.append((name, p.name, str(v), means[best]))
-    return folds[0][0].sparkSession.createDataFrame(
-        rows, "model string, param string, value string, cv_auc double")
+def cross_validate(models: dict[str, Pipeline], folds: list[tuple[DataFrame, DataFrame]],
+                   keep=("id",)) -> DataFrame:
+    """:func:`cv_summary` of whole pipelines over ``folds``: (rows to fit on, held-out rows).
+    :mod:`revlens.plans.search` does the same on shared feature matrices."""
+    return cv_summary(_union([MD.score(pipe.fit(tr), va, name, list(keep)).withColumn("fold", F.lit(f))
+                              for f, (tr, va) in enumerate(folds) for name, pipe in models.items()]))
 
 
 # ---------------------------------------------------------------------------

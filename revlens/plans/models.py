@@ -7,18 +7,17 @@ Mapping to Spark ML (differences are documented, not hidden):
 
 * logistic regression: ``LogisticRegression`` with ``regParam = 1 / (C * sum(w))``
   and no internal standardisation (the pipeline already scales);
-* linear SVM: ``LinearSVC`` (hinge loss; the analysed workload uses the squared
-  hinge, so scores differ);
+* linear SVM: :class:`revlens.plans.estimators.SquaredHingeSVC`;
 * naive Bayes: ``NaiveBayes(modelType='bernoulli')`` over quantile-bin
   indicators (Spark also smooths the class prior);
-* neural network: ``MultilayerPerceptronClassifier`` (sigmoid hidden layer,
-  L-BFGS, no early stopping);
+* neural network: :class:`revlens.plans.estimators.NeuralNet` (relu, L2, Adam,
+  stopped by the loss of a held-out tenth);
 * decision tree / random forest: the Spark trees with the same depth and
-  leaf-size caps; bagging = a forest with ``featureSubsetStrategy='all'``;
-* gradient boosting: ``GBTClassifier`` (depth-capped trees instead of a leaf
-  cap, no native NULL handling: median-imputed inputs); a tenth of the training
-  rows (by a hash of the id) stops it early;
-* bagging has no share of features per tree: Spark samples features per split;
+  leaf-size caps; bagging = a forest with ``featureSubsetStrategy='all'``, or
+  :class:`revlens.plans.estimators.SlicedBagging` for a share of the features per tree;
+* gradient boosting: ``GBTClassifier`` (a depth cap that allows as many leaves instead
+  of a leaf cap, no L2, no native NULL handling: median-imputed inputs); a tenth
+  of the training rows (by a hash of the id) stops it early;
 * k-nearest neighbours: :class:`revlens.operators.knn.KNNClassifier`, a
   pipeline stage around the exact distributed job
   :func:`revlens.operators.knn.knn_scores` (on the scaled preprocessor's vectors).
@@ -30,14 +29,15 @@ Balanced class weights (n / (2 n_class)) are a column used through
 from __future__ import annotations
 
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
-                                       LogisticRegression, MultilayerPerceptronClassifier,
+from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        NaiveBayes, RandomForestClassifier)
 from pyspark.ml.feature import (Imputer, OneHotEncoder, QuantileDiscretizer, SQLTransformer,
                                 StandardScaler, StringIndexer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from revlens.plans.estimators import NeuralNet, SlicedBagging, SquaredHingeSVC
+
 SEED = 42
 UNKNOWN = "Unknown"
 INFREQUENT = "__infrequent__"
@@ -194,77 +194,78 @@ def binned_preprocessor(num: list[str], binary: list[str], cat: list[str], n_bin
     return stages
 
 
-def feature_width(stages: list, train: DataFrame) -> int:
-    fitted = Pipeline(stages=stages).fit(train)
-    return len(fitted.transform(train.limit(1)).first()["features"])
+#: Preprocessor of each model.
+FAMILY = {"naive_bayes": "binned", "decision_tree": "ordinal", "bagging": "ordinal", "random_forest": "ordinal",
+          "hist_gradient_boosting": "ordinal"}
+
+
+def preprocessor(name: str, num: list[str], cat: list[str], binary: list[str] = (), n_bins: int = 10) -> list:
+    """The preprocessing stages of model ``name``."""
+    family = FAMILY.get(name, "scaled")
+    if family == "binned":
+        return binned_preprocessor(num, list(binary), cat, n_bins)
+    return ordinal_preprocessor(num, cat) if family == "ordinal" else scaled_preprocessor(num, cat)
+
+
+def early_stop(key: str = "id") -> SQLTransformer:
+    """Marks the tenth of the rows that stops gradient boosting."""
+    return SQLTransformer(statement=f"SELECT *, pmod(xxhash64({key}, {SEED}), 10) = 0 AS __early_stop FROM __THIS__")
+
+
+def estimator(name: str, n: int, label: str = "satisfied", weight: str = "weight", **params):
+    """The estimator of model ``name`` for ``n`` fit rows; ``params`` override its defaults."""
+    common = dict(featuresCol="features", labelCol=label)
+
+    def p(key, default):
+        return params.get(key, default)
+
+    if name == "logistic_regression":
+        return LogisticRegression(weightCol=weight, regParam=1.0 / (p("C", 1.0) * n), elasticNetParam=0.0,
+                                  standardization=False, maxIter=p("maxIter", 100), **common)
+    if name == "svm_linear":
+        return SquaredHingeSVC(C=p("C", 1.0), labelCol=label, weightCol=weight)
+    if name == "knn":
+        from revlens.operators.knn import KNNClassifier
+        return KNNClassifier(k=p("n_neighbors", 25), idCol=p("idCol", "id"), labelCol=label)
+    if name == "naive_bayes":
+        return NaiveBayes(modelType="bernoulli", smoothing=p("alpha", 1.0), **common)
+    if name == "neural_net":
+        return NeuralNet(hidden=p("hidden", (64,)), alpha=p("alpha", 1e-4), maxIter=p("maxIter", 100), labelCol=label,
+                         seed=SEED)
+    if name == "decision_tree":
+        return DecisionTreeClassifier(
+            maxDepth=p("maxDepth", 12), minInstancesPerNode=p("minInstancesPerNode", 50),
+            impurity=p("impurity", "gini"), weightCol=weight, seed=SEED, **common)
+    if name == "bagging" and p("max_features", 1.0) < 1:
+        return SlicedBagging(numTrees=p("numTrees", 50), share=p("max_features", 1.0), maxDepth=p("maxDepth", 16),
+                             minInstancesPerNode=p("minInstancesPerNode", 50), labelCol=label, weightCol=weight,
+                             seed=SEED)
+    if name in ("bagging", "random_forest"):
+        return RandomForestClassifier(
+            numTrees=p("numTrees", 50 if name == "bagging" else 200), maxDepth=p("maxDepth", 16),
+            minInstancesPerNode=p("minInstancesPerNode", 50),
+            featureSubsetStrategy="all" if name == "bagging" else p("featureSubsetStrategy", "sqrt"),
+            bootstrap=True, subsamplingRate=1.0, weightCol=weight, seed=SEED, **common)
+    if name == "hist_gradient_boosting":
+        return GBTClassifier(
+            maxIter=p("maxIter", 500), validationIndicatorCol="__early_stop", validationTol=p("validationTol", 0.01),
+            maxDepth=p("maxDepth", 5), stepSize=p("stepSize", 0.1),
+            minInstancesPerNode=p("minInstancesPerNode", 20), weightCol=weight, seed=SEED, **common)
+    raise ValueError(f"unknown model {name}")
 
 
 def build_models(train: DataFrame, num: list[str], cat: list[str], binary: list[str] = (),
                  label: str = "satisfied", weight: str = "weight", params: dict | None = None,
                  names: list[str] | None = None) -> dict[str, Pipeline]:
-    """Name -> complete Pipeline.  ``params`` overrides per model (grid search)."""
-    params = params or {}
-    names = names or MODEL_NAMES
-    n = train.count()
-    scaled = lambda: scaled_preprocessor(num, cat)
-    ordinal = lambda: ordinal_preprocessor(num, cat)
-    common = dict(featuresCol="features", labelCol=label)
-    out: dict[str, Pipeline] = {}
-
-    def p(name, key, default):
-        return params.get(name, {}).get(key, default)
-
-    if "logistic_regression" in names:
-        c = p("logistic_regression", "C", 1.0)
-        out["logistic_regression"] = Pipeline(stages=scaled() + [LogisticRegression(
-            weightCol=weight, regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
-            maxIter=p("logistic_regression", "maxIter", 100), **common)])
-    if "svm_linear" in names:
-        c = p("svm_linear", "C", 1.0)
-        out["svm_linear"] = Pipeline(stages=scaled() + [LinearSVC(
-            weightCol=weight, regParam=1.0 / (c * n), maxIter=p("svm_linear", "maxIter", 100),
-            standardization=False, **common)])
-    if "knn" in names:
-        from revlens.operators.knn import KNNClassifier
-        out["knn"] = Pipeline(stages=scaled() + [KNNClassifier(
-            k=p("knn", "n_neighbors", 25), idCol=p("knn", "idCol", "id"), labelCol=label)])
-    if "naive_bayes" in names:
-        out["naive_bayes"] = Pipeline(stages=binned_preprocessor(num, list(binary), cat) + [
-            NaiveBayes(modelType="bernoulli", smoothing=p("naive_bayes", "alpha", 1.0), **common)])
-    if "neural_net" in names:
-        width = feature_width(scaled(), train)
-        hidden = p("neural_net", "hidden", [64])
-        out["neural_net"] = Pipeline(stages=scaled() + [MultilayerPerceptronClassifier(
-            layers=[width, *hidden, 2], maxIter=p("neural_net", "maxIter", 100), seed=SEED,
-            **common)])
-    if "decision_tree" in names:
-        out["decision_tree"] = Pipeline(stages=ordinal() + [DecisionTreeClassifier(
-            maxDepth=p("decision_tree", "maxDepth", 12),
-            minInstancesPerNode=p("decision_tree", "minInstancesPerNode", 50),
-            impurity=p("decision_tree", "impurity", "gini"), weightCol=weight, seed=SEED,
-            **common)])
-    if "bagging" in names:
-        out["bagging"] = Pipeline(stages=ordinal() + [RandomForestClassifier(
-            numTrees=p("bagging", "numTrees", 50), maxDepth=p("bagging", "maxDepth", 16),
-            minInstancesPerNode=p("bagging", "minInstancesPerNode", 50),
-            featureSubsetStrategy="all", bootstrap=True, subsamplingRate=1.0,
-            weightCol=weight, seed=SEED, **common)])
-    if "random_forest" in names:
-        out["random_forest"] = Pipeline(stages=ordinal() + [RandomForestClassifier(
-            numTrees=p("random_forest", "numTrees", 200), maxDepth=p("random_forest", "maxDepth", 16),
-            minInstancesPerNode=p("random_forest", "minInstancesPerNode", 50),
-            featureSubsetStrategy=p("random_forest", "featureSubsetStrategy", "sqrt"),
-            weightCol=weight, seed=SEED, **common)])
-    if "hist_gradient_boosting" in names:
-        held = SQLTransformer(statement=f"SELECT *, pmod(xxhash64(id, {SEED}), 10) = 0 "
-                                        "AS __early_stop FROM __THIS__")
-        out["hist_gradient_boosting"] = Pipeline(stages=[held] + ordinal() + [GBTClassifier(
-            maxIter=p("hist_gradient_boosting", "maxIter", 500),
-            validationIndicatorCol="__early_stop",
-            validationTol=p("hist_gradient_boosting", "validationTol", 0.01),
-            maxDepth=p("hist_gradient_boosting", "maxDepth", 5),
-            stepSize=p("hist_gradient_boosting", "stepSize", 0.1),
-            weightCol=weight, seed=SEED, **common)])
+    """Name -> complete Pipeline.  ``params`` overrides per model, e.g. with the best of a search."""
+    n, out = train.count(), {}
+    for name in MODEL_NAMES:
+        if names is None or name in names:
+            own = dict((params or {}).get(name, {}))
+            stages = preprocessor(name, num, cat, binary, own.pop("n_bins", 10))
+            if name == "hist_gradient_boosting":
+                stages = [early_stop()] + stages
+            out[name] = Pipeline(stages=stages + [estimator(name, n, label, weight, **own)])
     return out
 
 

@@ -55,7 +55,8 @@ def test_oracle(spark, con, name):
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(rel.columns, rel.fetchall())
 
 
-OTHER_NAMES = sorted(set(entry.queries()) - set(ORACLE_NAMES))
+# parts of a search come before the search of all of them, which reuses their results
+OTHER_NAMES = sorted(set(entry.queries()) - set(ORACLE_NAMES), key=lambda n: (n == "grid_search", n))
 
 
 @pytest.mark.parametrize("name", OTHER_NAMES)
