@@ -7,6 +7,8 @@ residue, the last two full of ties); the label is ``o_orderstatus = 'F'``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from revlens.catalog import register
@@ -262,14 +264,17 @@ def q_class_weights(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# Bootstrap and comparison (2,000 resamples; the weights are hashes, so SQL
-# draws the same ones)
+# Bootstrap and comparison (2,000 resamples of exactly n rows; the draws are
+# hashes, so SQL draws the same ones)
 # ---------------------------------------------------------------------------
 REPLICATES = 2000
 
 
 def _bootstrap_sql(reference: str, select: str) -> str:
-    weight = " ".join(f"WHEN u < {c!r}::DOUBLE THEN {k}" for k, c in enumerate(SP.poisson_cdf()))
+    kmax = SP.POISSON_KMAX
+    terms = [f"rate ** {k} / {math.factorial(k)}" for k in range(kmax)]
+    cdf = ", ".join(f"exp(-rate) * ({' + '.join(terms[:k + 1])}) AS c{k}" for k in range(kmax))
+    weight = " ".join(f"WHEN u < c{k} THEN {k}" for k in range(kmax))
     tail = 0.05 / (2 * (len(MODELS) - 1))
     return _with(
         select,
@@ -277,7 +282,17 @@ def _bootstrap_sql(reference: str, select: str) -> str:
                 f"FROM orders, range(0, {REPLICATES // 8}) AS r(b)",
         uniforms="SELECT id, b * 8 + j AS rep, ('0x' || substr(h, CAST(1 + 4 * j AS INTEGER), 4))::UBIGINT "
                  "/ 65536::DOUBLE AS u FROM digests, range(0, 8) AS s(j)",
-        weights=f"SELECT id, rep, CASE {weight} ELSE {SP.POISSON_KMAX} END AS w FROM uniforms",
+        size="SELECT count(*) AS n, greatest(0::DOUBLE, 1 - 6 / sqrt(count(*))) AS rate FROM orders",
+        cdf=f"SELECT {cdf} FROM size",
+        base=f"SELECT id, rep, CASE {weight} ELSE {kmax} END AS w FROM uniforms, cdf",
+        missing="SELECT rep, sum(w) <= n AS able, n - CASE WHEN sum(w) <= n THEN sum(w) ELSE 0 END AS missing "
+                "FROM base, size GROUP BY rep, n",
+        ranked="SELECT o_orderkey AS id, row_number() OVER (ORDER BY o_orderkey::VARCHAR) AS place FROM orders",
+        added="SELECT rep, unnest(range(missing::BIGINT)) AS k FROM missing",
+        extra=f"SELECT rep, 1 + ('0x' || substr(md5('add|' || rep || '|' || k || '|{SP.RANDOM_STATE}'), 1, 15))::UBIGINT "
+              "% n AS place FROM added, size",
+        weights="SELECT id, rep, w FROM base SEMI JOIN (FROM missing WHERE able) USING (rep) "
+                "UNION ALL SELECT id, rep, 1 FROM extra JOIN ranked USING (place)",
         sums="SELECT model, rep, score, sum(w * y)::DOUBLE AS pos, sum(w * (1 - y))::DOUBLE AS neg "
              "FROM scored JOIN weights USING (id) WHERE w > 0 GROUP BY model, rep, score",
         drawn="SELECT model, rep, 2 * sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)) - 1 AS g FROM ("

@@ -210,24 +210,24 @@ def class_weights(df: DataFrame, y: str, name: str = "weight") -> DataFrame:
 POISSON_KMAX = 12
 
 
-def poisson_cdf(kmax: int = POISSON_KMAX) -> list[float]:
-    """P(X <= k) of Poisson(1) for k < kmax."""
-    cdf, total, term = [], 0.0, math.exp(-1.0)
+def poisson_cdf(kmax: int = POISSON_KMAX, rate: float = 1.0) -> list[float]:
+    """P(X <= k) of Poisson(rate) for k < kmax."""
+    cdf, total, term = [], 0.0, math.exp(-rate)
     for k in range(kmax):
         total += term
-        term /= k + 1
+        term *= rate / (k + 1)
         cdf.append(total)
     return cdf
 
 
-def poisson_weights(keys: list[str], replicates: int, seed: int = RANDOM_STATE) -> np.ndarray:
-    """Poisson(1) weights, rows x replicates, from md5(key|block|seed): a digest is
+def poisson_weights(keys: list[str], replicates: int, seed: int = RANDOM_STATE, rate: float = 1.0) -> np.ndarray:
+    """Poisson weights, rows x replicates, from md5(key|block|seed): a digest is
     eight 16-bit uniforms, those of replicates 8 * block ... 8 * block + 7, and
     the weight is the smallest k with CDF(k) > uniform."""
     blocks = -(-replicates // 8)
     ends = [f"|{b}|{seed}".encode() for b in range(blocks)]
     md5 = hashlib.md5
     data = b"".join([md5(key + end).digest() for key in map(str.encode, keys) for end in ends])
-    table = np.searchsorted(np.array(poisson_cdf()), np.arange(1 << 16) / 2.0 ** 16,
+    table = np.searchsorted(np.array(poisson_cdf(rate=rate)), np.arange(1 << 16) / 2.0 ** 16,
                             side="right").astype(np.uint8)
     return table[np.frombuffer(data, ">u2").reshape(len(keys), 8 * blocks)[:, :replicates]]

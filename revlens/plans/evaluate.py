@@ -10,15 +10,15 @@ the inherent shape of the work.
 
 from __future__ import annotations
 
-import math
 import time
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from revlens.operators import metrics as M
 from revlens.operators.bootstrap import paired_bootstrap
@@ -28,8 +28,6 @@ from revlens.plans import models as MD
 from revlens.session import cut_lineage
 
 TARGET = "satisfied"
-#: Rows that are permuted among themselves, on average.
-PERMUTED_ROWS = 2000
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -53,13 +51,15 @@ def metrics_table(scored: DataFrame, by: list[str]) -> DataFrame:
             .join(lift0, by, "left"))
 
 
-def fit_all(models: dict[str, Pipeline], train: DataFrame) -> tuple[dict, dict]:
-    fitted, seconds = {}, {}
-    for name, pipe in models.items():
+def fit_all(models: dict[str, Pipeline], train: DataFrame, parallelism: int = 4) -> tuple[dict, dict]:
+    """Fitted models and their wall-clock seconds; fits run side by side."""
+    def fit(name):
         t0 = time.perf_counter()
-        fitted[name] = pipe.fit(train)
-        seconds[name] = time.perf_counter() - t0
-    return fitted, seconds
+        return name, models[name].fit(train), time.perf_counter() - t0
+
+    with ThreadPool(parallelism) as pool:
+        done = pool.map(inheritable_thread_target(fit), list(models), 1)
+    return {n: m for n, m, _ in done}, {n: t for n, _, t in done}
 
 
 def evaluate(models: dict[str, Pipeline], train: DataFrame, test: DataFrame,
@@ -93,36 +93,66 @@ def cross_validate(models: dict[str, Pipeline], folds: list[tuple[DataFrame, Dat
 # Permutation importance
 # ---------------------------------------------------------------------------
 
+def bijection(index: np.ndarray, n: int, key: list[int], rounds: int = 4) -> np.ndarray:
+    """A seeded one-to-one map of 0 ... n-1: a Feistel network on the least even number of
+    bits that holds n, walked on until the value is below n."""
+    half = max(1, ((n - 1).bit_length() + 1) // 2)
+    low = np.uint64((1 << half) - 1)
+    salts = np.random.default_rng(key).integers(0, 2**64, rounds, dtype=np.uint64)
+
+    def once(x):
+        left, right = x >> np.uint64(half), x & low
+        for salt in salts:
+            z = (right + salt) * np.uint64(0x9E3779B97F4A7C15)
+            z = (z ^ (z >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            left, right = right, left ^ ((z ^ (z >> np.uint64(32))) & low)
+        return (left << np.uint64(half)) | right
+
+    out = once(index.astype(np.uint64))
+    while (out >= n).any():
+        out = np.where(out >= n, once(out), out)
+    return out.astype(np.int64)
+
+
 def permuted_copies(data: DataFrame, features: list[str], repeats: int, key: str = "id",
                     seed: int = RANDOM_STATE) -> DataFrame:
-    """One copy of ``data`` per (feature, repeat) with that feature's values permuted.
-
-    Rows are dealt by a seeded hash (one shuffle of the rows) to partitions of about
-    ``PERMUTED_ROWS`` rows, however many tasks the session would shuffle to; each
-    Arrow batch of a partition is a random part of the rows and is permuted within
-    itself.  Copies are made in the task and flow straight
-    into the model, so nothing that grows with features x repeats is shuffled."""
-    n = max(1, math.ceil(data.count() / PERMUTED_ROWS))
-    spread = data.repartition(n, F.xxhash64(F.col(key), F.lit(seed))).sortWithinPartitions(
-        F.xxhash64(F.col(key), F.lit(seed)), key)
-    names = data.columns
-    place = {f: names.index(f) for f in features}
+    """One copy of ``data`` per (feature, repeat) with that feature's whole column permuted.
+
+    Rows get a dense index once (in order of a seeded hash, two-level ranks).  For each
+    copy a seeded bijection of the indexes says which row a value goes to; the values
+    (features x repeats numbers per row) are grouped by that row and joined to it, and
+    the copies flow from there straight into the model."""
+    order = [F.xxhash64(F.col(key), F.lit(seed)), F.col(key)]
+    rows = cut_lineage(global_rank(data, order, name="__at").withColumn("__at", F.col("__at") - 1))
+    n = rows.count()
+    kinds = dict(data.dtypes)
+    text = [f for f in features if kinds[f] in ("string", "boolean", "date", "timestamp")]
+    sent = rows.select("__at", *[F.col(f).cast("string" if f in text else "double").alias(f) for f in features])
 
     def run(batches):
-        for k, batch in enumerate(batches):
-            for f, at in place.items():
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            none = {t: pa.nulls(batch.num_rows, t) for t in (pa.float64(), pa.string())}
+            for k, f in enumerate(features):
+                value = batch.column(k + 1)
+                num, txt = (none[pa.float64()], value) if f in text else (value, none[pa.string()])
                 for r in range(repeats):
-                    rng = np.random.default_rng([seed, at, r, k])
-                    columns = list(batch.columns)
-                    columns[at] = columns[at].take(pa.array(rng.permutation(batch.num_rows)))
                     yield pa.RecordBatch.from_arrays(
-                        [*columns, pa.array([f] * batch.num_rows, pa.string()),
-                         pa.array([r] * batch.num_rows, pa.int32())],
-                        names=[*names, "feature", "repeat"])
+                        [pa.array(bijection(at, n, [seed, k, r])), pa.array([f] * batch.num_rows, pa.string()),
+                         pa.array([r] * batch.num_rows, pa.int32()), num, txt],
+                        names=["__at", "feature", "repeat", "num", "txt"])
+
+    moved = sent.mapInArrow(run, "__at bigint, feature string, repeat int, num double, txt string")
+    given = moved.groupBy("__at").agg(F.collect_list(F.struct("feature", "repeat", "num", "txt")).alias("__new"))
+    each = rows.join(given, "__at").withColumn("__new", F.explode("__new"))
+
+    def column(c):
+        if c not in features:
+            return F.col(c)
+        new = F.col("__new.txt" if c in text else "__new.num").cast(kinds[c])
+        return F.when(F.col("__new.feature") == c, new).otherwise(F.col(c)).alias(c)
 
-    schema = StructType([*data.schema.fields, StructField("feature", StringType()),
-                         StructField("repeat", IntegerType())])
-    return spread.mapInArrow(run, schema)
+    return each.select(*[column(c) for c in data.columns], "__new.feature", "__new.repeat")
 
 
 def _auc_drops(model, data: DataFrame, features: list[str], repeats: int, key: str) -> DataFrame:

@@ -248,7 +248,7 @@ def estimator(name: str, n: int, label: str = "satisfied", weight: str = "weight
             bootstrap=True, subsamplingRate=1.0, weightCol=weight, seed=SEED, **common)
     if name == "hist_gradient_boosting":
         return GBTClassifier(
-            maxIter=p("maxIter", 500), validationIndicatorCol="__early_stop", validationTol=p("validationTol", 0.01),
+            maxIter=p("maxIter", 500), validationIndicatorCol="__early_stop", validationTol=p("validationTol", 1e-3),
             maxDepth=p("maxDepth", 5), stepSize=p("stepSize", 0.1),
             minInstancesPerNode=p("minInstancesPerNode", 20), weightCol=weight, seed=SEED, **common)
     raise ValueError(f"unknown model {name}")

@@ -118,3 +118,30 @@ def test_knn_matches_brute_force(spark):
         d = ((tr - qs[i]) ** 2).sum(axis=1)
         nn = np.lexsort((np.arange(120), d))[:7]
         assert abs(got[i] - lab[nn].mean()) < 1e-12
+
+
+def test_every_resample_has_n_rows(spark):
+    from revlens.operators.bootstrap import exact_draws, replicate_sums
+    rng = np.random.default_rng(3)
+    for n in (1, 4, 300):
+        rows = [(i, m, float(rng.normal()), int(rng.random() < 0.4)) for i in range(n) for m in ("a", "b")]
+        df = spark.createDataFrame(rows, "id long, model string, score double, y int").repartition(5)
+        got = replicate_sums(df, replicates=200).collect()
+        assert len(got) == 400 and {r["p"] + r["n"] for r in got} == {float(n)}
+        assert len({r["p"] for r in got}) > 1 or n == 1
+    # the counts of a row are those of n even draws: mean 1, variance 1 - 1/n
+    keys = spark.createDataFrame([(str(i),) for i in range(400)], "key string")
+    draws = exact_draws(keys, 400)
+    rows = keys.join(draws.extra, "key", "left").collect()
+    counts = draws.counts([r["key"] for r in rows], [r["extra"] for r in rows])
+    assert (counts.sum(axis=0) == 400).all() and not draws.off
+    assert abs(counts.astype(float).var() - 1) < 0.03
+
+
+def test_a_resample_beyond_n_is_drawn_anew(spark, monkeypatch):
+    from revlens.operators import bootstrap as BS
+    monkeypatch.setattr(BS, "poisson_rate", lambda n: 1.0)
+    df = spark.createDataFrame([(i, "a", float(i), i % 2) for i in range(30)],
+                               "id long, model string, score double, y int")
+    assert BS.exact_draws(df.selectExpr("cast(id as string) as key"), 50).off
+    assert {r["p"] + r["n"] for r in BS.replicate_sums(df, replicates=50).collect()} == {30.0}

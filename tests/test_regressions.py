@@ -95,6 +95,25 @@ def test_permutation_keeps_values_and_rows(spark):
         assert moved > 60 and still == 0
 
 
+def test_a_whole_column_is_permuted(spark):
+    from revlens.plans.evaluate import bijection, permuted_copies
+    for n in (1, 2, 3, 64, 65, 1000, 4097):
+        for key in ([1], [2, 3]):
+            assert sorted(bijection(np.arange(n), n, key)) == list(range(n))
+    # ordered values in many partitions: shuffles inside partitions would keep them near their place
+    df = spark.range(3000).selectExpr("id", "double(id) as a", "string(id % 7) as b", "cast(id as int) as c").repartition(9)
+    out = permuted_copies(df, ["a", "b", "c"], 2).toPandas()
+    assert len(out) == 3000 * 6
+    for (f, r), g in out.groupby(["feature", "repeat"]):
+        own = {"a": g["id"].astype(float), "b": (g["id"] % 7).astype(str), "c": g["id"]}
+        for c in "abc":
+            assert sorted(g[c]) == sorted(own[c]) and (g[c] != own[c]).any() == (c == f)
+        if f != "b":
+            assert abs(np.corrcoef(g[f].astype(float), g["id"])[0, 1]) < 0.08
+    first, second = (out[(out.feature == "a") & (out.repeat == r)].sort_values("id")["a"].to_numpy() for r in (0, 1))
+    assert (first != second).mean() > 0.9
+
+
 def test_importance_finds_the_informative_feature(spark):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
