@@ -104,7 +104,54 @@ class Split:
 
 # --- modelling dataset ------------------------------------------------------------
 
-@register("select_features")
+# The features of the fixture's modelling table, for the SQL twins.
+SQL_NUM = ["is_open", "review_year", "weather_prcp", "weather_snow", "weather_snow_depth", "weather_tmax",
+           "weather_temp_range", "is_rainy", "is_snowy", "is_hot", "is_cold", "log_business_review_count",
+           "log_user_review_count", "log_user_useful", "log_user_fans", "log_tip_compliment_count", "log_photo_count"]
+SQL_CAT = ["attributes_RestaurantsPriceRange2", "state", "review_month", "review_weekday"]
+SQL_BINARY = ["is_open", "is_rainy", "is_snowy", "is_hot", "is_cold"]
+
+
+def _sql_column(c: str) -> str:
+    if c.startswith("log_"):
+        return f"ln(1 + {D.sql_clip0(c[4:])}) AS {c}"
+    return f"CAST({c} AS {'VARCHAR' if c in SQL_CAT else 'DOUBLE'}) AS {c}"
+
+
+def _r6(x: str) -> str:
+    return f"round_even({x} * 1000000.0, 0) / 1000000.0"
+
+
+def model_sql(body: str, **ctes: str) -> str:
+    """``body`` after the CTEs of the modelling table: rv_model, and rv_rows with ``is_test``."""
+    cols = ", ".join(_sql_column(c) for c in SQL_NUM + SQL_CAT)
+    chain = {
+        "rv_model": f"SELECT review_id AS id, {cols}, satisfied FROM rv_fact",
+        "rv_cls": "SELECT satisfied, count(*) AS c, ceil(0.2 * sum(count(*)) OVER ()) AS n, "
+                  "sum(count(*)) OVER () AS total FROM rv_model GROUP BY satisfied",
+        "rv_raw": "SELECT satisfied, n, n * c / total AS raw, floor(n * c / total) AS fl FROM rv_cls",
+        "rv_quota": "SELECT satisfied, fl + CASE WHEN row_number() OVER (ORDER BY raw - fl DESC, satisfied) <= "
+                    "n - sum(fl) OVER () THEN 1 ELSE 0 END AS quota FROM rv_raw",
+        "rv_rows": "SELECT m.*, CAST(row_number() OVER (PARTITION BY satisfied ORDER BY md5(id || '|42'), id) <= quota "
+                   "AS INTEGER) AS is_test FROM rv_model m JOIN rv_quota USING (satisfied)",
+        "rv_train": "SELECT * FROM rv_rows WHERE is_test = 0"}
+    return D.fact_sql(body, {**chain, **ctes})
+
+
+def _sql_filled(pairs: list[tuple], names: tuple[str, str]) -> str:
+    """One row per column: names, and how many rows have a value."""
+    return " UNION ALL ".join(f"SELECT '{a}' AS {names[0]}, '{b}' AS {names[1]}, count({c}) AS filled FROM {t}"
+                              for a, b, c, t in pairs)
+
+
+#: Columns of the whole dataset that a rule takes away by their own name.
+_GONE = {"review_date": "identifiers/date", "review_stars": "target leakage", "business_stars": "target leakage",
+         "user_average_stars": "target leakage", "city": "high-cardinality location"}
+
+
+@register("select_features", model_sql(_sql_filled(
+    [(c, "feature", c, "rv_model") for c in SQL_NUM + SQL_CAT] + [(c, why, c, "rv_fact") for c, why in _GONE.items()],
+    ("variable", "reason"))))
 def q_select_features(spark, sf):
     df, feats, dropped = model_frame(spark, sf)
     # one row per column of the dataset: what it is, and how many rows have a value
@@ -125,12 +172,27 @@ def q_select_features(spark, sf):
     return out
 
 
-@register("build_model_dataset")
+@register("build_model_dataset", model_sql(
+    "SELECT id, " + ", ".join(f"{_r6(c)} AS {c}" for c in SQL_NUM) + ", " + ", ".join(SQL_CAT)
+    + ", satisfied FROM rv_model"))
 def q_build_model_dataset(spark, sf):
-    return model_frame(spark, sf)[0]
+    return _rounded(model_frame(spark, sf)[0])
 
 
-@register("drop_groups")
+def _rounded(df):
+    """Numbers as doubles with 6 decimals, which two engines agree on."""
+    from revlens.functions.expr import round_half_even
+    kinds = dict(df.dtypes)
+    return df.select(*[c if c in ("id", "satisfied") or kinds[c] == "string" else
+                       round_half_even(F.col(c).cast("double"), 6).alias(c) for c in df.columns])
+
+
+@register("drop_groups", model_sql(_sql_filled(
+    [("low signal", "weather_available", "weather_available", "rv_fact")]
+    + [("identifier", c, c, "rv_fact") for c in ("review_id", "business_id", "user_id", "station")]
+    + [("redundant", c, c, "rv_fact") for c in ("photo_food", "photo_drink", "photo_menu", "photo_inside",
+                                                "photo_outside", "weather_tmin", "user_funny", "user_cool",
+                                                "checkin_count", "tip_count")], ("step", "dropped"))))
 def q_drop_groups(spark, sf):
     fact = D.load(spark, sf)
     gone = [(step, c) for step, cols in MDS.STEPS.items() for c in cols if c in fact.columns]
@@ -161,53 +223,111 @@ def _fitted(sp, stages):
     return Pipeline(stages=stages).fit(sp.train).transform(sp.rows)
 
 
-@register("impute_median")
+def _values(pairs: dict) -> str:
+    return "SELECT id, " + ", ".join(f"{_r6(e)} AS {c}" for c, e in pairs.items())
+
+
+_MEDIANS = "SELECT " + ", ".join(f"coalesce(quantile_cont({c}, 0.5), 0) AS med_{c}" for c in SQL_NUM) + " FROM rv_train"
+_IMPUTED = {c: f"coalesce({c}, med_{c})" for c in SQL_NUM}
+
+
+@register("impute_median", model_sql(_values(_IMPUTED) + " FROM rv_rows, rv_med", rv_med=_MEDIANS))
 def q_impute_median(spark, sf):
     sp = Split(spark, sf)
-    return _fitted(sp, MD._impute(sp.num)).select(
-        "id", *[F.col(f"{c}__imp").alias(c) for c in sp.num])
+    return _rounded(_fitted(sp, MD._impute(sp.num)).select("id", *[F.col(f"{c}__imp").alias(c) for c in sp.num]))
+
 
+def _sql_modes(cols):
+    return {f"rv_mode_{c}": f"SELECT {c} AS mode_{c} FROM rv_train WHERE {c} IS NOT NULL GROUP BY {c} "
+                            f"ORDER BY count(*) DESC, {c} LIMIT 1" for c in cols}
 
-@register("impute_mode")
+
+@register("impute_mode", model_sql(
+    _values({c: f"coalesce({c}, mode_{c})" for c in SQL_BINARY}) + " FROM rv_rows, "
+    + ", ".join(f"rv_mode_{c}" for c in SQL_BINARY), **_sql_modes(SQL_BINARY)))
 def q_impute_mode(spark, sf):
     sp = Split(spark, sf)
     cols = sp.binary()
-    return _fitted(sp, MD._impute(cols, "mode")).select(
-        "id", *[F.col(f"{c}__imp").alias(c) for c in cols])
+    return _rounded(_fitted(sp, MD._impute(cols, "mode")).select(
+        "id", *[F.col(f"{c}__imp").alias(c) for c in cols]))
 
 
-@register("impute_const")
+@register("impute_const", model_sql("SELECT id, " + ", ".join(f"coalesce({c}, 'Unknown') AS {c}" for c in SQL_CAT)
+                                    + " FROM rv_rows"))
 def q_impute_const(spark, sf):
     sp = Split(spark, sf)
     return MD.FillUnknown(sp.cat).transform(sp.rows).select("id", *sp.cat)
 
 
-def _vector(spark, sf, stages):
+@register("standardize", model_sql(
+    _values({c: f"CASE WHEN std_{c} > 0 THEN (imp_{c} - mean_{c}) / std_{c} ELSE 0 END" for c in SQL_NUM})
+    + " FROM rv_imp, rv_stats", rv_med=_MEDIANS,
+    rv_imp="SELECT id, is_test, " + ", ".join(f"{e} AS imp_{c}" for c, e in _IMPUTED.items()) + " FROM rv_rows, rv_med",
+    rv_stats="SELECT " + ", ".join(f"avg(imp_{c}) AS mean_{c}, stddev_samp(imp_{c}) AS std_{c}" for c in SQL_NUM)
+             + " FROM rv_imp WHERE is_test = 0"))
+def q_standardize(spark, sf):
     from pyspark.ml.functions import vector_to_array
     sp = Split(spark, sf)
-    return _fitted(sp, stages(sp)).select("id", vector_to_array("features").alias("features"))
+    out = _fitted(sp, MD.scaled_preprocessor(sp.num, [])).withColumn("x", vector_to_array("features"))
+    return _rounded(out.select("id", *[F.col("x")[k].alias(c) for k, c in enumerate(sp.num)]))
 
 
-@register("standardize")
-def q_standardize(spark, sf):
-    return _vector(spark, sf, lambda sp: MD.scaled_preprocessor(sp.num, []))
+def _sql_levels(c):
+    return (f"SELECT coalesce({c}, 'Unknown') AS level_{c}, CASE WHEN count(*) >= {MD.MIN_FREQUENCY} THEN "
+            f"coalesce({c}, 'Unknown') ELSE '{MD.INFREQUENT}' END AS hot_{c} FROM rv_train GROUP BY 1")
 
 
-@register("one_hot_min_freq")
+@register("one_hot_min_freq", model_sql(
+    "SELECT id, " + ", ".join(f"hot_{c} AS {c}" for c in SQL_CAT) + " FROM rv_rows "
+    + " ".join(f"LEFT JOIN rv_levels_{c} ON coalesce({c}, 'Unknown') = level_{c}" for c in SQL_CAT),
+    **{f"rv_levels_{c}": _sql_levels(c) for c in SQL_CAT}))
 def q_one_hot_min_freq(spark, sf):
-    return _vector(spark, sf, lambda sp: MD.scaled_preprocessor([], sp.cat))
+    """The level whose indicator is 1 (NULL: none is), per column."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexerModel
+    from pyspark.ml.functions import vector_to_array
+    sp = Split(spark, sf)
+    fitted = Pipeline(stages=MD.scaled_preprocessor([], sp.cat)).fit(sp.train)
+    levels = next(st for st in fitted.stages if isinstance(st, StringIndexerModel)).labelsArray
+    out = fitted.transform(sp.rows)
+
+    def hot(c, names):
+        place = F.array_position(vector_to_array(f"{c}__ohe"), 1.0).cast("int")
+        return F.when(place > 0, F.element_at(F.array(*map(F.lit, names)), place)).alias(c)
+
+    return out.select("id", *[hot(c, names) for c, names in zip(sp.cat, levels)])
 
 
-@register("ordinal_encode")
+@register("ordinal_encode", model_sql(
+    "SELECT id, " + ", ".join(f"CAST(coalesce(code_{c}, -1) AS DOUBLE) AS {c}" for c in SQL_CAT) + " FROM rv_rows "
+    + " ".join(f"LEFT JOIN rv_codes_{c} ON {c} = level_{c}" for c in SQL_CAT),
+    **{f"rv_codes_{c}": f"SELECT {c} AS level_{c}, row_number() OVER (ORDER BY {c}) - 1 AS code_{c} FROM rv_train "
+                        f"WHERE {c} IS NOT NULL GROUP BY {c}" for c in SQL_CAT}))
 def q_ordinal_encode(spark, sf):
     sp = Split(spark, sf)
     return _fitted(sp, [MD.OrdinalCoder(sp.cat)]).select(
         "id", *[F.col(f"{c}__ord").alias(c) for c in sp.cat])
 
 
-@register("quantile_bin_onehot")
+_CONT = [c for c in SQL_NUM if c not in SQL_BINARY]
+
+
+@register("quantile_bin_onehot", model_sql(
+    "SELECT id, " + ", ".join(f"CAST(len([e FOR e IN edges_{c}[2:-2] IF e <= imp_{c}]) AS INTEGER) AS {c}"
+                              for c in _CONT) + " FROM rv_imp, rv_edges",
+    rv_med=_MEDIANS,
+    rv_imp="SELECT id, is_test, " + ", ".join(f"{_IMPUTED[c]} AS imp_{c}" for c in _CONT) + " FROM rv_rows, rv_med",
+    rv_edges="SELECT " + ", ".join(
+        f"list_sort(list_distinct(quantile_cont(imp_{c}, [k / 10.0::DOUBLE FOR k IN range(11)]))) AS edges_{c}"
+        for c in _CONT) + " FROM rv_imp WHERE is_test = 0"))
 def q_quantile_bin_onehot(spark, sf):
-    return _vector(spark, sf, lambda sp: MD.binned_preprocessor(sp.num, sp.binary(), []))
+    """The bin whose indicator is 1, per column that isn't binary."""
+    from pyspark.ml.functions import vector_to_array
+    sp = Split(spark, sf)
+    binary = sp.binary()
+    out = _fitted(sp, MD.binned_preprocessor(sp.num, binary, []))
+    return out.select("id", *[(F.array_position(vector_to_array(f"{c}__bohe"), 1.0) - 1).cast("int").alias(c)
+                              for c in sp.num if c not in binary])
 
 
 # --- models -------------------------------------------------------------------------

@@ -36,12 +36,21 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def _review_id() -> Column:
+    """A number from a digest of all columns: lines of an order may share their line number."""
+    whole = [F.round("l_quantity"), *[F.round(F.col(c) * 100) for c in ("l_extendedprice", "l_discount", "l_tax")]]
+    text = F.concat_ws("|", *[_s(F.col(c)) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")],
+                       *[_s(c.cast("bigint")) for c in whole], "l_returnflag", "l_linestatus",
+                       F.date_format("l_shipdate", "yyyy-MM-dd"))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
 def review_raw(t: Tables) -> DataFrame:
     l, o = spread_fact_scan(t.lineitem), t.orders
     return (
         l.join(o, l.l_orderkey == o.o_orderkey, "inner")
         .select(
-            F.xxhash64(*[l[c] for c in l.columns]).alias("review_id"),
+            _review_id().alias("review_id"),
             F.col("l_partkey").alias("business_id"),
             F.col("o_custkey").alias("user_id"),
             F.substring("o_orderpriority", 1, 1).cast("int").alias("stars"),
@@ -218,7 +227,11 @@ def _sql_hours(day: int, name: str) -> str:
 
 SQL_VIEWS: dict[str, str] = {
     "rv_review": """
-        SELECT l_partkey AS business_id, o_custkey AS user_id,
+        SELECT ('0x' || substr(md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
+                   CAST(round(l_quantity) AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT),
+                   CAST(round(l_discount * 100) AS BIGINT), CAST(round(l_tax * 100) AS BIGINT), l_returnflag,
+                   l_linestatus, strftime(l_shipdate, '%Y-%m-%d'))), 1, 15))::BIGINT AS review_id,
+               l_partkey AS business_id, o_custkey AS user_id,
                CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS stars,
                l_shipdate AS date,
                CASE WHEN l_linenumber = 7 THEN NULL ELSE o_orderpriority || ' ' || l_returnflag END AS text,

@@ -145,7 +145,7 @@ FACT_SQL = {
         f"count(photo_id) FILTER (WHERE label = '{lab}') AS photo_{lab}" for lab in FX.PHOTO_LABELS)
     + " FROM rv_photo WHERE business_id IS NOT NULL GROUP BY business_id",
     "rv_fact0": """
-        SELECT r.business_id, r.user_id, r.stars AS review_stars, r.date AS review_date,
+        SELECT r.review_id, r.business_id, r.user_id, r.stars AS review_stars, r.date AS review_date,
                r.useful AS review_useful, r.funny AS review_funny, r.cool AS review_cool,
                CAST(length(coalesce(r.text, '')) AS INTEGER) AS review_text_length,
                CAST(coalesce(r.stars >= 4, false) AS INTEGER) AS satisfied,
@@ -165,7 +165,7 @@ FACT_SQL = {
         LEFT JOIN rv_tp tp ON r.business_id = tp.business_id
         LEFT JOIN rv_ph ph ON r.business_id = ph.business_id""",
     "rv_fact1": f"""
-        SELECT business_id, user_id, review_stars,
+        SELECT review_id, business_id, user_id, review_stars,
                {sql_clip0('review_useful')} AS review_useful,
                {sql_clip0('review_funny')} AS review_funny,
                {sql_clip0('review_cool')} AS review_cool, review_text_length, satisfied,

@@ -31,11 +31,11 @@ from __future__ import annotations
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        NaiveBayes, RandomForestClassifier)
-from pyspark.ml.feature import (Imputer, OneHotEncoder, QuantileDiscretizer, SQLTransformer,
-                                StandardScaler, StringIndexer, VectorAssembler)
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from revlens.operators.quantiles import quantiles_checked
 from revlens.plans.estimators import NeuralNet, SlicedBagging, SquaredHingeSVC
 
 SEED = 42
@@ -100,11 +100,74 @@ def _fill_unknown(cat: list[str]) -> list:
     return [FillUnknown(cat)] if cat else []
 
 
+class ExactImputer(Estimator):
+    """NULLs become the column's exact median, or its most frequent value (the least of equals);
+    0 for a column without values.  Outputs ``<column>__imp``."""
+
+    def __init__(self, cols: list[str], strategy: str = "median"):
+        super().__init__()
+        self.cols, self.strategy = list(cols), strategy
+
+    def _fit(self, df: DataFrame) -> "FilledModel":
+        if self.strategy == "median":
+            found = {c: v[0] for c, v in quantiles_checked(df, self.cols, [0.5]).items()}
+        else:
+            pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v"))
+                                        for c in self.cols]))
+            counts = (df.select(pairs.alias("x")).where("x.v is not null and not isnan(x.v)")
+                      .groupBy("x.c", "x.v").agg(F.count(F.lit(1)).alias("n")))
+            most = counts.groupBy("c").agg(F.max(F.struct("n", (-F.col("v")).alias("less"))).alias("m"))
+            found = {r["c"]: -r["m"]["less"] for r in most.collect()}       # one row per column
+        return FilledModel({c: 0.0 if found.get(c) is None else float(found[c]) for c in self.cols})
+
+
+class FilledModel(Model):
+    def __init__(self, values: dict[str, float]):
+        super().__init__()
+        self.values = values
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumns({f"{c}__imp": F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(v))
+                               for c, v in self.values.items()})
+
+
 def _impute(num: list[str], strategy: str = "median") -> list:
-    if not num:
-        return []
-    return [Imputer(inputCols=num, outputCols=[f"{c}__imp" for c in num], strategy=strategy,
-                    relativeError=1e-4)]
+    return [ExactImputer(num, strategy)] if num else []
+
+
+class QuantileBinner(Estimator):
+    """Exact quantile edges (linear interpolation; edges closer than 1e-8 are merged): bin numbers
+    ``<column>__bin`` and their indicators ``<column>__bohe``."""
+
+    def __init__(self, cols: list[str], suffix: str, n_bins: int):
+        super().__init__()
+        self.cols, self.suffix, self.n_bins = list(cols), suffix, n_bins
+
+    def _fit(self, df: DataFrame) -> "QuantileBinnerModel":
+        probs = [k / self.n_bins for k in range(self.n_bins + 1)]
+        found = quantiles_checked(df, [c + self.suffix for c in self.cols], probs)
+        inner = {}
+        for c in self.cols:
+            edges: list[float] = []
+            for e in found[c + self.suffix]:
+                if e is not None and (not edges or e - edges[-1] > 1e-8):
+                    edges.append(e)
+            inner[c] = edges[1:-1]
+        return QuantileBinnerModel(inner, self.suffix)
+
+
+class QuantileBinnerModel(Model):
+    def __init__(self, inner: dict[str, list[float]], suffix: str):
+        super().__init__()
+        self.inner, self.suffix = inner, suffix
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        bins = {f"{c}__bin": sum(((F.col(c + self.suffix) >= e).cast("int") for e in edges), F.lit(0))
+                for c, edges in self.inner.items()}
+        hot = {f"{c}__bohe": array_to_vector(F.array(*[(F.col(f"{c}__bin") == k).cast("double")
+                                                       for k in range(len(edges) + 1)]))
+               for c, edges in self.inner.items()}
+        return df.withColumns(bins).withColumns(hot)
 
 
 class OrdinalCoder(Estimator):
@@ -175,13 +238,7 @@ def binned_preprocessor(num: list[str], binary: list[str], cat: list[str], n_bin
               + _impute([c for c in num if c in binary], "mode"))
     parts = [f"{c}__imp" for c in num if c in binary]
     if cont:
-        stages.append(QuantileDiscretizer(inputCols=[f"{c}__imp" for c in cont],
-                                          outputCols=[f"{c}__bin" for c in cont],
-                                          numBuckets=n_bins, relativeError=1e-4,
-                                          handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCols=[f"{c}__bin" for c in cont],
-                                    outputCols=[f"{c}__bohe" for c in cont], dropLast=False,
-                                    handleInvalid="keep"))
+        stages.append(QuantileBinner(cont, "__imp", n_bins))
         parts += [f"{c}__bohe" for c in cont]
     if cat:
         stages += [RareLevelMerger(cat),
