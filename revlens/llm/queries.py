@@ -65,8 +65,8 @@ x AS (
   SELECT greatest(max(k) FILTER (ln(z) - a * u / z >= 0.95::DOUBLE * ln(n) - 1e-9::DOUBLE),
                   min(k) FILTER (top / z * total <= 4 + 1e-9::DOUBLE)) / 65536::DOUBLE AS a
   FROM e),
-w AS (SELECT p.*, exp(a * ln(share)) / sum(exp(a * ln(share))) OVER () AS weight FROM p, x),
-b AS (SELECT source, source_tokens, floor(total * weight + 1e-6::DOUBLE)::BIGINT AS source_budget FROM w),
+w AS (SELECT p.*, a, exp(a * ln(share)) / sum(exp(a * ln(share))) OVER () AS weight FROM p, x),
+b AS (SELECT source, source_tokens, CASE WHEN a = 1 THEN source_tokens ELSE floor(total * weight + 1e-6::DOUBLE)::BIGINT END AS source_budget FROM w),
 d AS (
   SELECT t.*, b.source_tokens, b.source_budget, b.source_budget // b.source_tokens AS epochs,
          b.source_budget % b.source_tokens AS rest
@@ -74,17 +74,18 @@ d AS (
 r AS (SELECT *, unnest(range(0, epochs + 1)) AS epoch FROM d),
 h AS (SELECT *, md5('mix|' || epoch || '|' || doc_id) AS draw_key FROM r),
 c AS (
-  SELECT *, (sum(n_tokens) OVER (PARTITION BY source, epoch ORDER BY draw_key))::BIGINT AS through
+  SELECT *, (sum(n_tokens) OVER (PARTITION BY source, epoch ORDER BY draw_key))::BIGINT AS through,
+         (sum(n_tokens) OVER (PARTITION BY source, epoch, draw_key))::BIGINT AS own
   FROM h),
-q AS (SELECT *, epoch * source_tokens + through AS position FROM c WHERE epoch < epochs OR through <= rest)
-SELECT doc_id, source, epoch, (greatest(position - 1, 0) * 64) // source_budget AS block,
+q AS (SELECT *, epoch * source_tokens + through AS position FROM c WHERE epoch < epochs OR through - own < rest)
+SELECT doc_id, source, epoch, (greatest(least(position, source_budget) - 1, 0) * 64) // source_budget AS block,
        position, n_tokens, draw_key
 FROM q"""
 
 
 @query
 def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(read(spark, sf_dir, "documents")).draws
+    return mixing.mix(read(spark, sf_dir, "documents"), mixing.MixSpec(crossing=True)).draws
 
 
 @query

@@ -36,6 +36,8 @@ def plain(data, spec):
     out = []
     for s, w in weights(a).items():
         b = math.floor(budget * w + 1e-6)
+        if spec.crossing and a == 1.0 and min(spec.budget_part, spec.max_epochs) == 1.0:
+            b = sums[s]
         epochs, rest = divmod(b, sums[s])
         for epoch in range(epochs + 1):
             def key(d, epoch=epoch):
@@ -43,9 +45,11 @@ def plain(data, spec):
             own = [(key(d), d, n) for d, src, n in tokens if src == s]
             for k, d, n in own:
                 through = sum(m for k2, _, m in own if k2 <= k)
-                if epoch < epochs or through <= rest:
+                start = sum(m for k2, _, m in own if k2 < k)
+                if epoch < epochs or (start < rest if spec.crossing else through <= rest):
                     pos = epoch * sums[s] + through
-                    out.append((d, s, epoch, max(pos - 1, 0) * spec.blocks // b, pos, n, k))
+                    place = min(pos, b) if spec.crossing else pos
+                    out.append((d, s, epoch, max(place - 1, 0) * spec.blocks // b, pos, n, k))
     return a, out
 
 
@@ -54,7 +58,8 @@ DATA = [row(i, prose(i, 5 + i % 9), "big" if i % 3 else f"s{i % 4}") for i in ra
 
 @pytest.mark.parametrize("spec", [MixSpec(), MixSpec(budget_part=2.5, entropy_part=0.99, max_epochs=3.0, blocks=7),
                                   MixSpec(budget_part=0.5, entropy_part=0.6), MixSpec(budget_part=0.9, max_epochs=1.0),
-                                  MixSpec(budget_part=9.0, max_epochs=2.0)])
+                                  MixSpec(budget_part=9.0, max_epochs=2.0), MixSpec(crossing=True),
+                                  MixSpec(budget_part=0.7, entropy_part=0.99, max_epochs=2.0, crossing=True)])
 def test_schedule(spark, spec):
     mixed = mixing.mix(spark.createDataFrame(DATA, SCHEMA), spec)
     a, want = plain(DATA, spec)
