@@ -135,8 +135,7 @@ PAIR_SQL = " UNION ALL ".join(f"SELECT '{a}' AS f1, '{b}' AS f2, corr({a}, {b})
              NOT (list_contains(gone, f1) OR list_contains(gone, f2))
       FROM greedy g JOIN pairs p ON p.i = g.i + 1)
     SELECT greatest(f1, f2) AS variable, 'pairwise_correlation' AS step,
-           'Dropped redundant variable from a high-correlation pair; kept ' || least(f1, f2)
-           || ' by the deterministic interpretability/tie-break rule' AS reason,
+           'highly correlated with ' || least(f1, f2) || ', which comes first' AS reason,
            least(f1, f2) AS correlated_with, round(r, 3) AS correlation, NULL::DOUBLE AS vif
     FROM greedy JOIN pairs USING (i) WHERE hit""")
 def q_drop_correlated(spark, sf):
@@ -145,7 +144,7 @@ def q_drop_correlated(spark, sf):
 
 _SCREENED = {"review_useful": "qty", "const": "CAST(1.0 AS DOUBLE)", "all_null": "CAST(NULL AS DOUBLE)"}
 _CANDIDATES = {**{c: c for c in [*COLS, "flag_r", "flag_f"]}, **_SCREENED}
-_OUT = "'Excluded before EDA correlation matrix: "
+_OUT = "'not a candidate: "
 
 
 @register("candidate_screen", _with(" UNION ALL ".join(

@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame, functions as F
 from revlens.operators import metrics as M
 from revlens.operators.bootstrap import paired_bootstrap
 from revlens.operators.ranking import global_rank
-from revlens.operators.sampling import RANDOM_STATE, seeded_hash
+from revlens.operators.sampling import RANDOM_STATE, seeded_hash, stratified_sample
 from revlens.plans import models as MD
-from revlens.session import cut_lineage
+from revlens.session import cut_lineage, materialize
 
 TARGET = "satisfied"
 
@@ -191,11 +191,6 @@ def cv_permutation_importance(pipe: Pipeline, folds: list[tuple[DataFrame, DataF
 # Curves and ablations
 # ---------------------------------------------------------------------------
 
-def _refit_gini(make_pipe, train, test, label: str, key: str = "id") -> DataFrame:
-    m = make_pipe().fit(train)
-    return M.gini(MD.score(m, test, label, [key]), by=["model"], digits=None)
-
-
 def _variants_scored(builds: dict, train: DataFrame, test: DataFrame, key: str = "id"):
     """Fit each variant on ``train`` and score ``test``: one long scored table."""
     return _union([MD.score(make().fit(train), test, name, [key]) for name, make in builds.items()])
@@ -234,21 +229,44 @@ def group_ablation(build, groups: dict[str, list[str]], features: list[str], tra
         (F.col("delta_bonf_hi") < 0).alias("block_has_value"))
 
 
-def learning_curve(builds: dict, pool: DataFrame, test: DataFrame, sizes=(1000, 2000, 4000),
-                   key: str = "id", y: str = TARGET) -> DataFrame:
-    """Gini vs training size on one fixed test set.  Training sets are nested
-    (the n smallest seeded hashes), sizes above the pool are skipped; wide
-    output with one column per model."""
+# Training sizes and the bound of the test rows.
+CURVE_SIZES = (10_000, 25_000, 50_000, 100_000, 250_000, 500_000, 1_000_000)
+CURVE_TEST_ROWS = 250_000
+
+
+def learning_curve(builds: dict, pool: DataFrame, test: DataFrame, sizes=CURVE_SIZES,
+                   key: str = "id", y: str = TARGET, test_rows: int = CURVE_TEST_ROWS) -> DataFrame:
+    """Gini vs training size on one fixed test set (at most ``test_rows``, stratified).
+
+    Training sets are nested: a row's level is the first size whose n smallest seeded
+    hashes hold it, computed once and stored with the rows, so a size reads the rows up to
+    its level.  All fits run side by side.  One row per size with a column per model;
+    sizes above the pool have status ``skipped`` and no gini."""
+    sizes = sorted(sizes)
+    total = pool.count()
+    able = [n for n in sizes if n <= total]
+    spark = pool.sparkSession
     ranked = global_rank(pool.withColumn("__h", seeded_hash([key])), [F.col("__h"), F.col(key)],
                          name="__r").drop("__h")
-    total = pool.count()
-    parts = []
-    for n in [s for s in sizes if s <= total]:
-        tr = ranked.where(F.col("__r") <= n).drop("__r")
-        for name, make in builds.items():
-            parts.append(_refit_gini(make, tr, test, name, key).withColumn("n_train", F.lit(n)))
-    long = _union(parts)
-    return long.groupBy("n_train").pivot("model", sorted(builds)).agg(F.round(F.first("gini"), 6))
+    level = sum(((F.col("__r") > n).cast("int") for n in able), F.lit(0))
+    rows = materialize(ranked.withColumn("__level", level).drop("__r").where(F.col("__level") < len(able)),
+                       "curve-rows")
+    held = materialize(stratified_sample(test, y, test_rows, [key]), "curve-test")
+
+    def one(job):
+        k, name = job
+        fitted = builds[name]().fit(rows.where(F.col("__level") <= k).drop("__level"))
+        return MD.score(fitted, held, name, [key]).withColumn("n_train", F.lit(able[k]))
+
+    with ThreadPool(4) as threads:
+        scored = threads.map(inheritable_thread_target(one), [(k, n) for k in range(len(able)) for n in builds], 1)
+    listed = spark.createDataFrame([(n, "fitted" if n <= total else "skipped") for n in sizes],
+                                   "n_train int, status string")
+    if not scored:
+        return listed.withColumns({n: F.lit(None).cast("double") for n in sorted(builds)})
+    ginis = M.gini(_union(scored), by=["n_train", "model"], digits=None)
+    wide = ginis.groupBy("n_train").pivot("model", sorted(builds)).agg(F.round(F.first("gini"), 6))
+    return listed.join(wide, "n_train", "left")
 
 
 def logistic_coefficients(fitted_pipe, data: DataFrame, top: int = 20) -> DataFrame:

@@ -180,3 +180,30 @@ def test_folds_hold_out_every_training_row(spark, monkeypatch):
         assert ids == sorted(r["id"] for r in sp.train.select("id").collect()) and len(ids) > 300
     finally:
         MO.forget()
+
+
+def test_learning_curve_sizes_are_nested_and_large_ones_listed(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    from revlens.plans.evaluate import learning_curve
+    rng = np.random.default_rng(1)
+    data = [(i, float(a), int(a + rng.normal() > 0)) for i, a in enumerate(rng.normal(size=600))]
+    df = spark.createDataFrame(data, "id long, a double, satisfied int").withColumn("is_test", F.col("id") % 3)
+    pool, test = df.where("is_test > 0"), df.where("is_test = 0")
+    seen = []
+
+    class Spy(Pipeline):
+        def _fit(self, rows):
+            seen.append({r["id"] for r in rows.select("id").collect()})
+            return super()._fit(rows)
+
+    def build():
+        return Spy(stages=[VectorAssembler(inputCols=["a"], outputCol="features"),
+                           LogisticRegression(labelCol="satisfied")])
+    out = {r["n_train"]: r for r in learning_curve({"lr": build}, pool, test, (50, 200, 5000), test_rows=120).collect()}
+    assert {n: r["status"] for n, r in out.items()} == {50: "fitted", 200: "fitted", 5000: "skipped"}
+    assert out[200]["lr"] > 0.5 and out[5000]["lr"] is None
+    small, large = sorted(seen, key=len)
+    assert (len(small), len(large)) == (50, 200) and small < large
