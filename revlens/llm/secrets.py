@@ -26,9 +26,11 @@ import base64
 import binascii
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
+from itertools import accumulate
 from urllib.parse import unquote_to_bytes
 
 import pyarrow as pa
@@ -134,46 +136,53 @@ def flat(layer: list[Segment]) -> str:
     return "".join(s.text for s in layer)
 
 
-def place(layer: list[Segment], start: int, end: int) -> tuple[int, int, bool]:
+def offsets(layer: list[Segment]) -> list[int]:
+    """Where each segment starts in the layer's text."""
+    return list(accumulate((len(s.text) for s in layer[:-1]), initial=0))
+
+
+def reached(layer: list[Segment], starts: list[int], start: int, end: int) -> Iterator[tuple[int, Segment]]:
+    """The segments, with their starts, that hold characters of a layer's span."""
+    for k in range(max(bisect_right(starts, start) - 1, 0), len(layer)):
+        if starts[k] >= end:
+            return
+        if starts[k] + len(layer[k].text) > start:
+            yield starts[k], layer[k]
+
+
+def place(layer: list[Segment], starts: list[int], start: int, end: int) -> tuple[int, int, bool]:
     """The original span of a layer's span, and whether it touches decoded text."""
-    at, left, right, decoded = 0, None, None, False
-    for s in layer:
-        stop = at + len(s.text)
-        if stop > start and at < end:
-            if left is None:
-                left = s.start if s.decoded else s.start + start - at
-            right = s.end if s.decoded else s.start + min(end, stop) - at
-            decoded |= s.decoded
-        at = stop
-        if at >= end:
-            break
+    left, right, decoded = None, None, False
+    for at, s in reached(layer, starts, start, end):
+        if left is None:
+            left = s.start if s.decoded else s.start + start - at
+        right = s.end if s.decoded else s.start + min(end, at + len(s.text)) - at
+        decoded |= s.decoded
     return left, right, decoded
 
 
-def cut(layer: list[Segment], start: int, end: int) -> Iterator[Segment]:
+def cut(layer: list[Segment], starts: list[int], start: int, end: int) -> Iterator[Segment]:
     """The segments of a layer's span."""
-    at = 0
-    for s in layer:
+    for at, s in reached(layer, starts, start, end):
         lo, hi = max(start - at, 0), min(end - at, len(s.text))
         if lo < hi:
             yield s if s.decoded and lo == 0 and hi == len(s.text) else Segment(
                 s.text[lo:hi], s.start if s.decoded else s.start + lo, s.end if s.decoded else s.start + hi, s.decoded)
-        at += len(s.text)
 
 
 def unwrapped(layer: list[Segment], text: str, pattern, decode, limit: int) -> list[Segment] | None:
     """The layer with all runs of one encoding decoded; None if there are none."""
-    out, done = [], 0
+    out, done, starts = [], 0, offsets(layer)
     for m in pattern.finditer(text):
         plain = decode(m[0], limit)
         if plain is None or plain == m[0]:
             continue
-        left, right, _ = place(layer, m.start(), m.end())
-        out += [*cut(layer, done, m.start()), Segment(plain, left, right, True)]
+        left, right, _ = place(layer, starts, m.start(), m.end())
+        out += [*cut(layer, starts, done, m.start()), Segment(plain, left, right, True)]
         done = m.end()
     if not done:
         return None
-    return [*out, *cut(layer, done, len(text))]
+    return [*out, *cut(layer, starts, done, len(text))]
 
 
 def hints(text: str) -> bool:
@@ -199,8 +208,9 @@ def decoded_spans(text: str, limit: int) -> set[Span]:
                 continue
             seen.add(digest)
             work.append(new)
+            starts = offsets(new)
             for kind, start, end in base_spans(inner):
-                left, right, decoded = place(new, start, end)
+                left, right, decoded = place(new, starts, start, end)
                 if decoded:
                     found.add((kind, left, right))
     return found

@@ -70,6 +70,18 @@ def test_long_runs_take_linear_time(text):
     secrets.scan_text(text, 1 << 20)
 
 
+def test_many_escapes_take_linear_time():
+    import time
+    took = []
+    for n in (5_000, 20_000):
+        text = "%2541 " * n + "token%3DabcdefgHIJKL1234"
+        start = time.process_time()
+        _, spans = secrets.scan_text(text, 1 << 24)
+        took.append(time.process_time() - start)
+        assert ("assign", 6 * n, len(text)) in spans
+    assert took[1] < 10 * max(took[0], 0.05) and took[1] < 20
+
+
 def test_queries_on_testdata_and_hard_cases(spark):
     sf = "/root/testdata/sf0.001"
     docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
