@@ -3,6 +3,11 @@
 Each stage is ``(spark, docs, sf_dir) -> DataFrame``; its result is written as
 Parquet into the shared checkpoint folder and reread as the next one's docs.
 All but the last stage return rows of their docs with the same columns.
+
+Defined results: null texts count as empty; empty, very long and repeated texts go
+through every stage like others (of equal texts one row stays); extra columns ride
+along unchanged, but the names ``__quality_score``, ``__file`` and ``__row`` are
+taken; empty tables give an empty result.
 """
 
 from __future__ import annotations
