@@ -78,6 +78,7 @@ def forget() -> None:
     _folds_cached.cache_clear()
     _matrices.cache_clear()
     _searched.cache_clear()
+    _importance_table.cache_clear()
 
 
 class Split:
@@ -428,8 +429,15 @@ def q_permutation_importance(spark, sf):
     return EV.permutation_importance(fitted, sp.test, sp.feats)
 
 
+@lru_cache(maxsize=8)
+def _importance_table(spark, sf, name):
+    """One row per feature; written, so that several reports read the same refits."""
+    sp = Split(spark, sf)
+    return materialize(EV.cv_permutation_importance(sp.models([name])[name], sp.folds(), sp.feats), "importance")
+
+
 def _cv_importance(sp, name):
-    return EV.cv_permutation_importance(sp.models([name])[name], sp.folds(), sp.feats)
+    return _importance_table(*sp.source, name).orderBy(F.col("importance").desc(), "feature")
 
 
 @register("cv_permutation_importance")
