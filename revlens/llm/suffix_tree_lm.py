@@ -4,19 +4,23 @@ Symbols are the bytes of the text with A-Z lower-cased, then one end.  A context
 is the run of bytes before a symbol (with a start mark at the text's start).
 
 Learning, over all training documents: tasks count runs of ``depth`` + 1 symbols,
-Spark adds them up and derives every shorter context.  A context is a candidate
-if at least ``min_share`` of all symbols follow it (at most 1/min_share contexts a
-depth can be), and it is retained if its next-symbol distribution diverges from
-that of the next shorter context: share x KL divergence >= ``min_gain`` nats a
-symbol, and number x KL divergence >= ``evidence`` nats for each different symbol
-that follows (a likelihood-ratio test).  Suffixes of retained contexts are retained, so the tree is closed.
-Distributions are smoothed towards the next shorter context's, the empty
-context's towards equal shares, with ``smoothing`` pseudo-counts for each
-different symbol that follows the context (Witten-Bell, for 1).
-
-Scoring: each symbol is predicted by the longest retained suffix before it; a
-text's score is the sum of log10 probabilities.  The tree's size is bounded by
-``min_share`` and ``depth`` whatever the corpus, so it may be broadcast.
+Spark adds them up and derives every shorter context.  A context that occurs
+``min_count`` times is retained if its next-symbol distribution diverges from that
+of the next shorter context: number x KL divergence >= ``evidence`` nats for each
+different symbol that follows (a likelihood-ratio test).  Both are absolute, so the
+more text there is, the more contexts are retained.  Suffixes of retained contexts
+are retained, so the tree is closed.  Distributions are smoothed towards the next
+shorter context's, the empty context's towards equal shares, with ``smoothing``
+pseudo-counts for each different symbol that follows the context (Witten-Bell, for 1).
+
+The tree is a table of contexts in the shared folder.  Contexts that hold at least
+``min_share`` of all symbols are at most 1/min_share a depth whatever the corpus:
+this top is broadcast, with a mark for each retained context just below it.
+
+Scoring: each symbol is predicted by the longest retained suffix before it; a text's
+score is the sum of log10 probabilities.  Tasks walk the top; symbols whose suffix
+leads below it are looked up: their different runs are joined with the table, once
+for all texts, and each text is joined with what its runs gain.
 
 Beside it, the unigram base over words: tokens are words (free of ASCII white
 space) and one end.  Tokens with at least ``frequent_share`` of all are at most
@@ -37,7 +41,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm.common import materialize
@@ -51,7 +55,7 @@ END_TOKEN = ""  # words are never empty
 class TreeSpec:
     depth: int = 5
     min_share: float = 2e-6
-    min_gain: float = 2e-6
+    min_count: int = 8
     evidence: float = 2.0
     smoothing: float = 1.0
     frequent_share: float = 2e-6
@@ -122,93 +126,178 @@ def _runs(codes, counts) -> pa.RecordBatch:
                                       names=["code", "n"])
 
 
-def retained(runs: DataFrame, spec: TreeSpec) -> tuple[DataFrame | None, int]:
-    """(depth, context, symbol, n) of the retained contexts, and the number of symbols."""
-    total = runs.agg(F.sum("n")).first()[0] or 0
-    if not total:
-        return None, 0
+def shorter(depth: str = "depth") -> Column:
+    """The context without its farthest byte."""
+    return F.expr(f"context & (shiftleft(1L, 8 * ({depth} - 1)) - 1)")
+
+
+def retained(runs: DataFrame, spec: TreeSpec) -> DataFrame:
+    """The tree: (depth, context, total, nexts) of the retained contexts; ``nexts`` lists
+    the symbols that follow and their numbers."""
     levels = {}
     table = runs.select(F.shiftrightunsigned("code", 8).alias("context"),
                         F.expr("code & 255").alias("symbol"), "n")
     for depth in range(spec.depth, -1, -1):
         if depth < spec.depth:
-            mask = (1 << (8 * depth)) - 1
-            table = (levels[depth + 1].select(F.expr(f"context & {mask}L").alias("context"), "symbol", "n")
+            table = (levels[depth + 1].select(shorter(str(depth + 1)).alias("context"), "symbol", "n")
                      .groupBy("context", "symbol").agg(F.sum("n").alias("n")))
         levels[depth] = table = materialize(table, f"tree-runs-{depth}")
-    sums = {d: t.groupBy("context").agg(F.sum("n").alias("total")).filter(F.col("total") >= spec.min_share * total)
-            for d, t in levels.items()}
+    sums = {d: t.groupBy("context").agg(F.sum("n").alias("total")) for d, t in levels.items()}
     keep, out = None, []
+
+    def listed(depth, rows):
+        return rows.groupBy("context").agg(
+            F.sum("n").alias("total"), F.collect_list(F.struct("symbol", "n")).alias("nexts")).select(
+            F.lit(depth).alias("depth"), "context", "total", "nexts")
+
     for depth in range(spec.depth, 0, -1):
-        mask = (1 << (8 * (depth - 1))) - 1
-        parent = F.expr(f"context & {mask}L")
-        here = levels[depth].join(sums[depth], "context").withColumn("parent", parent)
+        parent = shorter(str(depth))
+        here = (levels[depth].join(sums[depth].filter(F.col("total") >= spec.min_count), "context")
+                .withColumn("parent", parent))
         above = (levels[depth - 1].join(sums[depth - 1], "context")
                  .select(F.col("context").alias("parent"), "symbol",
                          (F.col("n") / F.col("total")).alias("above")))
-        gain = F.sum(F.col("n") / total * F.log(F.col("n") / F.col("total") / F.col("above")))
-        enough = (F.col("gain") >= spec.min_gain) & (F.col("gain") * total >= spec.evidence * F.col("symbols"))
+        nats = F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("above")))
         tested = (here.join(above, ["parent", "symbol"]).groupBy("context")
-                  .agg(gain.alias("gain"), F.count(F.lit(1)).alias("symbols")).filter(enough).select("context"))
+                  .agg(nats.alias("nats"), F.count(F.lit(1)).alias("symbols"))
+                  .filter(F.col("nats") >= spec.evidence * F.col("symbols")).select("context"))
         keep = materialize(tested if keep is None else tested.unionByName(keep).distinct(), f"tree-kept-{depth}")
-        out.append(levels[depth].join(keep, "context").select(F.lit(depth).alias("depth"), "context", "symbol", "n"))
+        out.append(listed(depth, levels[depth].join(keep, "context")))
         keep = keep.select(parent.alias("context")).distinct()
-    out.append(levels[0].select(F.lit(0).alias("depth"), "context", "symbol", "n"))
-    model = out[0]
-    for part in out[1:]:
+    model = listed(0, levels[0])
+    for part in out:
         model = model.unionByName(part)
-    return model, total
+    return materialize(model, "tree-contexts")
 
 
 @dataclass
 class Tree:
     symbol: np.ndarray  # byte -> column
-    child: np.ndarray  # node, column -> node of the context one byte longer (0: none)
+    child: np.ndarray  # node, column -> node of the context one byte longer (0: none, BELOW: only in the table)
     logp: np.ndarray  # node, column -> log10 probability of the next symbol
 
 
-def build(rows, spec: TreeSpec) -> Tree:
-    """The tree of a table (depth, context, symbol, n); node 0 is dead, node 1 the empty context."""
-    seen = np.unique(np.concatenate([rows["symbol"].to_numpy(), [START, END]])).astype(np.int64)
+BELOW = -1
+
+
+def top_of(tree: DataFrame, spec: TreeSpec) -> tuple[Tree, DataFrame]:
+    """The broadcast top, and the table of the contexts below it."""
+    total = tree.filter("depth = 0").agg(F.max("total")).first()[0] or 0
+    frequent = F.col("total") >= spec.min_share * total
+    top, deep = tree.filter(frequent), tree.filter(~frequent)
+    rows = top.select("depth", "context", F.explode("nexts").alias("e")).select(
+        F.col("depth").cast("short"), "context", F.col("e.symbol").cast("short").alias("symbol"), "e.n")
+    # contexts just below the top: at most one for each node and byte
+    edge = deep.withColumn("up", shorter()).join(
+        top.select((F.col("depth") + 1).alias("depth"), F.col("context").alias("up")), ["depth", "up"])
+    return build(rows.toPandas(), edge.select("depth", "context").toPandas(), spec), deep
+
+
+def build(rows, below, spec: TreeSpec) -> Tree:
+    """The top from (depth, context, symbol, n) and the (depth, context) just below it; node 0
+    is dead, node 1 the empty context."""
+    seen = np.unique(np.concatenate([rows["symbol"].to_numpy(np.int64), [START, END]]))
     column = np.zeros(256, np.int64)  # column 0: every symbol that was never seen
     column[seen] = np.arange(1, len(seen) + 1)
     width = len(seen) + 1
-    contexts = rows[["depth", "context"]].drop_duplicates().sort_values(["depth", "context"])
+    rows = rows.sort_values(["depth", "context"])
+    keys = rows[["depth", "context"]].drop_duplicates()
+    depth, context = keys["depth"].to_numpy(np.int64), keys["context"].to_numpy(np.int64)
     at = {(0, 0): 1}
-    for key in zip(contexts["depth"].tolist(), contexts["context"].tolist()):
+    for key in zip(depth.tolist(), context.tolist()):
         at.setdefault(key, len(at) + 1)
     child = np.zeros((len(at) + 1, width), np.int32)
     parents = np.ones(len(at) + 1, np.int64)
-    for (depth, context), node in at.items():
-        if depth:
-            shift = 8 * (depth - 1)
-            parent = at[depth - 1, context & ((1 << shift) - 1)]
-            parents[node] = parent
-            child[parent, column[context >> shift]] = node
-    count = np.zeros((len(at) + 1, width), np.float64)
+
+    def above(d, c):
+        shift = 8 * (d - 1)
+        return at[d - 1, c & ((1 << shift) - 1)], column[c >> shift & 255]
+
+    for (d, c), node in at.items():
+        if d:
+            parents[node], byte = above(d, c)
+            child[parents[node], byte] = node
+    for d, c in zip(below["depth"].tolist(), below["context"].tolist()):
+        child[above(d, c)] = BELOW
+    share = np.zeros((len(at) + 1, width), np.float32)
     nodes = np.array([at[k] for k in zip(rows["depth"].tolist(), rows["context"].tolist())], np.int64)
-    np.add.at(count, (nodes, column[rows["symbol"].to_numpy()]), rows["n"].to_numpy())
-    share = np.zeros_like(count)
-    equal = 1 / 255  # any byte but the start mark
-    pseudo = spec.smoothing * np.maximum((count > 0).sum(axis=1), 1)
-    total = count.sum(axis=1) + pseudo
-    share[1] = (count[1] + pseudo[1] * equal) / total[1]
-    for node in range(2, len(at) + 1):  # parents come first
-        share[node] = (count[node] + pseudo[node] * share[parents[node]]) / total[node]
+    n = rows["n"].to_numpy(np.float64)
+    symbol = column[rows["symbol"].to_numpy(np.int64)]
+    pseudo = spec.smoothing * np.maximum(np.bincount(nodes, minlength=len(at) + 1), 1)
+    total = np.bincount(nodes, n, len(at) + 1) + pseudo
+    share[1] = pseudo[1] / 255 / total[1]  # any byte but the start mark
     share[0] = 1
-    return Tree(column, child, np.log10(share).astype(np.float32))
+    level = np.zeros(len(at) + 1, np.int64)
+    level[[*at.values()]] = [d for d, _ in at]
+    for d in range(spec.depth + 1):
+        own = np.flatnonzero(level == d)
+        if d:
+            share[own] = share[parents[own]] * (pseudo[own] / total[own])[:, None].astype(np.float32)
+        own = own[own > 0]
+        mine = np.isin(nodes, own)
+        share[nodes[mine], symbol[mine]] += (n[mine] / total[nodes[mine]]).astype(np.float32)
+    return Tree(column, child, np.log10(share, out=share))
+
+
+def walk(tree: Tree, before: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per symbol: the node of its longest suffix in the top, its depth, and whether the tree goes on
+    below; ``before`` lists the symbols one, two, ... places earlier."""
+    size = len(before[0])
+    node = best = np.ones(size, np.int64)
+    deep, depth = np.zeros(size, bool), np.zeros(size, np.int8)
+    for back, prior in enumerate(before, 1):
+        node = tree.child[node, tree.symbol[prior]]
+        deep |= node == BELOW
+        node = np.maximum(node, 0)
+        best = np.where(node > 0, node, best)
+        depth[node > 0] = back
+    return best, depth, deep
 
 
-def tree_scores(tree: Tree, data: np.ndarray, sizes: np.ndarray, depth: int) -> np.ndarray:
+def tree_scores(tree: Tree, data: np.ndarray, sizes: np.ndarray, depth: int):
+    """Per text: its score by the top; and runs that lead below it: (text, code, times)."""
     if not len(sizes):
-        return np.zeros(0)
-    node = np.ones(len(data), np.int64)
-    best = node
-    for back in range(1, depth + 1):
-        node = tree.child[node, tree.symbol[earlier(data, sizes, back)]]
-        best = np.where(node > 0, node, best)
+        return np.zeros(0), (np.zeros(0, np.int64),) * 3
+    before = [earlier(data, sizes, back) for back in range(1, depth + 1)]
+    best, _, deep = walk(tree, before)
     logp = tree.logp[best, tree.symbol[data]].astype(np.float64)
-    return np.add.reduceat(logp, np.cumsum(sizes) - sizes)
+    at = np.flatnonzero(deep)
+    code = data[at].astype(np.int64)
+    for back, prior in enumerate(before, 1):
+        code |= prior[at].astype(np.int64) << (8 * back)
+    text = np.searchsorted(np.cumsum(sizes), at, side="right")
+    order = np.lexsort((code, text))
+    code, text = code[order], text[order]
+    first = np.ones(len(at), bool)
+    first[1:] = (code[1:] != code[:-1]) | (text[1:] != text[:-1])
+    start = np.flatnonzero(first)
+    times = np.diff(np.append(start, len(at)))
+    return np.add.reduceat(logp, np.cumsum(sizes) - sizes), (text[start], code[start], times)
+
+
+def deep_gains(codes: DataFrame, shared, deep: DataFrame, spec: TreeSpec) -> DataFrame:
+    """(code, gain): what the contexts below the top add to log10 of the run's probability."""
+    def run(batches):
+        tree = shared.value[0]
+        for batch in batches:
+            code = batch.column(0).to_numpy()
+            byte = [(code >> (8 * k) & 255).astype(np.uint8) for k in range(spec.depth + 1)]
+            best, depth, _ = walk(tree, byte[1:])
+            top = 10.0 ** tree.logp[best, tree.symbol[byte[0]]].astype(np.float64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(depth.astype(np.int32)), pa.array(top)],
+                                             names=["code", "reached", "top"])
+
+    placed = codes.mapInArrow(run, "code bigint, reached int, top double")
+    each = placed.withColumn("depth", F.explode(F.sequence(F.col("reached") + 1, F.lit(spec.depth)))).select(
+        "code", "top", "depth", F.expr("code & 255").alias("symbol"),
+        F.expr("shiftrightunsigned(code, 8) & (shiftleft(1L, 8 * depth) - 1)").alias("context"))
+    n = F.get(F.filter("nexts", lambda e: e["symbol"] == F.col("symbol")), 0)["n"]
+    step = F.struct("depth", F.coalesce(n, F.lit(0)).alias("n"), "total",
+                    (spec.smoothing * F.size("nexts")).alias("pseudo"))
+    chain = (each.join(deep, ["depth", "context"]).groupBy("code", "top")
+             .agg(F.array_sort(F.collect_list(step)).alias("chain")))
+    share = F.aggregate("chain", F.col("top"), lambda up, x: (x["n"] + x["pseudo"] * up) / (x["total"] + x["pseudo"]))
+    return chain.select("code", (F.log10(share) - F.log10("top")).alias("gain"))
 
 
 def words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray]:
@@ -243,6 +332,7 @@ def count_words(texts: DataFrame) -> DataFrame:
 @dataclass
 class Model:
     tree: Tree
+    deep: DataFrame  # depth, context, total, nexts of the contexts below the top
     frequent: dict  # token -> count
     counts: DataFrame  # token, n
     n_tokens: int
@@ -251,17 +341,13 @@ class Model:
 
 def fit(texts: DataFrame, spec: TreeSpec = TreeSpec()) -> Model:
     """Learns from a table with the one column ``text`` (no nulls)."""
-    rows, _ = retained(materialize(count_runs(texts, spec), "tree-runs"), spec)
-    if rows is None:
-        import pandas as pd
-        found = pd.DataFrame({c: np.empty(0, np.int64) for c in ("depth", "context", "symbol", "n")})
-    else:
-        found = rows.toPandas()  # bounded by depth / min_share contexts
+    tree, deep = top_of(retained(materialize(count_runs(texts, spec), "tree-runs"), spec), spec)
     counts = materialize(count_words(texts), "tree-words")
     sums = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, distinct = sums["n"] or 0, sums["v"] or 0
     often = counts.filter(F.col("n") >= spec.frequent_share * total).toPandas()  # at most 1/frequent_share
-    return Model(build(found, spec), dict(zip(often["token"].tolist(), often["n"].tolist())), counts, total, distinct)
+    return Model(tree, deep, dict(zip(often["token"].tolist(), often["n"].tolist())), counts, total,
+                 distinct)
 
 
 def score(docs: DataFrame, model: Model, spec: TreeSpec = TreeSpec()) -> DataFrame:
@@ -269,6 +355,7 @@ def score(docs: DataFrame, model: Model, spec: TreeSpec = TreeSpec()) -> DataFra
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast((model.tree, model.frequent))
     rare_type = pa.list_(pa.struct([("token", pa.string()), ("times", pa.int64())]))
+    deep_type = pa.list_(pa.struct([("code", pa.int64()), ("times", pa.int64())]))
 
     def run(batches):
         tree, frequent = shared.value
@@ -300,16 +387,22 @@ def score(docs: DataFrame, model: Model, spec: TreeSpec = TreeSpec()) -> DataFra
             offsets = np.searchsorted(holder, np.arange(part.num_rows + 1)).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(
                 [tokens, counted], fields=list(rare_type.value_type)))
+            by_top, (text, run_code, run_times) = tree_scores(tree, data, sizes, spec.depth)
+            deep = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(text, np.arange(part.num_rows + 1)).astype(np.int32)),
+                pa.StructArray.from_arrays([pa.array(run_code), pa.array(run_times)],
+                                           fields=list(deep_type.value_type)))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(np.bincount(owner, minlength=part.num_rows) + 1, pa.int64()),
                  pa.array(often.astype(np.int64)), pa.array(base),
-                 pa.array(tree_scores(tree, data, sizes, spec.depth)), lists],
-                names=["doc_id", "n_tokens", "often", "base", "score", "rare"])
+                 pa.array(by_top), lists, deep],
+                names=["doc_id", "n_tokens", "often", "base", "score", "rare", "deep"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     scored = materialize(
         rows.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, often bigint, base double, score double, "
-                             "rare array<struct<token:string,times:bigint>>")
+                             "rare array<struct<token:string,times:bigint>>, "
+                             "deep array<struct<code:bigint,times:bigint>>")
         .withColumn("row", F.monotonically_increasing_id()), "tree-scored")
     looked_up = (scored.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.times")
                  .join(model.counts.hint("shuffle_hash"), "token", "left"))
@@ -317,8 +410,13 @@ def score(docs: DataFrame, model: Model, spec: TreeSpec = TreeSpec()) -> DataFra
     sums = looked_up.groupBy("row").agg(
         F.sum(F.col("times") * F.log10(n + 0.5)).alias("rare_base"),
         F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("rare_known"))
+    below = scored.select("row", F.explode("deep").alias("d")).select("row", "d.code", "d.times")
+    gains = materialize(deep_gains(below.select("code").distinct(), shared, model.deep, spec), "tree-gains")
+    added = below.join(gains.hint("shuffle_hash"), "code").groupBy("row").agg(
+        F.sum(F.col("times") * F.col("gain")).alias("added"))
     scale = math.log10(model.n_tokens + 0.5 * (model.n_distinct + 1))
-    return scored.drop("rare").join(sums, "row", "left").select(
+    return scored.drop("rare", "deep").join(sums, "row", "left").join(added, "row", "left").select(
         "doc_id", "n_tokens", (F.col("often") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(model.n_tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) - F.col("n_tokens") * scale).alias("base_score"), "score")
+        (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) - F.col("n_tokens") * scale).alias("base_score"),
+        (F.col("score") + F.coalesce("added", F.lit(0.0))).alias("score"))

@@ -14,7 +14,7 @@ from revlens.llm.common import crc_mod
 from revlens.llm.suffix_tree_lm import TreeSpec
 from tests.llm.helpers import FOLD, HARD, SCHEMA, WORDS, hard, nothing, prose, row, rows
 
-SPEC = TreeSpec(depth=3, min_share=0.003, min_gain=0.002, evidence=1.0, frequent_share=0.02)
+SPEC = TreeSpec(depth=3, min_share=0.003, min_count=3, evidence=1.0, frequent_share=0.02)
 
 
 def symbols(text):
@@ -32,15 +32,14 @@ def plain_tree(texts, spec):
         for i, s in enumerate(seq):
             for d in range(spec.depth + 1):
                 counts[d][context(seq, i, d)][s] += 1
-    total = sum(counts[0][()].values())
     kept = {()}
     for d in range(spec.depth, 0, -1):
         for c, nxt in counts[d].items():
             n = sum(nxt.values())
-            if n >= spec.min_share * total:
+            if n >= spec.min_count:
                 up = counts[d - 1][c[:-1]]
-                gain = sum(v / total * math.log(v / n / (up[s] / sum(up.values()))) for s, v in nxt.items())
-                if gain >= spec.min_gain and gain * total >= spec.evidence * len(nxt):
+                nats = sum(v * math.log(v / n / (up[s] / sum(up.values()))) for s, v in nxt.items())
+                if nats >= spec.evidence * len(nxt):
                     kept |= {c[:k] for k in range(d + 1)}
     return counts, kept
 
@@ -74,7 +73,9 @@ def plain_base(train, texts):
 DATA = [row(i, prose(i, 20 + i % 7)) for i in range(40)] + HARD[:8] + HARD[9:12]
 
 
-@pytest.mark.parametrize("spec", [SPEC, TreeSpec(depth=2, min_share=0.01, min_gain=0.01, frequent_share=2.0)])
+@pytest.mark.parametrize("spec", [
+    SPEC, TreeSpec(depth=2, min_share=0.01, frequent_share=2.0),
+    TreeSpec(depth=7, min_share=0.002, min_count=2), TreeSpec(depth=4, min_share=1.0)])
 def test_scores_and_base(spark, spec):
     docs = spark.createDataFrame(DATA, SCHEMA).repartition(3)
     train = docs.filter(F.col("doc_id") < 30).select(F.coalesce("text", F.lit("")).alias("text"))
@@ -113,6 +114,14 @@ def test_no_training_rows_and_empty_table(spark):
     assert st.score(nothing(spark), model).collect() == []
 
 
+def test_tree_grows_with_the_corpus(spark):
+    def contexts(n):
+        texts = spark.createDataFrame([(prose(i, 60),) for i in range(n)], "text string").repartition(2)
+        return st.retained(st.count_runs(texts, TreeSpec()), TreeSpec()).count()
+    sizes = [contexts(n) for n in (20, 80, 320)]
+    assert sizes[0] < sizes[1] < sizes[2]
+
+
 def test_query_learns_from_its_folds_only(spark):
     sf = "/root/testdata/sf0.001"
     got = queries.op8_suffix_tree_lm(spark, sf).toPandas().set_index("doc_id")
