@@ -173,7 +173,9 @@ def retained(runs: DataFrame, spec: TreeSpec) -> DataFrame:
 @dataclass
 class Tree:
     symbol: np.ndarray  # byte -> column
-    child: np.ndarray  # node, column -> node of the context one byte longer (0: none, BELOW: only in the table)
+    #: node (the deepest left out), column -> node of the context one byte longer
+    #: (0: none, BELOW: only in the table)
+    child: np.ndarray
     logp: np.ndarray  # node, column -> log10 probability of the next symbol
 
 
@@ -190,52 +192,55 @@ def top_of(tree: DataFrame, spec: TreeSpec) -> tuple[Tree, DataFrame]:
     # contexts just below the top: at most one for each node and byte
     edge = deep.withColumn("up", shorter()).join(
         top.select((F.col("depth") + 1).alias("depth"), F.col("context").alias("up")), ["depth", "up"])
-    return build(rows.toPandas(), edge.select("depth", "context").toPandas(), spec), deep
+    return build(_columns(rows), _columns(edge.select(F.col("depth").cast("short"), "context")), spec), deep
+
+
+def _columns(rows: DataFrame) -> dict[str, np.ndarray]:
+    table = rows.toArrow()
+    return {name: table.column(name).to_numpy() for name in table.column_names}
 
 
 def build(rows, below, spec: TreeSpec) -> Tree:
     """The top from (depth, context, symbol, n) and the (depth, context) just below it; node 0
     is dead, node 1 the empty context."""
-    seen = np.unique(np.concatenate([rows["symbol"].to_numpy(np.int64), [START, END]]))
+    seen = np.unique(np.append(rows["symbol"], [START, END])).astype(np.int64)
     column = np.zeros(256, np.int64)  # column 0: every symbol that was never seen
     column[seen] = np.arange(1, len(seen) + 1)
     width = len(seen) + 1
-    rows = rows.sort_values(["depth", "context"])
-    keys = rows[["depth", "context"]].drop_duplicates()
-    depth, context = keys["depth"].to_numpy(np.int64), keys["context"].to_numpy(np.int64)
-    at = {(0, 0): 1}
-    for key in zip(depth.tolist(), context.tolist()):
-        at.setdefault(key, len(at) + 1)
-    child = np.zeros((len(at) + 1, width), np.int32)
-    parents = np.ones(len(at) + 1, np.int64)
-
-    def above(d, c):
-        shift = 8 * (d - 1)
-        return at[d - 1, c & ((1 << shift) - 1)], column[c >> shift & 255]
-
-    for (d, c), node in at.items():
-        if d:
-            parents[node], byte = above(d, c)
-            child[parents[node], byte] = node
-    for d, c in zip(below["depth"].tolist(), below["context"].tolist()):
-        child[above(d, c)] = BELOW
-    share = np.zeros((len(at) + 1, width), np.float32)
-    nodes = np.array([at[k] for k in zip(rows["depth"].tolist(), rows["context"].tolist())], np.int64)
-    n = rows["n"].to_numpy(np.float64)
-    symbol = column[rows["symbol"].to_numpy(np.int64)]
-    pseudo = spec.smoothing * np.maximum(np.bincount(nodes, minlength=len(at) + 1), 1)
-    total = np.bincount(nodes, n, len(at) + 1) + pseudo
-    share[1] = pseudo[1] / 255 / total[1]  # any byte but the start mark
+
+    def key(depth, context):  # contexts have up to 7 bytes
+        return depth.astype(np.int64) << 56 | context
+
+    def above(keys):
+        """The node of each context without its farthest byte, and that byte's column."""
+        shift = 8 * ((keys >> 56) - 1)
+        context = keys & ((1 << 56) - 1)
+        up = (keys >> 56) - 1 << 56 | context & ((1 << shift) - 1)
+        return np.searchsorted(listed, up) + 1, column[context >> shift & 255]
+
+    own = key(rows["depth"], rows["context"])
+    listed = np.unique(np.append(own, 0))  # shorter contexts first
+    nodes = np.searchsorted(listed, own) + 1
+    level = np.append(0, listed >> 56)
+    size = len(level)
+    parents = np.ones(size, np.int64)
+    child = np.zeros((max(2, np.searchsorted(level, spec.depth)), width), np.int32)
+    parents[2:], byte = above(listed[1:])
+    child[parents[2:], byte] = np.arange(2, size)
+    child[above(key(below["depth"], below["context"]))] = BELOW
+    n, symbol = rows["n"].astype(np.float64), column[rows["symbol"]]
+    pseudo = spec.smoothing * np.maximum(np.bincount(nodes, minlength=size), 1)
+    total = np.bincount(nodes, n, size) + pseudo
+    share = np.zeros((size, width), np.float32)
+    share[nodes, symbol] = n / total[nodes]
+    share[1] += pseudo[1] / 255 / total[1]  # any byte but the start mark
+    rest = (pseudo / total).astype(np.float32)[:, None]
+    for depth in range(1, spec.depth + 1):
+        start, stop = np.searchsorted(level[2:], [depth, depth + 1]) + 2
+        for at in range(start, stop, 4096):  # parents come first
+            part = slice(at, min(at + 4096, stop))
+            share[part] += rest[part] * share[parents[part]]
     share[0] = 1
-    level = np.zeros(len(at) + 1, np.int64)
-    level[[*at.values()]] = [d for d, _ in at]
-    for d in range(spec.depth + 1):
-        own = np.flatnonzero(level == d)
-        if d:
-            share[own] = share[parents[own]] * (pseudo[own] / total[own])[:, None].astype(np.float32)
-        own = own[own > 0]
-        mine = np.isin(nodes, own)
-        share[nodes[mine], symbol[mine]] += (n[mine] / total[nodes[mine]]).astype(np.float32)
     return Tree(column, child, np.log10(share, out=share))
 
 
