@@ -2,8 +2,10 @@
 
 Alternating large-star and small-star steps: each step re-hangs links on the
 smallest neighbour, so chains shrink by a factor each round and hubs are never
-gathered (only minima per node are).  Each round is written to the shared
-folder, which cuts lineage and survives lost executors.
+gathered (only minima per node are).  With ``hubs``, nodes that hold a thousandth
+of the links or more, at most 1,000 a side, are joined map-side, so their links
+are not shuffled to one task.  Each round is written to the shared folder, which
+cuts lineage and survives lost executors.
 """
 
 from __future__ import annotations
@@ -11,10 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import materialize
+from revlens.llm.common import join_by_key, materialize
 
 
-def components(links: DataFrame, a: str, b: str) -> DataFrame:
+def components(links: DataFrame, a: str, b: str, hubs: bool = False) -> DataFrame:
     """``(node, root)`` for every node of the links ``(a, b)``: root is the smallest
     node that it reaches.  Links may repeat, run either way, or be loops; rows
     with a null end are ignored.  No links, no rows."""
@@ -22,27 +24,36 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         F.col(a).isNotNull() & F.col(b).isNotNull())
     edges = materialize(start.filter("u <> v").distinct(), "links")
     before = None
+    total = edges.count() if hubs else None
     while True:
-        edges = materialize(_small_star(_large_star(edges)), "links")
+        edges = materialize(_small_star(_large_star(edges, total), total), "links")
         now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))
                         .alias("h")).first()
         if now == before:
             break
         before = now
+        total = now["n"] if hubs else None
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(rows: DataFrame, least: DataFrame, total: int | None) -> DataFrame:
+    if total is None:
+        return rows.join(least.drop("size"), "u")
+    return join_by_key(rows, least, ["u"], "size", total).drop("size")
+
+
+def _large_star(edges: DataFrame, total: int | None) -> DataFrame:
     """Each node's larger neighbours hang on its smallest neighbour (or itself)."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return (both.filter("v > u").join(least, "u")
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("size")).select(
+        "u", F.least("u", "m").alias("m"), "size")
+    return (_with_least(both.filter("v > u"), least, total and 2 * total)
             .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int | None) -> DataFrame:
     """Each node and its smaller neighbours hang on the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("size"))
+    moved = _with_least(edges, least, total).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
