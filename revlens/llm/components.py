@@ -26,7 +26,7 @@ def components(links: DataFrame, a: str, b: str, hubs: bool = False) -> DataFram
     before = None
     total = edges.count() if hubs else None
     while True:
-        edges = materialize(_small_star(_large_star(edges, total), total), "links")
+        edges = materialize(_small_star(_large_star(edges, total)), "links")
         now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))
                         .alias("h")).first()
         if now == before:
@@ -37,23 +37,18 @@ def components(links: DataFrame, a: str, b: str, hubs: bool = False) -> DataFram
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
-def _with_least(rows: DataFrame, least: DataFrame, total: int | None) -> DataFrame:
-    if total is None:
-        return rows.join(least.drop("size"), "u")
-    return join_by_key(rows, least, ["u"], "size", total).drop("size")
-
-
 def _large_star(edges: DataFrame, total: int | None) -> DataFrame:
     """Each node's larger neighbours hang on its smallest neighbour (or itself)."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("size")).select(
         "u", F.least("u", "m").alias("m"), "size")
-    return (_with_least(both.filter("v > u"), least, total and 2 * total)
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
+    larger = both.filter("v > u")
+    met = larger.join(least, "u") if total is None else join_by_key(larger, least, ["u"], "size", 2 * total)
+    return met.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
 
 
-def _small_star(edges: DataFrame, total: int | None) -> DataFrame:
+def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours hang on the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("size"))
-    moved = _with_least(edges, least, total).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    moved = edges.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
