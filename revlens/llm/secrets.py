@@ -2,8 +2,8 @@
 
 Base patterns run over every whole text.  Then each text is a worklist of
 layers: a layer's percent escapes, Unicode escapes, base64 runs and compressed
-runs (base64 or hex of gzip or zlib data) are decoded in place, one kind at a
-time, and every new layer is scanned again until nothing new appears.  A layer
+runs (base64 or hex of gzip or zlib data) are decoded in place, one kind (of base64,
+one phase) at a time, and every new layer is scanned again until nothing new appears.  A layer
 already seen (by digest) is not visited twice, which ends cycles.  A layer is a
 list of segments that know their place in the original text, so a finding in
 any layer maps back to a span there; findings that touch no decoded segment are
@@ -11,8 +11,11 @@ the base findings already known.
 
 Spans are (kind, start, end) in code points of the original text, end exclusive.
 
-Decoded data must be text: UTF-8 without control characters.  Decompression
-stops at ``max_layer_bytes`` bytes of output (a guard against bombs; the run is
+Decoded data must be text: UTF-8 or UTF-16 without control characters.  Base64 may
+be wrapped in lines.  A run that doesn't decode as a whole is decoded in each of the
+four phases that base64 can have in it, and texts of 16 characters and more, and
+compressed data, are taken from there: so payloads behind a path, a name or other
+bytes are found in linear time.  Decompression stops at ``max_layer_bytes`` bytes of output (a guard against bombs; the run is
 then left as it is).
 
 Defined results: null text counts as empty and has no spans; a span found in
@@ -57,6 +60,12 @@ ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,
 ONE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}|&#(?:x([0-9A-Fa-f]{1,6})|([0-9]{1,7}));")
 #: The shortest secret has 16 characters, which base64 writes with 22.
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+#: Lines of base64; possessive and begun at a run's first character only, so linear.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{20,}+\r?\n[\x20\t]*+)+[A-Za-z0-9+/_-]++={0,2}")
+#: Text of at least 16 characters (the shortest secret) inside other bytes, in UTF-8 or as ASCII in UTF-16.
+PRINTABLE = re.compile(rb"(?:[\x20-\x7e\t\n\r]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){16,}"
+                       rb"|(?:[\x20-\x7e\t\n\r]\x00){15,}[\x20-\x7e]?|(?:\x00[\x20-\x7e\t\n\r]){16,}")
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
 HEX_DATA = re.compile(r"(?:[0-9a-f]{2}){16,}|(?:[0-9A-F]{2}){16,}")
 CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 
@@ -78,11 +87,20 @@ def base_spans(text: str) -> list[Span]:
 
 
 def as_text(data: bytes) -> str | None:
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return None if CONTROL.search(text) else text
+    """Text in UTF-8, or in UTF-16 (by its mark, or where every second byte is mostly zero)."""
+    names = ["utf-8"]
+    if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        names = ["utf-16"]
+    elif len(data) % 2 == 0 and 4 * data.count(0) > len(data):
+        names = ["utf-16-le" if data[1::2].count(0) > data[::2].count(0) else "utf-16-be"]
+    for name in names:
+        try:
+            text = data.decode(name)
+        except UnicodeDecodeError:
+            continue
+        if not CONTROL.search(text):
+            return text
+    return None
 
 
 def decode_percent(run: str, limit: int) -> str | None:
@@ -128,8 +146,72 @@ def decode_hex(run: str, limit: int) -> str | None:
     return unpack(bytes.fromhex(run), limit)
 
 
-DECODERS: tuple[tuple[re.Pattern, Callable[[str, int], str | None]], ...] = (
-    (PERCENT, decode_percent), (ESCAPE, decode_escapes), (BASE64, decode_base64), (HEX_DATA, decode_hex))
+Piece = tuple[int, int, str]
+
+
+def whole(decode: Callable[[str, int], str | None]) -> Callable[[str, int], Iterator[Piece]]:
+    """A decoder of whole runs."""
+    def pieces(run: str, limit: int) -> Iterator[Piece]:
+        plain = decode(run, limit)
+        if plain is not None and plain != run:
+            yield 0, len(run), plain
+    return pieces
+
+
+def wrapped_base64(run: str, limit: int) -> Iterator[Piece]:
+    """Lines of one base64 run; the last line may be plain text that follows it."""
+    for end in (len(run), len(run[:run.rindex("\n")].rstrip())):
+        plain = decode_base64("".join(run[:end].split()), limit)
+        if plain is not None:
+            yield 0, end, plain
+            return
+
+
+def packed(data: bytes, limit: int) -> Iterator[tuple[int, int, str]]:
+    """Compressed runs inside other bytes (of which 4 kB give some output)."""
+    done, view = 0, memoryview(data)
+    for m in MAGIC.finditer(data):
+        if m.start() < done:
+            continue
+        reader = zlib.decompressobj(wbits=47)
+        try:
+            out = reader.decompress(view[m.start():m.start() + 4096], limit)
+            if out and not reader.eof and len(out) < limit:
+                out += reader.decompress(view[m.start() + 4096:], limit - len(out))
+        except zlib.error:
+            continue
+        plain = as_text(out) if reader.eof else None
+        if plain:
+            done = len(data) - len(reader.unused_data)
+            yield m.start(), done, plain
+
+
+def shifted_base64(phase: int) -> Callable[[str, int], Iterator[Piece]]:
+    """Texts and compressed runs inside a run that doesn't decode as a whole.
+
+    Every place where base64 can begin has one of four phases, so decoding the run
+    once a phase finds data behind names or paths of the same characters, and
+    between control characters, in time linear in the run."""
+    def pieces(run: str, limit: int) -> Iterator[Piece]:
+        plain = decode_base64(run, limit)
+        if plain is not None and plain.isascii():  # other bytes may be UTF-16 by chance
+            return
+        body = run.rstrip("=")[phase:].replace("-", "+").replace("_", "/")
+        data = base64.b64decode(body + "A" * (-len(body) % 4))[:len(body) * 3 // 4]
+        found = [(m.start(), m.end(), m[0].decode("utf-8", "replace").replace("\0", ""))
+                 for m in PRINTABLE.finditer(data)] + list(packed(data, limit))
+        done = 0
+        for start, end, plain in sorted(found):
+            if start >= done:  # a character may hold bits of two pieces
+                left = phase + start // 3 * 4
+                yield left, min(phase + -(-end // 3) * 4, len(run)), plain
+                done = -(-end // 3) * 3
+    return pieces
+
+
+DECODERS: tuple[tuple[re.Pattern, Callable[[str, int], Iterator[Piece]]], ...] = (
+    (PERCENT, whole(decode_percent)), (ESCAPE, whole(decode_escapes)), (BASE64, whole(decode_base64)),
+    (WRAPPED, wrapped_base64), *((BASE64, shifted_base64(p)) for p in range(4)), (HEX_DATA, whole(decode_hex)))
 
 
 def flat(layer: list[Segment]) -> str:
@@ -172,14 +254,14 @@ def cut(layer: list[Segment], starts: list[int], start: int, end: int) -> Iterat
 
 def unwrapped(layer: list[Segment], text: str, pattern, decode, limit: int) -> list[Segment] | None:
     """The layer with all runs of one encoding decoded; None if there are none."""
-    out, done, starts = [], 0, offsets(layer)
+    out, done, starts = [], 0, None
     for m in pattern.finditer(text):
-        plain = decode(m[0], limit)
-        if plain is None or plain == m[0]:
-            continue
-        left, right, _ = place(layer, starts, m.start(), m.end())
-        out += [*cut(layer, starts, done, m.start()), Segment(plain, left, right, True)]
-        done = m.end()
+        for start, end, plain in decode(m[0], limit):
+            starts = offsets(layer) if starts is None else starts
+            start, end = m.start() + start, m.start() + end
+            left, right, _ = place(layer, starts, start, end)
+            out += [*cut(layer, starts, done, start), Segment(plain, left, right, True)]
+            done = end
     if not done:
         return None
     return [*out, *cut(layer, starts, done, len(text))]
