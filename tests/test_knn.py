@@ -1,8 +1,10 @@
 """Exact neighbours with pivots: equal to brute force, with far fewer distances on clustered rows."""
 
 import numpy as np
+import pandas as pd
 import pytest
 
+from revlens.operators import knn
 from revlens.operators.knn import Search, knn_scores
 
 
@@ -57,3 +59,20 @@ def test_many_numbers_of_neighbours_at_once(spark):
         for k in (1, 20, 5000):
             want = brute(train, label, query, k)
             assert all(abs(got[i, k] - want[i]) < 1e-12 for i in want)
+
+
+def test_visits_are_made_a_bounded_number_at_a_time():
+    """Queries that visit all of many split cells make one row per cell, few at once."""
+    rng = np.random.default_rng(5)
+    cells = knn.Cells(rng.normal(size=(300, 4)))
+    cells.n, cells.radius, cells.parts = np.full(300, 8000), np.full(300, 1e3), np.full(300, 40)
+    asked = pd.DataFrame({"qid": np.arange(500), "vec": list(rng.normal(size=(500, 4))), "kth": 1.0})
+    sizes = [len(frame) for frame in knn._visits(cells, 5)([asked])]
+    assert max(sizes) <= knn.VISITS_AT_ONCE and sum(sizes) == 500 * 299
+
+
+def test_all_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(knn, "NUMBERS_AT_ONCE", 50)     # distances of equal rows in many slices
+    t, q = frames(spark, np.ones((90, 3)), np.arange(90) % 2, np.ones((4, 3)))
+    near = knn._nearest(4)(q.toPandas(), t.toPandas().assign(cell=0, slab=0))
+    assert sorted(near["tid"]) == sorted([0, 1, 2, 3] * 4) and (near["d2"] == 0).all()
