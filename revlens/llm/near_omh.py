@@ -15,11 +15,11 @@ items of either, must reach ``threshold`` (0.8).
    tie the bucket's members together, and only the ties of a spanning forest
    leave the task.  A bucket above ``part_rows`` rows is first compared with its
    pivot; rows tied to the pivot are connected by it.  Where other rows remain, the
-   bucket's rows are keyed anew by each pair of sketches that holds the bucket's,
-   and such buckets, if still too large, are compared with a pivot and then as all
-   pairs of parts that hold a row not tied to it.  So a pair at the threshold is
-   missed only if it shares no bucket (1e-6), or a single one that is large and
-   left open by its pivot (1.2e-5).
+   bucket's rows are keyed anew by single samples of the other sketches, so many of
+   them that a pair with ``min_agree`` agreeing samples shares one, and such buckets,
+   if still too large, are compared with a pivot and then as all pairs of parts that
+   hold a row not tied to it.  So the ties of a bucket connect the same rows whatever
+   its size: a pair at the threshold is missed only if it shares no bucket (1e-6).
 3. Candidate groups (components of the ties) are verified exactly: shared items
    are counted over postings, and pairs that can reach the threshold are
    aligned unless already connected.  Large groups are verified as pairs of
@@ -306,16 +306,16 @@ def candidate_groups(reps: DataFrame, spec: NearSpec) -> DataFrame:
     if large.isEmpty():
         return components(compared(whole), "a", "b")
     first = _pivoted(large.select("digest", "bucket"), reps, spec)
-    # what the pivots leave open is keyed anew by every second sketch that the pair may share
+    # what the pivots leave open is keyed anew by single samples.  A pair of the bucket agrees in its
+    # sketch's picks and in min_agree - picks other samples at least, hence in one of any ``keyed`` others
     still = large.join(first.join(_unsettled(first).select("bucket"), "bucket", "left_semi")
                        .select("bucket", "digest", "tied"), ["bucket", "digest"])
-    open_ = still.groupBy("digest").agg(F.collect_list(F.struct("j", "tied")).alias("open")).join(
-        reps.select("digest", "keys"), "digest")
-    doubled = open_.select("digest", "keys", F.expr("transform(open, o -> o.j)").alias("large"),
-                           F.inline("open")).select(
-        "digest", "tied", "keys", "j", F.explode(F.expr(
-            f"filter(sequence(0, {spec.sketches - 1}), l -> l > j or (l < j and not array_contains(large, l)))"
-        )).alias("l")).select("digest", "tied", F.expr("xxhash64(j, l, keys[j], keys[l])").alias("bucket"))
+    others = (spec.sketches - 1) * spec.picks
+    keyed = min(others, others - max(spec.min_agree - spec.picks, 1) + 1)
+    places = F.expr(f"slice(filter(sequence(0, {spec.sketches * spec.picks - 1}), p -> p div {spec.picks} <> j), "
+                    f"1, {keyed})")
+    doubled = still.join(reps.select("digest", "bits"), "digest").withColumn("p", F.explode(places)).select(
+        "digest", "tied", F.expr("xxhash64(bucket, p, substring(bits, 2 * p + 1, 2))").alias("bucket"))
     again = doubled.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.bool_and("tied").alias("settled")).filter(
         "n > 1 and not settled")
     second = materialize(doubled.join(again, "bucket"), "omh-second-buckets")

@@ -162,3 +162,31 @@ def test_occurrence_labels():
     item, n = near_omh.labelled(words, sizes, 5)
     assert n.tolist() == [4, 0, 1, 1]
     assert len(set(item[:4].tolist())) == 4 and item[0] == item[5]
+
+
+def test_a_pair_in_a_single_large_bucket_is_tied(spark):
+    """Both rows share one bucket, which is large and whose pivot holds neither of them."""
+    spec = NearSpec(part_rows=4)
+    rng = np.random.default_rng(3)
+
+    def row_of(name, bits):
+        keys = rng.integers(1, 2**62, spec.sketches)
+        keys[0] = 77
+        return name, 100, [int(k) for k in keys], bytearray(bits.tobytes())
+
+    # the first sketch's samples agree; those of the others don't, but for the pair
+    def samples():
+        bits = rng.integers(0, 2**16, spec.sketches * spec.picks).astype(np.uint16)
+        bits[:spec.picks] = 9
+        return bits
+
+    a, b = samples(), samples()
+    agree = np.arange(57, 57 - 13, -1)      # as few as may reach the threshold, and the last ones
+    b[agree] = a[agree]
+    data = [row_of(bytearray([k]), samples()) for k in range(12)]
+    data += [row_of(bytearray([200]), a), row_of(bytearray([201]), b)]
+    reps = spark.createDataFrame(data, "digest binary, n_items bigint, keys array<bigint>, bits binary")
+    for part_rows in (4, 1000):
+        spec = NearSpec(part_rows=part_rows)
+        got = {bytes(r["node"]): bytes(r["root"]) for r in near_omh.candidate_groups(reps, spec).collect()}
+        assert got == {bytes([200]): bytes([200]), bytes([201]): bytes([200])}
