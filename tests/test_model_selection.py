@@ -4,6 +4,7 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -117,3 +118,19 @@ def test_search_over_shared_matrices(spark):
     assert models["knn"].getStages()[-1].k == 5
     summary = {r["model"]: r["gini_mean"] for r in SE.cross_validate(mats, ["logistic_regression", "knn"]).collect()}
     assert summary["logistic_regression"] > 0.8 and summary["knn"] > 0.7
+
+
+def test_variants_are_scored_once(spark):
+    """Later jobs read the written scores; they don't run or plan the variants' pipelines."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from revlens.plans.evaluate import _variants_scored
+    rows = spark.createDataFrame([(i, float(i % 7), float(i % 3), int(i % 7 > 3)) for i in range(60)],
+                                 "id long, a double, b double, satisfied int")
+    builds = {n: (lambda cols=cols: Pipeline(stages=[
+        VectorAssembler(inputCols=cols, outputCol="features"),
+        LogisticRegression(featuresCol="features", labelCol="satisfied", maxIter=3)]))
+        for n, cols in {"ALL": ["a", "b"], "one": ["b"]}.items()}
+    scored = _variants_scored(builds, rows, rows)
+    assert {r["model"]: r["count"] for r in scored.groupBy("model").count().collect()} == {"ALL": 60, "one": 60}
+    assert scored.inputFiles() and all("variant-scores" in f for f in scored.inputFiles())
