@@ -15,10 +15,10 @@ items of either, must reach ``threshold`` (0.8).
    tie the bucket's members together, and only the ties of a spanning forest
    leave the task.  A bucket above ``part_rows`` rows is first compared with its
    pivot; rows tied to the pivot are connected by it.  Where other rows remain, the
-   bucket's rows are keyed anew by single samples of the other sketches, so many of
-   them that a pair with ``min_agree`` agreeing samples shares one, and such buckets,
-   if still too large, are compared with a pivot and then as all pairs of parts that
-   hold a row not tied to it.  So the ties of a bucket connect the same rows whatever
+   bucket is compared as all pairs of parts that hold a row not tied to the pivot, if
+   these hold fewer rows than keying it anew: by single samples of the other sketches,
+   so many of them that a pair with ``min_agree`` agreeing samples shares one.  Buckets
+   keyed anew, if still too large, are compared with a pivot and then as pairs of parts.  So the ties of a bucket connect the same rows whatever
    its size: a pair at the threshold is missed only if it shares no bucket (1e-6).
 3. Candidate groups (components of the ties) are verified exactly: shared items
    are counted over postings, and pairs that can reach the threshold are
@@ -43,7 +43,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm.common import join_by_key, like, materialize, with_locator
@@ -271,6 +271,12 @@ def _unsettled(pivoted: DataFrame) -> DataFrame:
                                           F.count_if("tied").alias("held")).filter("loose > 0"))
 
 
+def _dealt_rows(spec: NearSpec) -> Column:
+    """Rows that :func:`_parts` makes of a bucket with ``loose`` and ``held`` rows."""
+    loose, held = (F.ceil(F.col(c) / spec.part_rows) for c in ("loose", "held"))
+    return F.col("held") * loose + F.col("loose") * (loose + held)
+
+
 def _parts(pivoted: DataFrame, spec: NearSpec) -> DataFrame:
     """Loose rows meet all rows of their bucket, as pairs of parts: loose parts come first, and a
     part of rows held by the pivot meets loose parts only."""
@@ -306,12 +312,15 @@ def candidate_groups(reps: DataFrame, spec: NearSpec) -> DataFrame:
     if large.isEmpty():
         return components(compared(whole), "a", "b")
     first = _pivoted(large.select("digest", "bucket"), reps, spec)
-    # what the pivots leave open is keyed anew by single samples.  A pair of the bucket agrees in its
-    # sketch's picks and in min_agree - picks other samples at least, hence in one of any ``keyed`` others
-    still = large.join(first.join(_unsettled(first).select("bucket"), "bucket", "left_semi")
-                       .select("bucket", "digest", "tied"), ["bucket", "digest"])
+    # what the pivots leave open is compared part by part where that makes fewer rows than keying it anew by single
+    # samples.  A pair of the bucket agrees in its sketch's picks and in min_agree - picks other samples at least,
+    # hence in one of any ``keyed`` others
     others = (spec.sketches - 1) * spec.picks
     keyed = min(others, others - max(spec.min_agree - spec.picks, 1) + 1)
+    unsettled = _unsettled(first).select("bucket", (_dealt_rows(spec) <= keyed * (F.col("loose") + F.col("held"))).alias("few"))
+    split = first.join(unsettled.filter("few").select("bucket"), "bucket", "left_semi")
+    still = large.join(first.join(unsettled.filter("not few").select("bucket"), "bucket", "left_semi")
+                       .select("bucket", "digest", "tied"), ["bucket", "digest"])
     places = F.expr(f"slice(filter(sequence(0, {spec.sketches * spec.picks - 1}), p -> p div {spec.picks} <> j), "
                     f"1, {keyed})")
     doubled = still.join(reps.select("digest", "bits"), "digest").withColumn("p", F.explode(places)).select(
@@ -322,7 +331,7 @@ def candidate_groups(reps: DataFrame, spec: NearSpec) -> DataFrame:
     whole = whole.unionByName(second.filter(F.col("n") <= spec.part_rows).select("digest", "bucket", "tied"))
     last = _pivoted(second.filter(F.col("n") > spec.part_rows).select("digest", "bucket"), reps, spec)
     ties = compared(whole).unionByName(_pivot_ties(first)).unionByName(_pivot_ties(last)).unionByName(
-        compared(_parts(last, spec)))
+        compared(_parts(split.unionByName(last), spec)))
     return components(ties, "a", "b")
 
 

@@ -190,3 +190,20 @@ def test_a_pair_in_a_single_large_bucket_is_tied(spark):
         spec = NearSpec(part_rows=part_rows)
         got = {bytes(r["node"]): bytes(r["root"]) for r in near_omh.candidate_groups(reps, spec).collect()}
         assert got == {bytes([200]): bytes([200]), bytes([201]): bytes([200])}
+
+
+def test_few_open_rows_are_compared_as_they_are(spark, monkeypatch):
+    """Buckets are keyed anew only where that makes fewer rows than pairs of their parts."""
+    kept, write = {}, near_omh.materialize
+    monkeypatch.setattr(near_omh, "materialize", lambda df, name: kept.setdefault(name, write(df, name)))
+    data, _ = templates(5, 60, 30, words=80, own=7, edited=4)
+    check(spark, data, NearSpec(part_rows=6, group_rows=16))
+    assert kept["omh-buckets"].where("n > 6").count() and kept["omh-second-buckets"].count() == 0
+
+
+def test_buckets_keyed_anew_against_all_pairs(spark, monkeypatch):
+    kept, write = {}, near_omh.materialize
+    monkeypatch.setattr(near_omh, "materialize", lambda df, name: kept.setdefault(name, write(df, name)))
+    data, _ = templates(5, 120, 30, words=80, own=7, edited=4)
+    check(spark, data, NearSpec(part_rows=1, group_rows=16))
+    assert kept["omh-second-buckets"].count()
