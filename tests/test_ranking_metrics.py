@@ -145,3 +145,41 @@ def test_a_resample_beyond_n_is_drawn_anew(spark, monkeypatch):
                                "id long, model string, score double, y int")
     assert BS.exact_draws(df.selectExpr("cast(id as string) as key"), 50).off
     assert {r["p"] + r["n"] for r in BS.replicate_sums(df, replicates=50).collect()} == {30.0}
+
+
+def test_few_scores_are_added_up_by_key(spark, monkeypatch):
+    """The same sums as by score ranges, where a frequent score is one task's; also when replicates start from zero."""
+    from revlens.operators import bootstrap as BS
+    data = [(m, i, i * i % 3 % 2, float(i * k % 5)) for m, k in (("a", 3), ("b", 7)) for i in range(4000)]
+    df = spark.createDataFrame(data + [("b", 10_000, 1, 9.0)], "model string, id long, y int, score double")
+
+    def sums():
+        return {(r["replicate"], r["variant"]): (r["u"], r["p"], r["n"]) for r in BS.replicate_sums(df, replicates=24).collect()}
+
+    for rate in (BS.poisson_rate, lambda n: 1.0):
+        with monkeypatch.context() as m:
+            m.setattr(BS, "poisson_rate", rate)
+            m.setattr(BS, "MAX_SCORES", 0)
+            by_range = sums()
+            m.setattr(BS, "MAX_SCORES", 1024)
+            m.setattr(BS, "_range_sums", None)
+            assert sums() == by_range and len(by_range) == 48
+            assert all(p + n == 4001 for (_, v), (_, p, n) in by_range.items() if v == "b")
+
+
+def test_auc_writes_no_rows(spark, monkeypatch):
+    """Score ranges are added up where they are; groups with NULL, ties and many batches."""
+    from revlens.operators import metrics as M
+    from revlens.operators import ranking as RK
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, null, id % 3) as g", "cast(id % 7 > 2 as int) as y",
+                                        "double(id * 7919 % 20011) as score")
+    monkeypatch.setattr(RK, "materialize", None)
+    got = {r["g"]: r["auc"] for r in M.roc_auc(df, by=["g"], partitions=3).collect()}
+    rows = df.toPandas()
+    for g, auc in got.items():
+        some = rows[rows["g"].isna() if g is None else rows["g"] == g]
+        rank = some["score"].rank()
+        p = int(some["y"].sum())
+        want = (rank[some["y"] == 1].sum() - p * (p + 1) / 2) / (p * (len(some) - p))
+        assert abs(auc - want) < 1e-12
+    assert set(got) == {None, 1, 2}
