@@ -76,3 +76,30 @@ def test_all_equal_rows(spark, monkeypatch):
     t, q = frames(spark, np.ones((90, 3)), np.arange(90) % 2, np.ones((4, 3)))
     near = knn._nearest(4)(q.toPandas(), t.toPandas().assign(cell=0, slab=0))
     assert sorted(near["tid"]) == sorted([0, 1, 2, 3] * 4) and (near["d2"] == 0).all()
+
+
+def test_rows_with_repeated_ids_are_scored_each(spark, monkeypatch):
+    """Permuted copies repeat their ids: a join on them would square their number."""
+    from pyspark.ml.functions import array_to_vector
+    from revlens.operators import knn as K
+    rng = np.random.default_rng(3)
+    train = spark.createDataFrame([(i, [float(a)], int(a > 0)) for i, a in enumerate(rng.normal(size=60))],
+                                  "id long, x array<double>, satisfied int").withColumn("features", array_to_vector("x"))
+    asked = spark.createDataFrame([(i % 2, [v]) for i, v in enumerate((-2.0, -1.0, 1.0, 2.0))],
+                                  "id long, x array<double>").withColumn("features", array_to_vector("x"))
+    model = K.KNNClassifier(k=5).fit(train)
+    for numbers in (K.NUMBERS_AT_ONCE, 10):
+        monkeypatch.setattr(K, "NUMBERS_AT_ONCE", numbers)
+        got = sorted((r["id"], r["x"][0], r["probability"][1]) for r in model.transform(asked).collect())
+        assert got == [(0, -2.0, 0.0), (0, 1.0, 1.0), (1, -1.0, 0.0), (1, 2.0, 1.0)]
+
+
+def test_several_numbers_of_neighbours_with_ties(spark):
+    from revlens.operators import knn as K
+    rng = np.random.default_rng(4)
+    t, tids = rng.integers(0, 3, (200, 2)).astype(float), rng.permutation(200)
+    labels, q = rng.integers(0, 2, 200).astype(float), rng.integers(0, 3, (30, 2)).astype(float)
+    got = K._shares(tids, t, labels, [1, 7, 100, 500])(q)
+    for i, x in enumerate(q):
+        order = np.lexsort((tids, ((t - x) ** 2).sum(axis=1)))
+        assert np.allclose(got[i], [labels[order[:k]].mean() for k in (1, 7, 100, 500)])
