@@ -142,7 +142,7 @@ def test_preprocessors_are_fitted_on_all_training_rows(spark, monkeypatch):
         lost = codes.join(known, "id").agg(*[F.count_if(F.col(f"{c}__v").isNotNull() & (F.col(c) < 0)).alias(c)
                                              for c in sp.cat]).first().asDict()
         assert not any(lost.values()), lost
-        parts = MO.q_standardize(spark, sf).join(train, "id").select(F.posexplode("features"))
+        parts = MO.q_standardize(spark, sf).join(train, "id").select(F.posexplode(F.array(*sp.num)))
         for r in parts.groupBy("pos").agg(F.avg("col").alias("m"), F.stddev("col").alias("s")).collect():
             assert abs(r["m"]) < 1e-6 and (abs(r["s"] - 1) < 1e-6 or r["s"] == 0)
     finally:
@@ -207,3 +207,32 @@ def test_learning_curve_sizes_are_nested_and_large_ones_listed(spark):
     assert out[200]["lr"] > 0.5 and out[5000]["lr"] is None
     small, large = sorted(seen, key=len)
     assert (len(small), len(large)) == (50, 200) and small < large
+
+
+def test_values_move_in_blocks_to_their_places(spark, monkeypatch):
+    """Every block gets the values, NULLs too, that the bijection sends to its rows."""
+    from revlens.operators.ranking import global_rank
+    from revlens.plans import evaluate as EV
+    monkeypatch.setattr(EV, "BLOCK_ROWS", 64)
+    df = spark.range(500).selectExpr("id", "if(id % 5 = 0, null, double(id)) as a", "if(id % 3 = 0, null, string(id)) as b")
+    order = [F.xxhash64(F.col("id"), F.lit(42)), F.col("id")]
+    ranked = global_rank(df, order, name="at").orderBy("at").toPandas()
+    out = EV.permuted_copies(df, ["a", "b"], 2).toPandas()
+    assert len(out) == 2000
+    for k, f in enumerate("ab"):
+        for r in (0, 1):
+            given = out[(out.feature == f) & (out.repeat == r)].set_index("id")[f]
+            to = EV.bijection(np.arange(500), 500, [42, k, r])
+            for at, place in enumerate(to):
+                was, now = ranked[f][at], given[ranked["id"][place]]
+                assert was == now or (was != was or was is None) and (now != now or now is None)
+
+
+def test_daily_weather_is_written_before_the_join(spark, monkeypatch):
+    """Its measured size then decides the join, and the fact isn't shuffled for a small table."""
+    from revlens.plans import dataset as D
+    from revlens.sources.tables import Tables
+    names, write = [], D.materialize
+    monkeypatch.setattr(D, "materialize", lambda df, name: names.append(name) or write(df, name))
+    fact = D.enriched_fact(Tables(spark, "/root/testdata/sf0.001"))
+    assert names == ["daily-weather"] and "weather_available" in fact.columns
