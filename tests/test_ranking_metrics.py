@@ -87,6 +87,24 @@ def test_rank_cutoffs_match_brute_force_and_widen(spark):
             assert cuts[(c, r)] == ordered[r - 1]
 
 
+def test_cutoffs_after_a_draw_with_the_same_seed_rank_few_rows(spark, monkeypatch):
+    """What a draw leaves has no hashes below its cutoff: bands are counted, not widened over the rows."""
+    import hashlib
+    ranked = []
+    monkeypatch.setattr(SP, "BAND_ROWS", 50)
+    monkeypatch.setattr(SP, "global_rank", lambda df, *a, f=SP.global_rank, **kw: ranked.append(df.count()) or f(df, *a, **kw))
+    df = spark.range(6000).selectExpr("id", "if(id % 11 = 0, null, id % 2) as y")
+    left = SP.stratified_split(df, "y", ["id"], test_size=0.3).where("is_test = 0").drop("is_test")
+    rows = left.toPandas()
+    ranked.clear()
+    got = sorted(r["id"] for r in SP.stratified_sample(left, "y", 500, ["id"]).collect())
+    groups = {None if c != c else c: sorted((hashlib.md5(f"{i}|42".encode()).hexdigest(), i) for i in g["id"])
+              for c, g in rows.groupby("y", dropna=False)}
+    quota = SP.quotas({c: len(g) for c, g in groups.items()}, 500)
+    assert got == sorted(i for c, g in groups.items() for _, i in g[:quota[c]]) and len(got) == 500
+    assert len(ranked) == 1 and ranked[0] <= 3 * 50
+
+
 def test_exact_quantiles_match_numpy(spark):
     from revlens.operators.quantiles import exact_quantiles, quantiles_checked
     rng = np.random.default_rng(3)
