@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import join_by_key, like, materialize, with_locator
+from revlens.llm.common import by_place, join_by_key, like, materialize, with_locator
 from revlens.llm.components import components
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -416,13 +416,16 @@ def verified_links(located: DataFrame, reps: DataFrame, groups: DataFrame, spec:
     members = reps.join(groups.withColumnRenamed("node", "digest"), "digest").select(
         "digest", "root", "rep", "n_chars")
     sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
-    placed = (join_by_key(members, sizes.filter("n > 1"), ["root"], "n", groups.count())
-              .withColumn("parts", F.greatest(F.ceil(F.col("n") / spec.group_rows),
-                                              F.ceil(F.col("chars") / spec.group_chars)).cast("int"))
-              .withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
-              .select("digest", "root", F.col("rep.__file").alias("__file"), F.col("rep.__row").alias("__row"),
-                      "parts", "part"))
-    texts = located.select("__file", "__row", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    placed = materialize(
+        join_by_key(members, sizes.filter("n > 1"), ["root"], "n", groups.count())
+        .withColumn("parts", F.greatest(F.ceil(F.col("n") / spec.group_rows),
+                                        F.ceil(F.col("chars") / spec.group_chars)).cast("int"))
+        .withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
+        .select("digest", "root", F.col("rep.__file").alias("__file"), F.col("rep.__row").alias("__row"),
+                "parts", "part"), "omh-placed")
+    # only the texts of candidates are shuffled
+    texts = by_place(located, placed, "left_semi").select(
+        "__file", "__row", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     # a part meets itself and every other part of its group
     meets = F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(
         F.least(o, F.col("part")).alias("p"), F.greatest(o, F.col("part")).alias("q"))))
@@ -463,5 +466,4 @@ def classes(docs: DataFrame, spec: NearSpec = NearSpec()) -> Near:
 def drop_near_copies(docs: DataFrame, spec: NearSpec = NearSpec()) -> DataFrame:
     """One document of each class, unchanged."""
     found = classes(docs, spec)
-    dropped = found.rows.filter("not kept").select("__file", "__row")
-    return like(found.located.join(dropped, ["__file", "__row"], "left_anti"), docs)
+    return like(by_place(found.located, found.rows.filter("not kept"), "left_anti"), docs)
