@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import by_place, join_by_key, like, materialize, with_locator
+from revlens.llm.common import by_place, join_by_key, like, materialize, small_batches, with_locator
 from revlens.llm.components import components
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -445,7 +445,8 @@ class Near:
 
 def classes(docs: DataFrame, spec: NearSpec = NearSpec()) -> Near:
     located = with_locator(docs)
-    sketches = materialize(sketch_table(located, spec), "omh-sketches")
+    with small_batches(docs.sparkSession):
+        sketches = materialize(sketch_table(located, spec), "omh-sketches")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__file", "__row")
     reps = materialize(sketches.groupBy("digest").agg(
         F.min(place).alias("rep"), F.first("n_items").alias("n_items"), F.first("n_chars").alias("n_chars"),
