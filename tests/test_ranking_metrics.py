@@ -201,3 +201,13 @@ def test_auc_writes_no_rows(spark, monkeypatch):
         want = (rank[some["y"] == 1].sum() - p * (p + 1) / 2) / (p * (len(some) - p))
         assert abs(auc - want) < 1e-12
     assert set(got) == {None, 1, 2}
+
+
+def test_missing_draws_are_not_broadcast(spark):
+    """A number per replicate becomes replicates x sqrt(n) rows: a broadcast would hold them all in the driver."""
+    from revlens.operators import bootstrap as BS
+    draws = BS.exact_draws(spark.range(400).selectExpr("cast(id as string) as key"), 50)
+    drawn = sum(len(r["extra"]) for r in draws.extra.collect())
+    assert drawn > 50 * 20
+    plan = draws.extra._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan.split("Initial Plan")[0] and "SortMergeJoin" in plan
