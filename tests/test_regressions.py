@@ -226,3 +226,22 @@ def test_values_move_in_blocks_to_their_places(spark, monkeypatch):
             for at, place in enumerate(to):
                 was, now = ranked[f][at], given[ranked["id"][place]]
                 assert was == now or (was != was or was is None) and (now != now or now is None)
+
+
+def test_models_are_fitted_on_all_training_rows(spark, monkeypatch):
+    """Neither the split's fit rows nor those of the folds are a sample."""
+    from revlens.catalog import modelling as MO
+    df = spark.range(6000).selectExpr("id", "double(id % 13) as a", "cast(id % 3 > 0 as int) as satisfied")
+    monkeypatch.setattr(MO, "model_frame", lambda *_, **__: (df, ["a"], None))
+    MO.forget()
+    try:
+        sp = MO.Split(spark, "own rows")
+        train = {r["id"] for r in sp.train.select("id").collect()}
+        assert len(train) == 4800 and {r["id"] for r in sp.fit.select("id").collect()} == train
+        weights = {r["satisfied"]: r["w"] for r in sp.fit.groupBy("satisfied").agg(F.sum("weight").alias("w")).collect()}
+        assert all(abs(w - 2400) < 1e-6 for w in weights.values())
+        for fit, held in sp.folds():
+            assert {r["id"] for r in fit.select("id").collect()} == train - {r["id"] for r in held.select("id").collect()}
+            assert abs(fit.count() - 3200) < 3
+    finally:
+        MO.forget()
