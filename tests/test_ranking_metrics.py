@@ -211,3 +211,13 @@ def test_missing_draws_are_not_broadcast(spark):
     assert drawn > 50 * 20
     plan = draws.extra._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan.split("Initial Plan")[0] and "SortMergeJoin" in plan
+
+
+def test_digests_of_many_keys_are_md5():
+    """All lengths around the words and the block of a digest; no keys and repeated keys too."""
+    import hashlib
+    keys = [bytes([65 + i % 26]) * i for i in range(70)] + [b"7", b"7", "\u00e9".encode()]
+    ends = [f"|{b}|42".encode() for b in (0, 9, 10, 249)]
+    got = SP.md5_of_pairs(keys, ends)
+    assert [bytes(got[i, j]) for i in range(len(keys)) for j in range(4)] == [hashlib.md5(k + e).digest() for k in keys for e in ends]
+    assert SP.md5_of_pairs([], ends).shape == (0, 4, 16) and SP.poisson_weights([], 16).shape == (0, 16)
