@@ -103,3 +103,11 @@ def test_several_numbers_of_neighbours_with_ties(spark):
     for i, x in enumerate(q):
         order = np.lexsort((tids, ((t - x) ** 2).sum(axis=1)))
         assert np.allclose(got[i], [labels[order[:k]].mean() for k in (1, 7, 100, 500)])
+
+
+def test_candidates_beyond_the_kth_distance_are_not_listed():
+    """The second visits' rows that are farther than the k nearest so far; ties stay."""
+    rows = pd.DataFrame({"tid": range(6), "vec": [[float(i)] for i in range(6)], "label": 1.0, "cell": 0, "slab": 0})
+    asked = pd.DataFrame({"qid": [1, 2], "vec": [[0.0], [0.0]], "cell": 0, "kth2": [4.0, np.inf]})
+    got = knn._nearest(5)(asked, rows)
+    assert got.groupby("qid")["tid"].apply(list).to_dict() == {1: [0, 1, 2], 2: [0, 1, 2, 3, 4]}
